@@ -7,6 +7,7 @@ import html as _html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from recordmill.fixed_values import JSON_LD_DATE_KEYS, META_DATE_KEYS, NOISE_TAGS
 from recordmill.functions.text import blank_to_null, strip, truncate_middle
@@ -19,7 +20,7 @@ _BLOCK_EDGE = r"(?i)</?(?:p|h[1-4]|li|section|article|main|body|ul|ol|div|table|
 _MARK = "\u0001"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _unescape(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else _html.unescape(v))
 

@@ -7,12 +7,13 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 from recordmill.fixed_values import LEGAL_SUFFIXES, SPACE, WORD
 from recordmill.functions.text import strip, whole_words
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfkc(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else unicodedata.normalize("NFKC", v))
 
@@ -80,7 +81,7 @@ def _jaro_winkler(a: str | None, b: str | None, scale: float = 0.1, longest: int
     return jaro + prefix * scale * (1.0 - jaro)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     """Similarity of two names; the prefix bonus applies at every score."""
     return pd.Series([_jaro_winkler(x, y) for x, y in zip(a, b)], dtype="float64")
