@@ -183,6 +183,7 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
@@ -193,15 +194,16 @@ class Tables:
         """A derived frame."""
         text = FRAMES[name]
         used = [t for t in TABLES if re.search(rf"\b(FROM|JOIN) {t}\b", text)]
-        bound = text
+        bound = text.replace("{", "{{").replace("}", "}}")
         for t in used:
             bound = re.sub(rf"\b(FROM|JOIN) {t}\b", rf"\1 {{{t}}}", bound)
         return self.spark.sql(bound, **{t: getattr(self, t) for t in used})
 
 
 def on(frame: str, sql: str) -> str:
-    """Checking SQL over a derived frame, available as ``f``."""
-    return f"WITH f AS ({FRAMES[frame]}) {sql}"
+    """Checking SQL over a derived frame, available as ``f``. The SQL may start with a comma and
+    further named subqueries."""
+    return f"WITH f AS ({FRAMES[frame]}) {sql.lstrip()}"
 
 
 def query(name: str, sql: str | None = None):

@@ -561,7 +561,7 @@ def gated(t: Tables):
 
 
 def on_gated(sql: str) -> str:
-    return on("signal_rows", "").rstrip() + f", {SQL_GATED} {sql}"
+    return on("signal_rows", f", {SQL_GATED} {sql}")
 
 
 @query("freshness_gate", on_gated("SELECT id, status, 'METADATA' AS reason, published_at, age AS age_hours FROM g"))

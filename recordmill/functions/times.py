@@ -104,6 +104,7 @@ def freshness(c: Column, ref: Column, window_hours: float = 24.0, reason: str =
 def freshness_of_timestamp(ts: Column, ref: Column, window_hours: float = 24.0) -> Column:
     """Gate result for a publication date that is already a timestamp."""
     why = F.lit("METADATA")
+    ts = ts.cast("timestamp")
     return _gate(ts, ts.cast("string"), ts.isNotNull(), why, ref, window_hours)
 
 

@@ -159,7 +159,7 @@ def near_dup_window(
     close enough; otherwise only the latest row of the bucket before matters. So per fingerprint
     and bucket the first and the last moment are all that is kept, and rows never meet pairwise."""
     width = days * 86_400_000_000
-    micros = F.unix_micros(F.col(ts))
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
     rows = prints.select(
         key, "simhash", micros.alias("t"), F.floor(micros / width).cast("bigint").alias("bucket")
     )
