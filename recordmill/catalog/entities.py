@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from recordmill.catalog.base import FRAMES, Tables, on, query
 from recordmill.catalog.texts import sql_capitalised, sql_domain, sql_entity, sql_entity_id
 from recordmill.fixed_values import DISTINGUISHING_WORDS, SEED_ENTITIES
+from recordmill.functions.names import normalize_entity
 from recordmill.operators import resolve as R
 from recordmill.catalog.history import customer_master, master_arrivals
 
@@ -110,25 +111,19 @@ def _(t: Tables):
     return _exact(t).select("seq", *[F.col(f"{h}.canonical_name").alias(h) for h in ("by_domain", "by_name", "by_alias")])
 
 
-@query("resolve_fuzzy")
-def _(t: Tables):
-    """Misspelt customer names against a master of all customers: rows only, since the checking
-    engine scores names differently. A test compares the search with all pairs."""
-    spelled = F.concat(F.translate("c_name", "C", "K"), F.when(F.col("c_custkey") % 2 == 0, F.lit("s")).otherwise(F.lit("")))
-    wanted = t.customer.select(F.lower(spelled).alias("normalized_value"))
-    return R.fuzzy_hits(wanted, R.seed_master(t.spark).unionByName(_supplier_master(t))).select(
-        "normalized_value", "by_score.canonical_name", F.round("by_score.score", 6).alias("score")
-    )
+_SPELLED = "CASE WHEN seq % 3 = 0 THEN raw_name || 'i' WHEN seq % 3 = 1 THEN raw_name || ' x' ELSE replace(raw_name, 'n', 'm') END"
 
 
-def _supplier_master(t: Tables) -> DataFrame:
-    none = F.lit(None)
-    return t.supplier.select(
-        (F.col("s_suppkey") + 1000).alias("seq"), F.concat(F.lit("cent_s"), F.col("s_suppkey").cast("string")).alias("canonical_entity_id"),
-        F.lit("STARTUP").alias("entity_type"), F.col("s_name").alias("canonical_name"), F.lower("s_name").alias("normalized_name"),
-        F.array().cast("array<string>").alias("aliases"), F.array().cast("array<string>").alias("domains"),
-        none.cast("map<string,string>").alias("external_ids"), F.array().cast("array<string>").alias("source_urls"),
-        none.cast("timestamp").alias("created_at"), none.cast("timestamp").alias("updated_at"),
+@query("resolve_fuzzy", on("raw_names", f""", {SQL_SEEDS},
+    n AS (SELECT DISTINCT {sql_entity(_SPELLED)} AS normalized_value FROM f)
+    SELECT normalized_value, name AS canonical_name, round(jaro_winkler_similarity(normalized_value, norm), 6) AS score FROM n, s
+    WHERE normalized_value <> '' AND jaro_winkler_similarity(normalized_value, norm) >= 0.92
+    QUALIFY row_number() OVER (PARTITION BY normalized_value ORDER BY jaro_winkler_similarity(normalized_value, norm) DESC, pos) = 1"""))
+def _(t: Tables):
+    spelled = normalize_entity(F.expr(_SPELLED))
+    wanted = t.frame("raw_names").select(spelled.alias("normalized_value"))
+    return R.fuzzy_hits(wanted, R.seed_master(t.spark)).select(
+        "normalized_value", "by_score.canonical_name", F.round("by_score.score", 6).alias("score")
     )
 
 

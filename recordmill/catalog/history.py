@@ -75,7 +75,6 @@ def _(t: Tables):
     return D.skip_known(t.pages.select("page_id", "url"), t.pages.selectExpr(f"{_STORED_URL} AS url")).select("page_id", "url")
 
 
-FRAMES["fold"] = FRAMES["state_events"]
 _SQL_FOLD = """SELECT source_url, arg_max(state, seq) AS state, count(*) AS attempt_count, CASE arg_max(seq, seq) % 8 WHEN 5 THEN 'timeout' WHEN 6 THEN 'HTTP 404' END AS last_error,
     max(seq) AS updated_seq FROM f GROUP BY source_url"""
 
@@ -204,10 +203,10 @@ def _(t: Tables):
 
 # --- Comparing tables -----------------------------------------------------------------------------------
 
-_EXPORTED = "CASE WHEN o_orderstatus = 'P' THEN -o_orderkey ELSE o_orderkey END"
+_EXPORTED = "CASE WHEN o_orderstatus = 'P' THEN -o_orderkey - 1 ELSE o_orderkey END"
 
 
-@query("ids_missing_from_export", "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P' AND o_orderkey > 0")
+@query("ids_missing_from_export", "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P'")
 def _(t: Tables):
     export = t.orders.selectExpr(f"{_EXPORTED} AS o_orderkey")
     return Z.ids_missing_from_export(t.orders, export, "o_orderkey")

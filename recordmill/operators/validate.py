@@ -10,93 +10,134 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordmill.functions.text import url_fingerprint
+from recordmill.operators.audits import union_all
 from recordmill.schemas import RECORD_RULES, Rule
 
 
-def _kind(value: Column) -> Column:
-    """JSON type of a variant: integer, number, string, boolean, null, object, array; SQL null when
-    the value is absent."""
-    text = F.schema_of_variant(value)
+def _nodes(path: str, rule: Rule) -> list[tuple[str, Rule]]:
+    """The rule and all rules below it, with their paths."""
+    out = [(path, rule)]
+    for name, below in rule.fields.items():
+        out.extend(_nodes(f"{path}.{name}", below))
+    return out
+
+
+def _kind(text: Column, number: Column) -> Column:
+    """JSON type name from the type text of a variant and its value as a number."""
     numeric = F.startswith(text, F.lit("DECIMAL")) | text.isin("DOUBLE", "FLOAT")
-    whole = F.try_variant_get(value, "$", "double")
     return (
         F.when(text == "BIGINT", F.lit("integer"))
-        .when(numeric & (whole == F.floor(whole)), F.lit("integer"))
-        .when(numeric, F.lit("number"))
         .when(text == "STRING", F.lit("string"))
         .when(text == "BOOLEAN", F.lit("boolean"))
         .when(text == "VOID", F.lit("null"))
+        .when(numeric & (number == F.floor(number)), F.lit("integer"))
+        .when(numeric, F.lit("number"))
         .when(F.startswith(text, F.lit("OBJECT")), F.lit("object"))
         .when(F.startswith(text, F.lit("ARRAY")), F.lit("array"))
     )
 
 
-def _checks(root: Column, text: Column, path: str, rule: Rule) -> list[Column]:
-    """Messages, null where the rule holds, for the value at ``path`` and everything below it."""
-    value = F.try_variant_get(root, path, "variant")
-    kind = _kind(value)
-    label = path.lstrip("$").lstrip(".") or "record"
+def _broken(n: dict[str, Column], rule: Rule, label: str, children: dict[str, Column]) -> list[Column]:
+    """Messages for one value, null where its rule holds."""
+    kind = n["kind"]
+
+    def when(condition: Column, message: str) -> Column:
+        return F.when(condition, F.lit(f"{label}: {message}"))
+
     accepted = [*rule.types, "integer"] if "number" in rule.types else list(rule.types)
-    found = [F.when(~kind.isin(accepted), F.lit(f"{label}: type"))]
+    found = [when(~kind.isin(accepted), "type")]
     if rule.allowed is not None:
         # Enumerations hold for any JSON type, so a wrong type breaks this rule as well.
-        inside = (kind == "string") & F.try_variant_get(root, path, "string").isin(list(rule.allowed))
-        found.append(F.when(kind.isNotNull() & ~F.coalesce(inside, F.lit(False)), F.lit(f"{label}: allowed")))
+        inside = F.coalesce((kind == "string") & n["text"].isin(list(rule.allowed)), F.lit(False))
+        found.append(when(kind.isNotNull() & ~inside, "allowed"))
     if rule.min_length is not None:
-        size = F.length(F.try_variant_get(root, path, "string"))
-        found.append(F.when((kind == "string") & (size < rule.min_length), F.lit(f"{label}: length")))
-    number = F.when(kind.isin("integer", "number"), F.try_variant_get(root, path, "double"))
+        found.append(when((kind == "string") & (F.length(n["text"]) < rule.min_length), "length"))
     if rule.minimum is not None:
-        found.append(F.when(number < rule.minimum, F.lit(f"{label}: minimum")))
+        found.append(when(kind.isin("integer", "number") & (n["number"] < rule.minimum), "minimum"))
     if rule.maximum is not None:
-        found.append(F.when(number > rule.maximum, F.lit(f"{label}: maximum")))
+        found.append(when(kind.isin("integer", "number") & (n["number"] > rule.maximum), "maximum"))
     if rule.items is not None:
-        items = F.try_variant_get(root, path, "array<variant>")
-        bad = F.exists(items, lambda v: _kind(v) != rule.items)
-        found.append(F.when((kind == "array") & bad, F.lit(f"{label}: items")))
+        odd = F.exists(n["items"], lambda v: F.schema_of_variant(v) != rule.items.upper())
+        found.append(when((kind == "array") & odd, "items"))
     if rule.fields:
-        keys = F.json_object_keys(text if path == "$" else F.get_json_object(text, path))
         known = F.array(*[F.lit(name) for name in rule.fields])
-        extra = F.size(F.array_except(keys, known)) > 0
-        found.append(F.when((kind == "object") & extra, F.lit(f"{label}: extra keys")))
+        found.append(when((kind == "object") & (F.size(F.array_except(n["keys"], known)) > 0), "extra keys"))
     for name in rule.required:
-        absent = F.try_variant_get(root, f"{path}.{name}", "variant").isNull()
-        found.append(F.when((kind == "object") & absent, F.lit(f"{label}: missing {name}")))
-    for name, below in rule.fields.items():
-        found.extend(_checks(root, text, f"{path}.{name}", below))
+        found.append(when((kind == "object") & children[name].isNull(), f"missing {name}"))
     return found
 
 
-def record_errors(payload: Column, record_type: str) -> Column:
-    """All messages for one JSON text, sorted."""
+def validate(df: DataFrame, record_type: str, payload: str = "payload") -> DataFrame:
+    """Adds ``errors``, a sorted array of messages, and ``valid``.
+
+    The work is laid out in steps, each a projection over the one before: parse once, pick the
+    values, name their types, check the rules. So nothing is parsed or looked up twice, and no
+    single expression grows too large to be compiled."""
     rule = RECORD_RULES.get(record_type)
     if rule is None:
-        return F.array(F.lit(f"no schema registered for '{record_type}'"))
-    root = F.try_parse_json(payload)
-    found = F.array_sort(F.array_compact(F.array(*_checks(root, payload, "$", rule))))
-    return F.when(root.isNull(), F.array(F.lit("record: not JSON"))).otherwise(found)
-
-
-def validate(df: DataFrame, record_type: str, payload: str = "payload") -> DataFrame:
-    """Adds ``errors`` and ``valid``."""
-    return df.withColumn("errors", record_errors(F.col(payload), record_type)).withColumn(
-        "valid", F.size("errors") == 0
-    )
+        message = F.array(F.lit(f"no schema registered for '{record_type}'"))
+        return df.withColumn("errors", message).withColumn("valid", F.lit(False))
+    nodes = _nodes("$", rule)
+    index = {path: i for i, (path, _) in enumerate(nodes)}
+    helpers = ["_root"]
+    out = df.withColumn("_root", F.try_parse_json(F.col(payload)))
+
+    def step(columns: dict[str, Column]) -> DataFrame:
+        helpers.extend(columns)
+        return out.withColumns(columns)
+
+    root = F.col("_root")
+    out = step({f"_v{i}": F.try_variant_get(root, path, "variant") for path, i in index.items()})
+    picked: dict[str, Column] = {}
+    for path, r in nodes:
+        i = index[path]
+        value = F.col(f"_v{i}")
+        picked[f"_t{i}"] = F.schema_of_variant(value)
+        if r.allowed is not None or r.min_length is not None:
+            picked[f"_s{i}"] = F.try_variant_get(value, "$", "string")
+        if {"integer", "number"} & set(r.types):
+            picked[f"_n{i}"] = F.try_variant_get(value, "$", "double")
+        if r.items is not None:
+            picked[f"_a{i}"] = F.try_variant_get(value, "$", "array<variant>")
+        if r.fields:
+            picked[f"_o{i}"] = F.json_object_keys(
+                F.col(payload) if path == "$" else F.get_json_object(payload, path)
+            )
+    out = step(picked)
+
+    def number(i: int) -> Column:
+        if f"_n{i}" in picked:
+            return F.col(f"_n{i}")
+        return F.try_variant_get(F.col(f"_v{i}"), "$", "double")
+
+    out = step({f"_k{i}": _kind(F.col(f"_t{i}"), number(i)) for i in index.values()})
+    messages = []
+    for path, r in nodes:
+        i = index[path]
+        parts = {
+            "kind": F.col(f"_k{i}"), "text": F.col(f"_s{i}"), "number": F.col(f"_n{i}"),
+            "items": F.col(f"_a{i}"), "keys": F.col(f"_o{i}"),
+        }
+        children = {name: F.col(f"_k{index[f'{path}.{name}']}") for name in r.required}
+        messages.extend(_broken(parts, r, path.lstrip("$").lstrip(".") or "record", children))
+    found = F.array_sort(F.array_compact(F.array(*messages)))
+    errors = F.when(root.isNull(), F.array(F.lit("record: not JSON"))).otherwise(found)
+    return out.withColumn("errors", errors).drop(*helpers).withColumn("valid", F.size("errors") == 0)
 
 
 def validate_by_type(
     df: DataFrame, type_column: str = "record_type", payload: str = "payload"
 ) -> DataFrame:
-    """As :func:`validate`, with the record type taken from a column."""
+    """As :func:`validate`, with the record type taken from a column. Each type's rules see only
+    the rows of that type; rows of a type without rules are invalid."""
     kind = F.col(type_column)
-    errors = None
-    for name in RECORD_RULES:
-        found = record_errors(F.col(payload), name)
-        errors = F.when(kind == name, found) if errors is None else errors.when(kind == name, found)
-    unknown = F.array(F.concat(F.lit("no schema registered for '"), F.coalesce(kind, F.lit("")), F.lit("'")))
-    return df.withColumn("errors", errors.otherwise(unknown)).withColumn(
-        "valid", F.size("errors") == 0
+    parts = [validate(df.filter(kind == name), name, payload) for name in RECORD_RULES]
+    unknown = F.array(
+        F.concat(F.lit("no schema registered for '"), F.coalesce(kind, F.lit("")), F.lit("'"))
     )
+    rest = df.filter(~F.coalesce(kind.isin(list(RECORD_RULES)), F.lit(False)))
+    parts.append(rest.withColumn("errors", unknown).withColumn("valid", F.lit(False)))
+    return union_all(parts)
 
 
 def validate_or_fail(df: DataFrame, record_type: str, payload: str = "payload") -> DataFrame:

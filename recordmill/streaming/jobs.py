@@ -139,13 +139,13 @@ def compact(spark: SparkSession, path: str, target: str, key: str, seq: str) ->
 def stream_dlq_split(
     stream: DataFrame, records: str, dead: str, checkpoint: str
 ) -> StreamingQuery:
-    """Validated records and dead letters, from one validation of each batch."""
+    """Validated records and dead letters. The batch is read from its source once."""
     def each(df: DataFrame, batch_id: int) -> None:
-        checked = validate_by_type(df).persist()
-        good, bad = route(checked)
+        batch = df.persist()
+        good, bad = route(validate_by_type(batch))
         _replace(good, records, batch_id)
         _replace(bad, dead, batch_id)
-        checked.unpersist()
+        batch.unpersist()
 
     return _start(stream, each, checkpoint)
 
