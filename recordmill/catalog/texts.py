@@ -550,7 +550,7 @@ def _(t: Tables):
 
 # One row in four is moved around the reference time, so that every outcome occurs.
 SIGNAL_TS = "CASE WHEN id % 4 = 0 THEN ts + INTERVAL '30' HOUR ELSE ts END"
-SQL_AGE = "round_even(CAST((epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(p)) AS DOUBLE) / 3600000000.0, 2)"
+SQL_AGE = "CAST(printf('%.2f', CAST((epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(p)) AS DOUBLE) / CAST(3600000000 AS DOUBLE)) AS DOUBLE) + 0.0"
 SQL_STATUS = "CASE WHEN age >= -1.0 AND age <= 24.0 THEN 'FRESH' WHEN age < 0.0 THEN 'UNKNOWN' ELSE 'STALE' END"
 SQL_GATED = f"""g AS (SELECT *, {SQL_STATUS} AS status, strftime(p, {_ISO}) AS published_at
     FROM (SELECT *, CAST({SQL_AGE} AS DOUBLE) AS age FROM (SELECT *, {SIGNAL_TS} AS p FROM f)))"""

@@ -54,11 +54,23 @@ def relative_loose(c: Column, ref: Column) -> Column:
     )
 
 
-# Written dates without a fixed first field. Weekday names are removed beforehand.
+# Written dates: the shape of the string and the format to read it with. Weekday names are removed
+# beforehand. The shape decides, so at most one format is tried on a string.
+_CLOCK = r"\d{1,2}:\d{2}:\d{2}"
 WRITTEN_FORMATS = [
-    "d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm:ss z", "d MMM yyyy HH:mm:ss", "d MMM yyyy HH:mm",
-    "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy", "MMM d yyyy", "MMMM d yyyy",
-    "yyyy/MM/dd", "yyyy/MM/dd HH:mm:ss", "yyyyMMdd",
+    (rf"\d{{1,2}} [A-Za-z]{{3}} \d{{4}} {_CLOCK} [+-]\d{{4}}", "d MMM yyyy H:mm:ss Z"),
+    (rf"\d{{1,2}} [A-Za-z]{{3}} \d{{4}} {_CLOCK} [A-Z]{{1,5}}", "d MMM yyyy H:mm:ss z"),
+    (rf"\d{{1,2}} [A-Za-z]{{3}} \d{{4}} {_CLOCK}", "d MMM yyyy H:mm:ss"),
+    (r"\d{1,2} [A-Za-z]{3} \d{4} \d{1,2}:\d{2}", "d MMM yyyy H:mm"),
+    (r"\d{1,2} [A-Za-z]{3} \d{4}", "d MMM yyyy"),
+    (r"\d{1,2} [A-Za-z]{4,} \d{4}", "d MMMM yyyy"),
+    (r"[A-Za-z]{3} \d{1,2}, \d{4}", "MMM d, yyyy"),
+    (r"[A-Za-z]{4,} \d{1,2}, \d{4}", "MMMM d, yyyy"),
+    (r"[A-Za-z]{3} \d{1,2} \d{4}", "MMM d yyyy"),
+    (r"[A-Za-z]{4,} \d{1,2} \d{4}", "MMMM d yyyy"),
+    (r"\d{4}/\d{2}/\d{2}", "yyyy/MM/dd"),
+    (rf"\d{{4}}/\d{{2}}/\d{{2}} {_CLOCK}", "yyyy/MM/dd H:mm:ss"),
+    (r"\d{8}", "yyyyMMdd"),
 ]
 
 
@@ -69,8 +81,11 @@ def parse_timestamp(c: Column, ref: Column) -> Column:
     iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), text)
     iso = F.regexp_replace(iso, r"([+-]\d{2})(\d{2})$", "$1:$2")
     bare = F.regexp_replace(text, r"^(?i)(mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+", "")
-    attempts = [F.try_to_timestamp(bare, F.lit(f)) for f in WRITTEN_FORMATS]
-    return F.coalesce(relative_loose(text, ref), iso.try_cast("timestamp"), *attempts)
+    written = None
+    for shape, pattern in WRITTEN_FORMATS:
+        fits, value = bare.rlike(f"^{shape}$"), F.try_to_timestamp(bare, F.lit(pattern))
+        written = F.when(fits, value) if written is None else written.when(fits, value)
+    return F.coalesce(relative_loose(text, ref), iso.try_cast("timestamp"), written)
 
 
 def iso8601(ts: Column) -> Column:
@@ -108,10 +123,16 @@ def freshness_of_timestamp(ts: Column, ref: Column, window_hours: float = 24.0)
     return _gate(ts, ts.cast("string"), ts.isNotNull(), why, ref, window_hours)
 
 
+def round_half_even(c: Column) -> Column:
+    """Two decimals, decided on the exact binary value. ``bround`` decides on the shortest decimal
+    writing instead, and so takes 135.355, which lies below the middle, for a tie."""
+    return F.call_function("format_number", c, F.lit("0.00")).cast("double") + F.lit(0.0)
+
+
 def _gate(
     published: Column, raw: Column, given: Column, why: Column, ref: Column, window: float
 ) -> Column:
-    age = F.bround((F.unix_micros(ref) - F.unix_micros(published)) / F.lit(3600.0 * SECOND), 2)
+    age = round_half_even((F.unix_micros(ref) - F.unix_micros(published)) / F.lit(3600.0 * SECOND))
     known = given & published.isNotNull()
     status = (
         F.when(~known, F.lit("UNKNOWN"))

@@ -37,6 +37,12 @@ def _kind(text: Column, number: Column) -> Column:
     )
 
 
+def present_types(df: DataFrame, type_column: str = "record_type") -> list[str]:
+    """The known record types among the rows: at most as many names as there are rule sets."""
+    found = df.select(type_column).filter(F.col(type_column).isin(list(RECORD_RULES))).distinct()
+    return [row[0] for row in found.collect()]
+
+
 def _broken(n: dict[str, Column], rule: Rule, label: str, children: dict[str, Column]) -> list[Column]:
     """Messages for one value, null where its rule holds."""
     kind = n["kind"]
@@ -92,7 +98,6 @@ def validate(df: DataFrame, record_type: str, payload: str = "payload") -> DataF
     for path, r in nodes:
         i = index[path]
         value = F.col(f"_v{i}")
-        picked[f"_t{i}"] = F.schema_of_variant(value)
         if r.allowed is not None or r.min_length is not None:
             picked[f"_s{i}"] = F.try_variant_get(value, "$", "string")
         if {"integer", "number"} & set(r.types):
@@ -100,17 +105,25 @@ def validate(df: DataFrame, record_type: str, payload: str = "payload") -> DataF
         if r.items is not None:
             picked[f"_a{i}"] = F.try_variant_get(value, "$", "array<variant>")
         if r.fields:
-            picked[f"_o{i}"] = F.json_object_keys(
-                F.col(payload) if path == "$" else F.get_json_object(payload, path)
-            )
+            picked[f"_o{i}"] = F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
+        if not r.fields and r.items is None:
+            picked[f"_t{i}"] = F.schema_of_variant(value)
     out = step(picked)
 
-    def number(i: int) -> Column:
-        if f"_n{i}" in picked:
-            return F.col(f"_n{i}")
-        return F.try_variant_get(F.col(f"_v{i}"), "$", "double")
-
-    out = step({f"_k{i}": _kind(F.col(f"_t{i}"), number(i)) for i in index.values()})
+    def kind_of(i: int) -> Column:
+        value = F.col(f"_v{i}")
+        number = F.col(f"_n{i}") if f"_n{i}" in picked else F.try_variant_get(value, "$", "double")
+        # Naming the type of an object or a list means walking through all of it, so these are told
+        # by what was picked, and named only where that failed.
+        if f"_o{i}" in picked:
+            other = _kind(F.schema_of_variant(value), number)
+            return F.when(F.col(f"_o{i}").isNotNull(), F.lit("object")).otherwise(other)
+        if f"_a{i}" in picked:
+            other = _kind(F.schema_of_variant(value), number)
+            return F.when(F.col(f"_a{i}").isNotNull(), F.lit("array")).otherwise(other)
+        return _kind(F.col(f"_t{i}"), number)
+
+    out = step({f"_k{i}": kind_of(i) for i in index.values()})
     messages = []
     for path, r in nodes:
         i = index[path]
@@ -126,12 +139,15 @@ def validate(df: DataFrame, record_type: str, payload: str = "payload") -> DataF
 
 
 def validate_by_type(
-    df: DataFrame, type_column: str = "record_type", payload: str = "payload"
+    df: DataFrame, type_column: str = "record_type", payload: str = "payload",
+    types: list[str] | None = None,
 ) -> DataFrame:
     """As :func:`validate`, with the record type taken from a column. Each type's rules see only
-    the rows of that type; rows of a type without rules are invalid."""
+    the rows of that type; rows of a type without rules are invalid. ``types`` names the types
+    that occur, where the caller knows that the others do not."""
     kind = F.col(type_column)
-    parts = [validate(df.filter(kind == name), name, payload) for name in RECORD_RULES]
+    wanted = list(RECORD_RULES) if types is None else types
+    parts = [validate(df.filter(kind == name), name, payload) for name in wanted]
     unknown = F.array(
         F.concat(F.lit("no schema registered for '"), F.coalesce(kind, F.lit("")), F.lit("'"))
     )

@@ -17,7 +17,7 @@ from recordmill.functions.times import freshness
 from recordmill.operators.audits import crawl_counters
 from recordmill.operators.sinks import landed
 from recordmill.operators.upsert import merge_by_key
-from recordmill.operators.validate import route, validate_by_type
+from recordmill.operators.validate import present_types, route, validate_by_type
 
 
 def _batch_folder(path: str, batch_id: int) -> str:
@@ -139,12 +139,14 @@ def compact(spark: SparkSession, path: str, target: str, key: str, seq: str) ->
 def stream_dlq_split(
     stream: DataFrame, records: str, dead: str, checkpoint: str
 ) -> StreamingQuery:
-    """Validated records and dead letters. The batch is read from its source once."""
+    """Validated records and dead letters; each batch is read and validated once."""
     def each(df: DataFrame, batch_id: int) -> None:
         batch = df.persist()
-        good, bad = route(validate_by_type(batch))
+        checked = validate_by_type(batch, types=present_types(batch)).persist()
+        good, bad = route(checked)
         _replace(good, records, batch_id)
         _replace(bad, dead, batch_id)
+        checked.unpersist()
         batch.unpersist()
 
     return _start(stream, each, checkpoint)
