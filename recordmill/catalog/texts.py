@@ -389,7 +389,7 @@ def _(t: Tables):
 
 @query("clean_html_text", f"SELECT page_id, {sql_clean_html('html')} AS text FROM pages")
 def _(t: Tables):
-    return t.pages.select("page_id", H.clean_html_text(F.col("html")).alias("text"))
+    return H.with_clean_text(t.pages, "html", "text").select("page_id", "text")
 
 
 @query("truncate_middle", f"SELECT doc_id, {sql_truncate('text', 100)} AS text FROM documents")
@@ -400,7 +400,7 @@ def _(t: Tables):
 @query("prepare_payload", f"""SELECT page_id, {sql_truncate('c', 60)} AS text
     FROM (SELECT page_id, {sql_clean_html('html')} AS c FROM pages)""")
 def _(t: Tables):
-    return t.pages.select("page_id", H.prepare_payload(F.col("html"), 60).alias("text"))
+    return H.with_prepared_payload(t.pages, "html", "text", 60).select("page_id", "text")
 
 
 @query("structural_chunks", f"""WITH RECURSIVE paras AS (

@@ -5,14 +5,14 @@ from __future__ import annotations
 import html as _html
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from recordmill.fixed_values import JSON_LD_DATE_KEYS, META_DATE_KEYS, NOISE_TAGS
 from recordmill.functions.text import blank_to_null, strip, truncate_middle
 
-_NOISE = r"(?is)<!--.*?-->|<(" + "|".join(NOISE_TAGS) + r")\b[^>]*>.*?</\1\s*>"
+_NOISE = r"(?is)<(?:!--.*?-->|(" + "|".join(NOISE_TAGS) + r")\b[^>]*>.*?</\1\s*>)"
 _TAG = "<[^>]+>"
 _META = r"(?is)<meta\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
 _BLOCK_OPEN = r"(?i)<(?:p|h[1-4]|li|section)\b[^>]*>"
@@ -155,22 +155,43 @@ def block_texts(container: Column) -> Column:
 
 def lines_of_text(c: Column) -> Column:
     """Every text node on its own line, no blank lines. Entities are still encoded."""
-    lines = F.split(F.regexp_replace(c, _TAG, "\n"), r"[\n\r\x0B\x0C\x1C-\x1E\x{85}  ]")
+    lines = F.split(F.regexp_replace(c, _TAG, "\n"), r"[\n\r\x0B\x0C\x1C-\x1E\x{85}\u2028\u2029]")
     return F.array_join(F.filter(F.transform(lines, strip), lambda t: t != ""), "\n")
 
 
-def clean_html_text(c: Column) -> Column:
-    return decode_entities(lines_of_text(drop_noise(c)))
+# The functions below work on DataFrames: each intermediate text becomes a column, so that it is
+# computed once however often the next step looks at it.
 
 
-def main_text(c: Column) -> Column:
-    container = main_container(drop_noise(c))
-    blocks = block_texts(container)
-    joined = F.when(F.size(blocks) > 0, F.array_join(blocks, "\n\n")).otherwise(
-        lines_of_text(container)
+def decode_columns(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({n: decode_entities(F.col(n)) for n in names})
+
+
+def with_clean_text(df: DataFrame, html: str, out: str) -> DataFrame:
+    """Adds the readable text of a page, line by line."""
+    lines = df.withColumn("_denoised", drop_noise(F.col(html))).withColumn(
+        out, lines_of_text(F.col("_denoised"))
+    )
+    return decode_columns(lines, out).drop("_denoised")
+
+
+def with_main_text(df: DataFrame, html: str, out: str) -> DataFrame:
+    """Adds the text of the main container, block by block; all of its lines when it has no block."""
+    blocks = (
+        df.withColumn("_denoised", drop_noise(F.col(html)))
+        .withColumn("_container", main_container(F.col("_denoised")))
+        .withColumn("_blocks", block_texts(F.col("_container")))
+    )
+    joined = blocks.withColumn(
+        out,
+        F.when(F.size("_blocks") > 0, F.array_join("_blocks", "\n\n")).otherwise(
+            lines_of_text(F.col("_container"))
+        ),
     )
-    return decode_entities(joined)
+    return decode_columns(joined, out).drop("_denoised", "_container", "_blocks")
 
 
-def prepare_payload(c: Column, max_words: int = 2500) -> Column:
-    return truncate_middle(clean_html_text(c), max_words)
+def with_prepared_payload(df: DataFrame, html: str, out: str, max_words: int = 2500) -> DataFrame:
+    """Adds the readable text, cut in the middle when it exceeds the word budget."""
+    clean = with_clean_text(df, html, out)
+    return clean.withColumn(out, truncate_middle(F.col(out), max_words))

@@ -134,16 +134,15 @@ def role_family(title: Column, description: Column) -> Column:
 
 
 def entities_mentioned(c: Column) -> Column:
-    """One scan of the text for all names; the hits come back in dictionary order."""
-    hits = F.array_distinct(
-        F.regexp_extract_all(
-            F.lower(F.coalesce(c, F.lit(""))),
-            F.lit(whole_words([n.lower() for n in KNOWN_ENTITIES])),
-            F.lit(1),
-        )
-    )
-    names = F.array(*[F.lit(n) for n in KNOWN_ENTITIES])
-    return F.filter(names, lambda n: F.array_contains(hits, F.lower(n)))
+    """Known names in the text, in dictionary order. A plain search decides for nearly every name;
+    the word-boundary pattern only looks at texts that hold the name somewhere."""
+    text = F.lower(F.coalesce(c, F.lit("")))
+    found = []
+    for name in KNOWN_ENTITIES:
+        term = name.lower()
+        hit = F.contains(text, F.lit(term)) & text.rlike(whole_words([term]))
+        found.append(F.when(hit, F.lit(name)))
+    return F.array_except(F.array(*found), F.array(F.lit(None).cast("string")))
 
 
 def is_ai_title(c: Column) -> Column:
@@ -164,7 +163,7 @@ def words(c: Column) -> Column:
 
 
 def word_count(c: Column) -> Column:
-    return F.size(words(c)).cast("bigint")
+    return F.regexp_count(F.coalesce(c, F.lit("")), F.lit(f"[^{SPACE[1:-1]}]+")).cast("bigint")
 
 
 def truncate_middle(c: Column, max_words: int = 2500) -> Column:
@@ -176,16 +175,18 @@ def truncate_middle(c: Column, max_words: int = 2500) -> Column:
         tail = F.array_join(F.slice(all_words, -bottom, bottom), " ")
     else:
         tail = F.lit("")
-    return F.when(F.size(all_words) <= max_words, c).otherwise(
+    return F.when(word_count(c) <= max_words, c).otherwise(
         F.concat(head, F.lit(TRUNCATION_MARK), tail)
     )
 
 
-def structural_chunks(c: Column, max_words: int = 1500, separator: str = "\n\n") -> Column:
-    """Greedy packing of whole paragraphs. The fold keeps only the places where a chunk starts, so
-    its state is as small as the result; the chunks are cut out afterwards."""
-    paragraphs = F.split(c, F.lit(separator.replace("\n", r"\n")), -1)
-    sizes = F.transform(paragraphs, lambda p: F.size(words(p)))
+def paragraphs_of(c: Column, separator: str = "\n\n") -> Column:
+    return F.split(c, F.lit(separator.replace("\n", r"\n")), -1)
+
+
+def chunk_starts(sizes: Column, max_words: int = 1500) -> Column:
+    """Numbers of the paragraphs that begin a chunk when whole paragraphs of the given sizes are
+    packed greedily. The fold keeps only these numbers, so its state is no larger than the result."""
     start = F.struct(
         F.array(F.lit(1)).alias("starts"), F.lit(0).alias("used"), F.lit(0).alias("at")
     )
@@ -199,15 +200,17 @@ def structural_chunks(c: Column, max_words: int = 1500, separator: str = "\n\n")
             at.alias("at"),
         )
 
-    starts = F.aggregate(sizes, start, step, lambda acc: acc["starts"])
+    return F.aggregate(sizes, start, step, lambda acc: acc["starts"])
+
 
+def cut_chunks(paragraphs: Column, starts: Column, separator: str = "\n\n") -> Column:
+    """Chunks from paragraphs and starts. Both should be columns, not expressions, or they would be
+    computed anew for every chunk."""
     def cut(pos: Column, i: Column) -> Column:
         following = F.coalesce(F.get(starts, i + 1), F.size(paragraphs) + 1)
         return F.array_join(F.slice(paragraphs, pos, following - pos), separator)
 
-    whole = F.array(F.coalesce(c, F.lit("")))
-    fits = word_count(c) <= max_words
-    return F.when(fits, whole).otherwise(F.transform(starts, cut))
+    return F.transform(starts, cut)
 
 
 def canonicalize_url(c: Column) -> Column:

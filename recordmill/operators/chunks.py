@@ -5,16 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordmill.functions.text import structural_chunks
+from recordmill.functions.text import chunk_starts, cut_chunks, paragraphs_of, word_count
 
 
 def chunk_rows(
     df: DataFrame, key: str, text: str, max_words: int = 1500, separator: str = "\n\n"
 ) -> DataFrame:
-    """``(key, pos, chunk)``, one row per chunk."""
-    return df.select(
-        key, F.posexplode(structural_chunks(F.col(text), max_words, separator)).alias("pos", "chunk")
+    """``(key, pos, chunk)``, one row per chunk: whole paragraphs, packed greedily. A text that fits
+    is one chunk."""
+    parted = df.select(key, paragraphs_of(F.coalesce(text, F.lit("")), separator).alias("paragraphs"))
+    placed = parted.withColumn(
+        "starts",
+        chunk_starts(F.transform("paragraphs", lambda p: word_count(p).cast("int")), max_words),
     )
+    chunks = cut_chunks(F.col("paragraphs"), F.col("starts"), separator)
+    return placed.select(key, F.posexplode(chunks).alias("pos", "chunk"))
 
 
 def merge_partials(

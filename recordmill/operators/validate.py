@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from recordmill.functions.text import url_fingerprint
 from recordmill.operators.audits import union_all
 from recordmill.schemas import RECORD_RULES, Rule
+from recordmill.session import cut_lineage
 
 
 def _nodes(path: str, rule: Rule) -> list[tuple[str, Rule]]:
@@ -133,7 +134,11 @@ def validate(df: DataFrame, record_type: str, payload: str = "payload") -> DataF
         }
         children = {name: F.col(f"_k{index[f'{path}.{name}']}") for name in r.required}
         messages.extend(_broken(parts, r, path.lstrip("$").lstrip(".") or "record", children))
-    found = F.array_sort(F.array_compact(F.array(*messages)))
+    # Set difference and sort_array are compiled; array_compact and array_sort would be interpreted,
+    # and every rule inside them with it.
+    found = F.sort_array(
+        F.array_except(F.array(*messages), F.array(F.lit(None).cast("string")))
+    )
     errors = F.when(root.isNull(), F.array(F.lit("record: not JSON"))).otherwise(found)
     return out.withColumn("errors", errors).drop(*helpers).withColumn("valid", F.size("errors") == 0)
 
@@ -180,15 +185,20 @@ def dead_letters(
     )
 
 
-def route(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows with ``valid`` split into records and dead letters."""
-    good = df.filter("valid")
+def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Validated rows as records and dead letters. ``checked`` must be materialised: a filter on
+    ``valid`` would otherwise be pushed below the checks and carry all of them with it, twice."""
     bad = dead_letters(
-        df.filter("NOT valid"),
+        checked.filter("NOT valid"),
         F.lit("EXTRACTION_OR_VALIDATION_FAILED"), F.lit("ExtractionLayer"),
         F.array_join("errors", "; "),
     )
-    return good, bad
+    return checked.filter("valid"), bad
+
+
+def route(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """As :func:`split_valid`, writing the validated rows to the shared folder first."""
+    return split_valid(cut_lineage(checked, "checked"))
 
 
 def pipeline_status(

@@ -14,16 +14,16 @@ from recordmill.sources.envelope import envelope, first_given
 def html_page_extract(df: DataFrame, html: str = "raw_content", url: str = "url") -> DataFrame:
     """Adds ``title, canonical_url, meta_description, meta_dates, json_ld_dates, main_text``."""
     page = F.col(html)
-    return (
+    facts = (
         df.withColumn("_tags", H.meta_tags(page))
-        .withColumn("title", H.decode_entities(H.page_title(page, F.col("_tags"))))
+        .withColumn("title", H.page_title(page, F.col("_tags")))
         .withColumn("canonical_url", H.canonical_link(page, F.col(url)))
-        .withColumn("meta_description", H.decode_entities(H.meta_description(F.col("_tags"))))
+        .withColumn("meta_description", H.meta_description(F.col("_tags")))
         .withColumn("meta_dates", H.meta_dates(F.col("_tags")))
         .withColumn("json_ld_dates", H.json_ld_dates(H.json_ld_objects(page)))
-        .withColumn("main_text", H.main_text(page))
         .drop("_tags")
     )
+    return H.with_main_text(H.decode_columns(facts, "title", "meta_description"), html, "main_text")
 
 
 def published_at(pages: DataFrame, feed_date: Column, ref: Column) -> Column:

@@ -17,7 +17,7 @@ from recordmill.functions.times import freshness
 from recordmill.operators.audits import crawl_counters
 from recordmill.operators.sinks import landed
 from recordmill.operators.upsert import merge_by_key
-from recordmill.operators.validate import present_types, route, validate_by_type
+from recordmill.operators.validate import present_types, split_valid, validate_by_type
 
 
 def _batch_folder(path: str, batch_id: int) -> str:
@@ -143,7 +143,7 @@ def stream_dlq_split(
     def each(df: DataFrame, batch_id: int) -> None:
         batch = df.persist()
         checked = validate_by_type(batch, types=present_types(batch)).persist()
-        good, bad = route(checked)
+        good, bad = split_valid(checked)
         _replace(good, records, batch_id)
         _replace(bad, dead, batch_id)
         checked.unpersist()
