@@ -488,7 +488,7 @@ def _(t: Tables):
     records = t.spark.read.schema("id bigint, title string, authors array<string>, abstract string, github_stars bigint").json(f"{folder}/research_papers.jsonl")
     metadata = t.spark.read.schema("record_count bigint").json(f"{folder}/metadata.json")
     count = metadata.select("record_count").first()[0]
-    return records.withColumn("authors", F.array_join("authors", "|")).withColumn("record_count", F.lit(count))
+    return records.withColumn("authors", F.array_join("authors", "|")).withColumn("record_count", F.lit(count).cast("bigint"))
 
 
 @query("report_json", on("job_rows", """

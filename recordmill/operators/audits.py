@@ -16,6 +16,7 @@ from recordmill.functions.classify import (
     text_quality,
 )
 from recordmill.functions.text import is_repo_url
+from recordmill.functions.times import iso8601
 
 
 def _given(c: str) -> Column:
@@ -26,6 +27,12 @@ def _filled(c: str) -> Column:
     return F.trim(F.coalesce(F.col(c), F.lit(""))) != ""
 
 
+def _accepted(condition: Column, published_at: Column) -> Column:
+    """Publication time where the condition holds. As a timestamp its extremes fit a hash
+    aggregate; those of a string would have all rows sorted first."""
+    return F.when(condition, published_at.try_cast("timestamp"))
+
+
 def _identity(live: Column, url: str = "source_url") -> list[Column]:
     """Row counts and URL checks over the rows where ``live`` holds."""
     address = F.when(live, F.col(url))
@@ -143,21 +150,23 @@ def audit_jobs(df: DataFrame) -> DataFrame:
 def freshness_by_source(df: DataFrame) -> DataFrame:
     """Needs ``source_name`` and the gate struct ``gate``."""
     status = F.col("gate.status")
-    accepted = F.when(status == "FRESH", F.col("gate.published_at"))
+    accepted = _accepted(status == "FRESH", F.col("gate.published_at"))
     return df.groupBy(F.coalesce("source_name", F.lit("Unknown")).alias("source_name")).agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(status == "FRESH").alias("fresh"),
         F.count_if(status == "STALE").alias("stale"),
         F.count_if(status == "UNKNOWN").alias("unknown"),
         F.count_if(status != "FRESH").alias("rejected"),
-        F.min(accepted).alias("earliest_accepted"),
-        F.max(accepted).alias("latest_accepted"),
+        iso8601(F.min(accepted)).alias("earliest_accepted"),
+        iso8601(F.max(accepted)).alias("latest_accepted"),
     )
 
 
 def sorted_extremes(df: DataFrame) -> DataFrame:
-    accepted = F.when(F.col("gate.status") == "FRESH", F.col("gate.published_at"))
-    return df.agg(F.min(accepted).alias("earliest"), F.max(accepted).alias("latest"))
+    accepted = _accepted(F.col("gate.status") == "FRESH", F.col("gate.published_at"))
+    return df.agg(
+        iso8601(F.min(accepted)).alias("earliest"), iso8601(F.max(accepted)).alias("latest")
+    )
 
 
 def news_detail(df: DataFrame) -> DataFrame:
@@ -188,7 +197,7 @@ def news_detail(df: DataFrame) -> DataFrame:
 def audit_news(detail: DataFrame) -> DataFrame:
     """Totals over :func:`news_detail`."""
     label, quality = F.col("classification"), F.col("text_quality")
-    accepted = F.when(label == "PRODUCTION_FRESH", F.col("published_at"))
+    accepted = _accepted(label == "PRODUCTION_FRESH", F.col("published_at"))
     article = F.when(_filled("article_url"), F.col("article_url"))
     return detail.agg(
         F.count(F.lit(1)).alias("total_rows"),
@@ -207,8 +216,8 @@ def audit_news(detail: DataFrame) -> DataFrame:
         F.count_if(quality == "PARTIAL_TEXT").alias("partial_text"),
         F.count_if(quality == "FEED_ONLY").alias("feed_only"),
         F.count_if(quality == "FETCH_FAILURE").alias("fetch_failures"),
-        F.min(accepted).alias("earliest_accepted"),
-        F.max(accepted).alias("latest_accepted"),
+        iso8601(F.min(accepted)).alias("earliest_accepted"),
+        iso8601(F.max(accepted)).alias("latest_accepted"),
     )
 
 

@@ -1,5 +1,6 @@
-"""Joins that attach facts to rows. No broadcast is forced: Spark broadcasts a side whose size it
-knows to be under its threshold, and otherwise shuffles, with skewed partitions split by AQE."""
+"""Joins that attach facts to rows. A side is broadcast only after it was measured
+(:func:`recordmill.session.join_side`) or where Spark itself knows it to be under its threshold;
+otherwise the join shuffles, and AQE splits skewed partitions."""
 
 from __future__ import annotations
 
@@ -7,15 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordmill.functions.text import github_url
+from recordmill.session import join_side
 
 
 def metadata_attach(pages: DataFrame, metadata: DataFrame) -> DataFrame:
     """Feed metadata by exact URL; pages without any keep nulls. The last metadata row of a URL
-    counts."""
+    counts. Pages carry their bodies, so they are spared the shuffle where the metadata is small."""
     latest = metadata.groupBy("url").agg(
         F.max_by(F.struct("title", "pub_date", "description"), "seq").alias("feed")
     )
-    return pages.join(latest, "url", "left")
+    return pages.join(join_side(latest, "feed-metadata"), "url", "left")
 
 
 def enrichment_state(url: Column, http_status: Column, stars: Column) -> Column:
@@ -35,15 +37,19 @@ def enrichment_state(url: Column, http_status: Column, stars: Column) -> Column:
 
 def enrich_repo_stats(papers: DataFrame, snapshot: DataFrame) -> DataFrame:
     """Papers with the state and stars of their repository, by normalised address. The snapshot
-    holds the newest answer per repository. Papers without a repository skip the join's shuffle
-    key: their null never meets anything."""
+    holds the newest answer per repository. Papers without a repository get join keys of their own,
+    spread over many values: as nulls they would all meet in one partition."""
     answers = (
         snapshot.withColumn("repo", github_url(F.col("github_url")))
         .filter(F.col("repo").isNotNull())
         .groupBy("repo")
         .agg(F.max_by(F.struct("http_status", "stars"), "seq").alias("answer"))
     )
-    joined = papers.withColumn("repo", github_url(F.col("github_url"))).join(answers, "repo", "left")
+    spread = F.concat(F.lit("none:"), F.pmod(F.xxhash64(*papers.columns), F.lit(4096)).cast("string"))
+    keyed = papers.withColumn("repo", github_url(F.col("github_url"))).withColumn(
+        "_key", F.coalesce("repo", spread)
+    )
+    joined = keyed.join(answers.withColumnRenamed("repo", "_key"), "_key", "left").drop("_key")
     state = enrichment_state(F.col("github_url"), F.col("answer.http_status"), F.col("answer.stars"))
     return (
         joined.withColumn("state", state)

@@ -19,7 +19,9 @@ from recordmill.functions.names import (
     title_case,
 )
 from recordmill.functions.text import blank_to_null, strip
+from recordmill.operators.audits import union_all
 from recordmill.operators.upsert import upsert_entities
+from recordmill.session import BROADCAST_BYTES, cut_lineage, join_side
 
 RESOLVER_VERSION = "1.0.0"
 _ENTITY = ["canonical_entity_id", "canonical_name"]
@@ -42,33 +44,48 @@ def seed_master(spark: SparkSession) -> DataFrame:
     )
 
 
-def _last_wins(keyed: DataFrame, keys: list[str]) -> DataFrame:
-    entity = F.struct(*_ENTITY)
-    return keyed.groupBy(*keys).agg(F.max_by(entity, F.col("seq")).alias("entity"))
-
-
 def lookup_tables(master: DataFrame) -> dict[str, DataFrame]:
-    """``external``, ``domain``, ``name`` and ``alias`` lookups. When entities claim the same key,
-    the last one in master order has it."""
+    """``external``, ``domain``, ``name`` and ``alias`` lookups, one row per key. When entities claim
+    the same key, the last one in master order has it.
+
+    All four are made in one aggregation and written once. Each is then measured by itself and
+    broadcast only if it is small (see :func:`recordmill.session.join_side`)."""
+    none = F.lit("").alias("scope")
     base = ["seq", *_ENTITY]
-    external = master.select(*base, F.explode("external_ids").alias("k", "v")).select(
-        *base, F.lower(strip(F.col("k"))).alias("id_kind"), F.lower(strip(F.col("v"))).alias("id_value")
-    ).filter(F.coalesce(F.col("v"), F.lit("")) != "")
+    external = master.select(*base, F.explode("external_ids").alias("k", "v")).filter(
+        F.coalesce(F.col("v"), F.lit("")) != ""
+    ).select(*base, F.lower(strip(F.col("k"))).alias("scope"), F.lower(strip(F.col("v"))).alias("key"))
     domain = master.select(*base, F.explode("domains").alias("d")).select(
-        *base, normalize_domain(F.col("d")).alias("domain")
-    ).filter("domain <> ''")
+        *base, none, normalize_domain(F.col("d")).alias("key")
+    ).filter("key <> ''")
     scopes = F.explode(F.array(F.upper("entity_type"), F.lit("ANY"))).alias("scope")
-    name = master.select(*base, scopes, normalize_entity(F.col("canonical_name")).alias("name"))
+    name = master.select(*base, scopes, normalize_entity(F.col("canonical_name")).alias("key"))
     alias = master.select(*base, "entity_type", F.explode("aliases").alias("a")).select(
-        *base, scopes, normalize_entity(F.col("a")).alias("name")
-    ).filter("name <> ''")
-    return {
-        "external": _last_wins(external, ["id_kind", "id_value"]),
-        "domain": _last_wins(domain, ["domain"]),
-        "name": _last_wins(name, ["scope", "name"]),
-        "alias": _last_wins(alias, ["scope", "name"]),
+        *base, scopes, normalize_entity(F.col("a")).alias("key")
+    ).filter("key <> ''")
+    parts = {"external": external, "domain": domain, "name": name, "alias": alias}
+    rows = union_all([df.withColumn("kind", F.lit(kind)) for kind, df in parts.items()])
+    size = F.octet_length(F.to_json(F.struct("scope", "key", "entity")))
+    table = cut_lineage(
+        rows.groupBy("kind", "scope", "key").agg(
+            F.max_by(F.struct(*_ENTITY), F.col("seq")).alias("entity")
+        ),
+        "lookups",
+    )
+    bytes_of = {r[0]: r[1] for r in table.groupBy("kind").agg(F.sum(size)).collect()}
+    names = {
+        "external": {"scope": "id_kind", "key": "id_value"}, "domain": {"key": "domain"},
+        "name": {"key": "name"}, "alias": {"key": "name"},
     }
 
+    def lookup(kind: str) -> DataFrame:
+        mine = table.filter(F.col("kind") == kind).drop("kind")
+        mine = mine.drop("scope") if kind == "domain" else mine
+        mine = mine.withColumnsRenamed(names[kind])
+        return F.broadcast(mine) if bytes_of.get(kind, 0) <= BROADCAST_BYTES else mine
+
+    return {kind: lookup(kind) for kind in parts}
+
 
 def prepare(records: DataFrame) -> DataFrame:
     """Records (``seq, raw_name, entity_type, domain, external_ids``) with their normal forms."""
@@ -102,6 +119,7 @@ def external_hits(prepared: DataFrame, lookups: dict[str, DataFrame]) -> DataFra
 
 
 def _named(table: DataFrame, scope: str | None, out: str) -> DataFrame:
+    # The hint of a broadcast table survives the projections made here.
     rows = table if scope is None else table.filter(F.col("scope") == scope).drop("scope")
     return rows.withColumnRenamed("entity", out)
 
@@ -148,11 +166,11 @@ def composite_hits(residual: DataFrame, master: DataFrame) -> DataFrame:
         )
     ).alias("part")
     claims = master.select(
-        "seq", *_ENTITY, "normalized_name", F.explode("domains").alias("part")
+        F.col("seq").alias("master_seq"), *_ENTITY, "normalized_name", F.explode("domains").alias("part")
     ).filter("part <> ''")
     candidates = (
         domains.select("norm_domain", parts)
-        .join(claims.withColumnRenamed("seq", "master_seq"), "part")
+        .join(join_side(claims, "domain-claims"), "part")
         .drop("part")
         .distinct()
     )
@@ -228,17 +246,23 @@ def fuzzy_hits(residual: DataFrame, master: DataFrame, threshold: float = 0.92)
 
 def resolve_all(records: DataFrame, master: DataFrame, fuzzy: bool = False) -> DataFrame:
     """Adds ``raw_value, normalized_value, canonical_value, canonical_entity_id, decision,
-    match_method, confidence, evidence`` to every record."""
+    match_method, confidence, evidence`` to every record.
+
+    The hits of the two costlier tiers are worked out on distinct names and domains first. As long
+    as the lookups and these hits are small, records pass through without any shuffle."""
     lookups = lookup_tables(master)
     prepared = prepare(records)
-    exact = exact_hits(prepared, lookups).join(external_hits(prepared, lookups), "seq", "left")
+    by_id = join_side(external_hits(prepared, lookups), "external-hits")
+    exact = exact_hits(prepared, lookups).join(by_id, "seq", "left")
     open_rows = F.coalesce(
         F.col("by_id.entity"), F.col("by_domain"), F.col("by_name"), F.col("by_alias")
     ).isNull()
     residual = exact.filter(open_rows & (F.col("raw_value") != ""))
-    tiers = exact.join(composite_hits(residual, master), ["normalized_value", "norm_domain"], "left")
+    by_parts = join_side(composite_hits(residual, master), "composite-hits")
+    tiers = exact.join(by_parts, ["normalized_value", "norm_domain"], "left")
     if fuzzy:
-        tiers = tiers.join(fuzzy_hits(residual, master), "normalized_value", "left")
+        by_name = join_side(fuzzy_hits(residual, master), "fuzzy-hits")
+        tiers = tiers.join(by_name, "normalized_value", "left")
         by_score = F.when(open_rows & F.col("by_parts").isNull(), F.col("by_score"))
     else:
         by_score = F.lit(None).cast("struct<canonical_entity_id:string,canonical_name:string,score:double>")

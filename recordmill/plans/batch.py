@@ -24,7 +24,7 @@ from recordmill.operators.validate import (
     present_types,
     validate_by_type,
 )
-from recordmill.session import cut_lineage
+from recordmill.session import cut_lineage, join_side
 from recordmill.sources.registry import Registry
 
 GATED_TYPES = ["NEWS", "JOB"]
@@ -64,22 +64,23 @@ def run_batch(
 ) -> BatchResult:
     """``payloads`` are landed rows with unique ``seq``; ``store`` holds the fingerprints
     (``url_hash``) of URLs stored by earlier runs."""
-    marked = dedup_report(payloads)
+    crawl = fetch_class(F.col("http_status"), F.col("raw_content"))
+    # Bodies stay behind: what the joins below shuffle is a few short columns per payload.
+    narrow = payloads.select(
+        "seq", "url", "source_name", crawl["outcome"].alias("crawl_outcome"),
+        F.substring("raw_content", 1, 200).alias("preview"),
+    )
+    marked = dedup_report(narrow)
     if store is not None:
         known = store.select("url_hash").distinct().withColumn("known", F.lit(True))
         marked = marked.join(known, "url_hash", "left").withColumn(
             "is_duplicate", F.col("is_duplicate") | F.coalesce("known", F.lit(False))
         ).drop("known")
-    marked = marked.withColumn("crawl", fetch_class(F.col("http_status"), F.col("raw_content")))
-    marked = marked.withColumn("fetched", F.col("crawl.outcome") == "ok")
     outcome = cut_lineage(
-        marked.select(
-            "seq", "url", "source_name", "url_hash", "is_duplicate", "fetched",
-            F.col("crawl.outcome").alias("crawl_outcome"), F.substring("raw_content", 1, 200).alias("preview"),
-        ),
-        "outcomes",
+        marked.drop("first_seq").withColumn("fetched", F.col("crawl_outcome") == "ok"), "outcomes"
     )
-    work = payloads.join(outcome.filter("fetched AND NOT is_duplicate").select("seq"), "seq", "left_semi")
+    duplicates = join_side(outcome.filter("is_duplicate").select("seq"), "duplicates")
+    work = payloads.filter(crawl["outcome"] == "ok").join(duplicates, "seq", "left_anti")
     parsed = cut_lineage(registry.union(work, ref, collected_at), "parsed")
     gate = freshness(_published(F.col("payload"), F.col("record_type")), ref)
     gated = parsed.withColumn("gate_status", gate["status"])

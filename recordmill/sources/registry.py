@@ -42,8 +42,9 @@ class Registry:
         return list(self._sources)
 
     def union(self, payloads: DataFrame, ref: Column, collected_at: Column) -> DataFrame:
-        """All payloads, each parsed by its own source, in one shape. The filter on the source name
-        reaches the scan, so a source reads only its own rows."""
+        """All payloads, each parsed by its own source, in one shape. Where payloads are landed in
+        a folder per source, the filter on the name prunes folders; otherwise it drops other rows
+        right after the scan, before any body is looked at."""
         return union_all([
             as_payload(
                 s.parse(payloads.filter(F.lower("source_name") == key), ref, collected_at)
