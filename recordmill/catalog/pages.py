@@ -39,7 +39,7 @@ def at() -> Column:
 
 
 def page_payloads(t: Tables) -> DataFrame:
-    return t.pages.select(
+    return t.spread("pages").select(
         F.col("page_id").alias("seq"), "url", F.lit("WebPages").alias("source_name"),
         F.col("html").alias("raw_content"),
         F.when(F.col("page_id") % 4 == 0, F.lit("application/xml")).otherwise(F.lit("text/html")).alias("content_type"),
@@ -103,7 +103,7 @@ def atom_payloads(t: Tables) -> DataFrame:
         _element("summary", F.concat(text, link)),
         F.lit("</entry></feed>"),
     )
-    return t.documents.select(
+    return t.spread("documents").select(
         doc.alias("seq"),
         F.concat(F.lit("https://arxiv.org/abs/"), doc.cast("string")).alias("url"),
         F.lit("ArXiv").alias("source_name"), body.alias("raw_content"),

@@ -18,7 +18,7 @@ from recordmill.operators.audits import audit_jobs
 from recordmill.operators.chunks import merge_partials
 from recordmill.operators.vectors import similar_vectors
 from recordmill.schemas import RECORD_RULES, Rule
-from recordmill.session import shared_dir
+from recordmill.session import shared_dir, spread
 
 # --- Validation ---------------------------------------------------------------------------------
 
@@ -137,7 +137,7 @@ def _register_validation(kind: str, name: str) -> None:
 
     @query(name, on(frame, f"SELECT seq, errors, errors = '' AS valid FROM (SELECT seq, {sql_errors(kind)} AS errors FROM f)"))
     def _(t: Tables):
-        checked = V.validate(t.frame(frame), kind)
+        checked = V.validate(spread(t.frame(frame), "seq"), kind)
         return checked.select("seq", F.array_join("errors", "; ").alias("errors"), "valid")
 
 

@@ -161,7 +161,7 @@ def near_dup_window(
     width = days * 86_400_000_000
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     rows = prints.select(
-        key, "simhash", micros.alias("t"), F.floor(micros / width).cast("bigint").alias("bucket")
+        key, "simhash", micros.alias("t"), (micros - F.pmod(micros, F.lit(width))).alias("bucket")
     )
     spans = rows.groupBy("simhash", "bucket").agg(
         F.min(F.struct("t", key)).alias("first"), F.max("t").alias("last")
@@ -178,7 +178,7 @@ def near_dup_window(
         .agg(F.min("first").alias("first"), F.max("last").alias("last"))
     )
     here = around.select("simhash", "bucket", "first")
-    before = around.select("simhash", (F.col("bucket") + 1).alias("bucket"), "last")
+    before = around.select("simhash", (F.col("bucket") + width).alias("bucket"), "last")
     flagged = rows.join(here, ["simhash", "bucket"], "left").join(
         before, ["simhash", "bucket"], "left"
     )

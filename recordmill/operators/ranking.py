@@ -12,7 +12,7 @@ def positions(df: DataFrame, strata: list[str], seq: str, width: int = 1_000_000
     ``seq`` is unique, so ``width`` consecutive numbers hold at most ``width`` rows. Rows are ranked
     inside such ranges only; counts per range, a table ``width`` times smaller, give the offsets. A
     stratum with a third of all rows is therefore ranked by many tasks."""
-    ranged = df.withColumn("_range", F.floor(F.col(seq) / width).cast("bigint"))
+    ranged = df.withColumn("_range", F.col(seq) - F.pmod(F.col(seq), F.lit(width)))
     counts = ranged.groupBy(*strata, "_range").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*strata).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy(*strata)
@@ -35,7 +35,8 @@ def systematic_sample(
 ) -> DataFrame:
     """Evenly spaced rows of each stratum: every ``rows div size``-th, the first ``size`` of them."""
     placed = positions(df, strata, seq, width)
-    step = F.greatest(F.lit(1), F.floor(F.col("stratum_rows") / size)).cast("bigint")
+    whole = F.col("stratum_rows") - F.pmod(F.col("stratum_rows"), F.lit(size))
+    step = F.greatest(F.lit(1), (whole / size).cast("bigint"))
     zero = F.col("position") - 1
     return placed.filter((zero % step == 0) & (zero < step * size)).drop("stratum_rows")
 

@@ -35,7 +35,7 @@ def seed_master(spark: SparkSession) -> DataFrame:
         "seq bigint, entity_type string, canonical_name string, normalized_name string, "
         "aliases array<string>, domains array<string>, external_ids map<string,string>, "
         "source_urls array<string>",
-    )
+    ).coalesce(1)
     stamp = F.lit("2026-01-01T00:00:00Z").cast("timestamp")
     return seeds.select(
         "seq", entity_id(F.col("entity_type"), F.col("canonical_name")).alias("canonical_entity_id"),

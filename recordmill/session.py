@@ -63,3 +63,11 @@ def join_side(df: DataFrame, purpose: str, limit: int = BROADCAST_BYTES) -> Data
     ordinary shuffled join, whose skewed partitions AQE splits."""
     table = cut_lineage(df, purpose)
     return F.broadcast(table) if measured(table)[1] <= limit else table
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A scan with fewer splits than there are cores, dealt out to all of them before work that is
+    heavy on the processor. Only small tables have so few splits; larger ones are returned as they
+    are, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
