@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from recordmill.catalog.base import FRAMES, Tables, on, query
 from recordmill.catalog.texts import sql_domain, sql_fingerprint
-from recordmill.fixed_values import FIXTURE_KEYWORDS, FORBIDDEN_EXPORT_TERMS
+from recordmill.fixed_values import FIXTURE_KEYWORDS, FORBIDDEN_EXPORT_TERMS, UPSERT_UPDATED
 from recordmill.functions.classify import is_fixture
 from recordmill.functions.names import normalize_domain
 from recordmill.operators import dedup as D
@@ -120,8 +120,8 @@ def job_table(t: Tables) -> DataFrame:
       arg_min(is_remote, late * 1000000000000 + ord) AS is_remote, arg_min(role_family, late * 1000000000000 + ord) AS role_family,
       arg_max(collected_at, late * 1000000000000 + ord) AS collected_at FROM both_sides GROUP BY source_url"""))
 def _(t: Tables):
-    stored = job_table(t)
-    arrivals = stored.withColumns({
+    stored = U.merge_by_key(job_table(t), "source_url", "seq", UPSERT_UPDATED["jobs"])
+    arrivals = job_table(t).withColumns({
         "source_url": F.when(F.col("seq") % 3 == 0, F.concat("source_url", F.lit("#new"))).otherwise(F.col("source_url")),
         "source_name": F.lit("again"), "company": F.concat("company", F.lit(" v2")), "is_remote": ~F.col("is_remote"),
         "role_family": F.lit("Other"), "collected_at": F.lit("t1"),

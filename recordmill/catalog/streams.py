@@ -71,7 +71,7 @@ def _(t: Tables):
 def _(t: Tables):
     checkpoint, out = _paths(t, "states")
     S.stream_checkpoint_state(stream_of(t, "events", "state_events"), out, checkpoint).awaitTermination()
-    return S.latest_updates(t.spark, out, ["source_url"])
+    return S.checkpoint_states(t.spark, out)
 
 
 @query("stream_upsert", on("order_updates", """SELECT key, arg_max(status, seq) AS status, arg_max(total, seq) AS total, arg_min(priority, seq) AS priority FROM f GROUP BY key"""))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from recordmill.fixed_values import UPSERT_UPDATED
 from recordmill.operators.dedup import pick_by
+from recordmill.session import join_side
 
 
 def merge_by_key(df: DataFrame, key: str, seq: str, updated: list[str]) -> DataFrame:
@@ -22,25 +23,37 @@ def merge_by_key(df: DataFrame, key: str, seq: str, updated: list[str]) -> DataF
     return merged.select(*[pick.get(c, F.col(c)).alias(c) for c in df.columns])
 
 
+def _merge_into(
+    stored: DataFrame, arrivals: DataFrame, key: str, updated: list[str]
+) -> DataFrame:
+    """Next version of ``stored``, which has one row per key. Stored rows precede every arrival.
+
+    Rows whose key does not arrive pass through as they are. With few arrivals their keys are
+    broadcast, and the stored table is neither shuffled nor sorted."""
+    keys = join_side(arrivals.select(key).distinct(), "arriving-keys")
+
+    def in_turn(df: DataFrame, late: int) -> DataFrame:
+        turn = F.struct(F.lit(late).alias("late"), F.col("seq").alias("seq"))
+        return df.withColumn("_turn", turn)
+
+    touched = stored.join(keys, key, "left_semi").select(*stored.columns)
+    both = in_turn(touched, 0).unionByName(in_turn(arrivals, 1))
+    merged = merge_by_key(both, key, "_turn", updated).drop("_turn")
+    untouched = stored.join(keys, key, "left_anti").select(*stored.columns)
+    return untouched.unionByName(merged)
+
+
 def upsert_records(table: str, stored: DataFrame, arrivals: DataFrame) -> DataFrame:
-    """Next version of a record table. Stored rows precede every arrival."""
-    before = stored.withColumn("_turn", F.struct(F.lit(0).alias("late"), F.col("seq").alias("seq")))
-    after = arrivals.withColumn("_turn", F.struct(F.lit(1).alias("late"), F.col("seq").alias("seq")))
-    both = before.unionByName(after)
-    return merge_by_key(both, "source_url", "_turn", [*UPSERT_UPDATED[table], "seq"]).drop("_turn")
+    """Next version of a record table, merged by source URL."""
+    return _merge_into(stored, arrivals, "source_url", [*UPSERT_UPDATED[table], "seq"])
 
 
 def upsert_entities(stored: DataFrame, arrivals: DataFrame) -> DataFrame:
-    """Next version of the entity master: by id, everything but id, type and creation time is
-    replaced."""
-    updated = [
-        c for c in stored.columns
-        if c not in ("canonical_entity_id", "entity_type", "created_at", "seq")
-    ]
-    before = stored.withColumn("_turn", F.struct(F.lit(0).alias("late"), F.col("seq").alias("seq")))
-    after = arrivals.withColumn("_turn", F.struct(F.lit(1).alias("late"), F.col("seq").alias("seq")))
-    both = before.unionByName(after)
-    return merge_by_key(both, "canonical_entity_id", "_turn", updated).drop("_turn")
+    """Next version of the entity master: by id, everything but id, type, creation time and place
+    in the order is replaced."""
+    fixed = ("canonical_entity_id", "entity_type", "created_at", "seq")
+    updated = [c for c in stored.columns if c not in fixed]
+    return _merge_into(stored, arrivals, "canonical_entity_id", updated)
 
 
 def entity_name_conflicts(entities: DataFrame) -> DataFrame:

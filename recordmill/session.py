@@ -9,15 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def build_session(app: str = "recordmill", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with UTC time and adaptive execution. Partition counts are left to AQE and the
-    cluster's own configuration."""
+    """A session with UTC time, adaptive execution, and stream state kept on disk instead of on
+    the heap. Partition counts are left to AQE and the cluster's own configuration."""
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     )
     if master:
         builder = builder.master(master)

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from recordmill.functions.text import url_fingerprint
 from recordmill.functions.times import freshness
 from recordmill.operators.audits import crawl_counters
+from recordmill.operators.dedup import checkpoint_fold
 from recordmill.operators.sinks import landed
 from recordmill.operators.upsert import merge_by_key
 from recordmill.operators.validate import present_types, split_valid, validate_by_type
@@ -80,19 +81,22 @@ def stream_fresh_gate(
     return _start(stream, each, checkpoint)
 
 
-def checkpoint_updates(stream: DataFrame) -> DataFrame:
-    """Running checkpoint per URL: last state and error by ``seq``, number of updates."""
-    return stream.groupBy("source_url").agg(
-        F.max_by("state", "seq").alias("state"),
-        F.count(F.lit(1)).alias("attempt_count"),
-        F.max_by("error", "seq").alias("last_error"),
-        F.max("seq").alias("updated_seq"),
+def stream_checkpoint_state(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """State events folded per URL and batch. What a batch contributes is a small aggregate, so
+    nothing has to be kept in the stream's own state, however many URLs there are."""
+    return _start(
+        stream, lambda df, n: _replace(checkpoint_fold(df), path, n), checkpoint
     )
 
 
-def stream_checkpoint_state(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    return _start(
-        checkpoint_updates(stream), lambda df, n: _replace(df, path, n), checkpoint, "update"
+def checkpoint_states(spark: SparkSession, path: str) -> DataFrame:
+    """The checkpoints behind :func:`stream_checkpoint_state`: last state and error, all updates."""
+    log = spark.read.option("basePath", path).parquet(path)
+    return log.groupBy("source_url").agg(
+        F.max_by("state", "updated_seq").alias("state"),
+        F.sum("attempt_count").alias("attempt_count"),
+        F.max_by("last_error", "updated_seq").alias("last_error"),
+        F.max("updated_seq").alias("updated_seq"),
     )
 
 

@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from recordmill.operators.dedup import checkpoint_fold
 from recordmill.operators.resolve import seed_master
 from recordmill.plans.batch import run_batch
 from recordmill.schemas import RAW_PAYLOAD
@@ -63,6 +64,18 @@ def test_upsert_stream_survives_replay(spark, tmp_path):
     assert S.upserted(spark, out, "key", "seq", ["a"]).orderBy("key").collect() == first
 
 
+def test_checkpoint_stream_over_batches(spark, tmp_path):
+    source, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
+    events = [(f"u{i % 3}", i, "STORED" if i % 4 else "FAILED", None if i % 4 else f"e{i}") for i in range(30)]
+    df = spark.createDataFrame(events, "source_url string, seq bigint, state string, error string")
+    for part in (df.filter("seq < 17"), df.filter("seq >= 17")):
+        part.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(df.schema).parquet(source)
+        S.stream_checkpoint_state(stream, out, cp).awaitTermination()
+    got = sorted(map(tuple, S.checkpoint_states(spark, out).collect()))
+    assert got == sorted(map(tuple, checkpoint_fold(df).collect()))
+
+
 def test_ttl_expires(spark, tmp_path):
     source, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
     schema = "seq bigint, url string, ts timestamp"
