@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordmill.catalog.base import FRAMES, TABLES, Tables, on, query
-from recordmill.catalog.history import _sql_fixture
+from recordmill.catalog.history import sql_fixture
 from recordmill.catalog.texts import (
     SQL_EVIDENCE,
     evidence,
@@ -29,7 +29,7 @@ def _identity(live: str) -> str:
       count(*) FILTER ({live} AND NOT starts_with(source_url, 'http')) AS invalid_urls"""
 
 
-_PAPER_LIVE = f"(NOT {_sql_fixture('papers', 'source_url')})"
+_PAPER_LIVE = f"(NOT {sql_fixture('papers', 'source_url')})"
 _ABSTRACT = """CASE id % 9 WHEN 0 THEN '' WHEN 1 THEN '   ' WHEN 2 THEN substr(text, 1, 20) WHEN 3 THEN text || ' <b>bold</b>'
     WHEN 4 THEN text || ' R&amp;D' ELSE text END"""
 _TITLE_KEY = r"regexp_replace(lower(trim(title)), '\s+', ' ', 'g')"
@@ -59,7 +59,7 @@ def _(t: Tables):
     return A.audit_papers(paper_table(t))
 
 
-_PRODUCT_LIVE = f"(NOT {_sql_fixture('products', 'source_url', 'product_name')})"
+_PRODUCT_LIVE = f"(NOT {sql_fixture('products', 'source_url', 'product_name')})"
 
 
 @query("audit_products", on("product_rows", f"""SELECT {_identity(_PRODUCT_LIVE)}, count(*) FILTER ({_PRODUCT_LIVE} AND trim(product_name) = '') AS missing_product_name,
@@ -81,7 +81,7 @@ def _(t: Tables):
     return A.breakdown(t.frame("paper_rows"), "source_name", "Unknown")
 
 
-_STARTUP_LIVE = f"(NOT {_sql_fixture('startups', 'source_url', 'name')})"
+_STARTUP_LIVE = f"(NOT {sql_fixture('startups', 'source_url', 'name')})"
 
 
 @query("audit_startups", on("org_rows", f""", e AS (SELECT *, url AS source_url, {SQL_EVIDENCE} AS reason FROM f)
@@ -98,7 +98,7 @@ def _(t: Tables):
     return A.audit_startups(rows)
 
 
-_JOB_LIVE = f"(NOT {_sql_fixture('jobs', 'source_url', 'company')})"
+_JOB_LIVE = f"(NOT {sql_fixture('jobs', 'source_url', 'company')})"
 
 
 @query("audit_jobs", on("job_rows", f"""SELECT {_identity(_JOB_LIVE)}, count(*) FILTER ({_JOB_LIVE} AND trim(company) = '') AS missing_company,
@@ -131,7 +131,7 @@ def _(t: Tables):
 _NEWS_TEXT = "CASE id % 4 WHEN 0 THEN repeat('long text ', 60) WHEN 1 THEN repeat('some text ', 12) WHEN 2 THEN 'short' ELSE '' END"
 _SQL_NEWS = f""" , n AS (SELECT id, source_name, source_url, CASE WHEN id % 6 = 0 THEN 'https://a.example.net/' || CAST(id % 100 AS STRING) ELSE source_url END AS article_url,
       CASE WHEN id % 8 = 1 THEN ' ' ELSE 'Title' END AS title, published_at, age AS age_hours, status AS freshness_status,
-      CASE WHEN {_sql_fixture('news', 'source_url')} THEN 'TEST_OR_LEGACY_FIXTURE' WHEN status = 'FRESH' THEN 'PRODUCTION_FRESH' WHEN status = 'STALE' THEN 'PRODUCTION_STALE' ELSE 'UNKNOWN_DATE' END AS classification,
+      CASE WHEN {sql_fixture('news', 'source_url')} THEN 'TEST_OR_LEGACY_FIXTURE' WHEN status = 'FRESH' THEN 'PRODUCTION_FRESH' WHEN status = 'STALE' THEN 'PRODUCTION_STALE' ELSE 'UNKNOWN_DATE' END AS classification,
       CASE id % 4 WHEN 0 THEN 'FULL_TEXT' WHEN 1 THEN 'PARTIAL_TEXT' WHEN 2 THEN 'FEED_ONLY' ELSE 'FETCH_FAILURE' END AS text_quality,
       CAST(length({_NEWS_TEXT}) AS BIGINT) AS full_text_length FROM g)"""
 
@@ -175,8 +175,8 @@ FRAMES["inventory_rows"] = """
     UNION ALL SELECT 'startups', s_name FROM supplier UNION ALL SELECT 'products', p_name FROM part UNION ALL SELECT 'entity_mappings', c_name FROM customer"""
 
 
-@query("inventory", on("inventory_rows", f"""SELECT table_name, count(*) AS total, count(DISTINCT source_url) FILTER (NOT {_sql_fixture('inventory', 'source_url')}) AS distinct_urls,
-    count(*) FILTER ({_sql_fixture('inventory', 'source_url')}) AS suspect, count(*) FILTER (NOT {_sql_fixture('inventory', 'source_url')}) AS legitimate FROM f GROUP BY table_name"""))
+@query("inventory", on("inventory_rows", f"""SELECT table_name, count(*) AS total, count(DISTINCT source_url) FILTER (NOT {sql_fixture('inventory', 'source_url')}) AS distinct_urls,
+    count(*) FILTER ({sql_fixture('inventory', 'source_url')}) AS suspect, count(*) FILTER (NOT {sql_fixture('inventory', 'source_url')}) AS legitimate FROM f GROUP BY table_name"""))
 def _(t: Tables):
     urls = {
         "papers": t.documents.selectExpr("CASE WHEN doc_id % 17 = 3 THEN 'x/test-paper-' || doc_id ELSE 'https://d/' || (doc_id % 700) END AS source_url"),

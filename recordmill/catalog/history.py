@@ -196,9 +196,9 @@ def _(t: Tables):
     return R.systematic_sample(rows, ["c_mktsegment"], "c_custkey", size=50, width=100)
 
 
-@query("sample_head", "SELECT n_nationkey, n_name FROM nation ORDER BY n_nationkey LIMIT 5")
+@query("sample_head", "SELECT o_orderkey, o_orderpriority FROM orders ORDER BY o_orderkey LIMIT 5")
 def _(t: Tables):
-    return t.nation.select("n_nationkey", "n_name").orderBy("n_nationkey").limit(5)
+    return t.orders.select("o_orderkey", "o_orderpriority").orderBy("o_orderkey").limit(5)
 
 
 # --- Comparing tables -----------------------------------------------------------------------------------
@@ -223,7 +223,7 @@ FRAMES["marked_pages"] = """
       CASE WHEN page_id % 10 = 4 THEN 'sample_job_' || CAST(page_id AS STRING) ELSE 'Name' END AS name FROM pages"""
 
 
-def _sql_fixture(table: str, url: str, name: str | None = None) -> str:
+def sql_fixture(table: str, url: str, name: str | None = None) -> str:
     words = FIXTURE_KEYWORDS[table]
     target = f"lower({url})" if table == "news" else url
     hits = [f"contains({target}, '{w}')" for w in words]
@@ -233,9 +233,9 @@ def _sql_fixture(table: str, url: str, name: str | None = None) -> str:
 
 
 @query("exclude_fixtures", on("marked_pages", f"""
-    SELECT 'papers' AS rule, page_id FROM f WHERE NOT {_sql_fixture('papers', 'url')} UNION ALL SELECT 'products', page_id FROM f WHERE NOT {_sql_fixture('products', 'url', 'name')}
-    UNION ALL SELECT 'startups', page_id FROM f WHERE NOT {_sql_fixture('startups', 'url', 'name')} UNION ALL SELECT 'jobs', page_id FROM f WHERE NOT {_sql_fixture('jobs', 'url', 'name')}
-    UNION ALL SELECT 'news', page_id FROM f WHERE NOT {_sql_fixture('news', 'url')} UNION ALL SELECT 'export', page_id FROM f WHERE NOT {_sql_fixture('export', 'url')}"""))
+    SELECT 'papers' AS rule, page_id FROM f WHERE NOT {sql_fixture('papers', 'url')} UNION ALL SELECT 'products', page_id FROM f WHERE NOT {sql_fixture('products', 'url', 'name')}
+    UNION ALL SELECT 'startups', page_id FROM f WHERE NOT {sql_fixture('startups', 'url', 'name')} UNION ALL SELECT 'jobs', page_id FROM f WHERE NOT {sql_fixture('jobs', 'url', 'name')}
+    UNION ALL SELECT 'news', page_id FROM f WHERE NOT {sql_fixture('news', 'url')} UNION ALL SELECT 'export', page_id FROM f WHERE NOT {sql_fixture('export', 'url')}"""))
 def _(t: Tables):
     named = {"products", "startups", "jobs"}
     rules = ("papers", "products", "startups", "jobs", "news", "export")
@@ -246,8 +246,8 @@ def _(t: Tables):
     return rows.select(F.explode(kept).alias("rule"), "page_id")
 
 
-@query("reconcile_counts", on("marked_pages", f"""SELECT count(*) AS table_rows, count(*) FILTER (NOT {_sql_fixture('export', 'url')}) AS production_rows,
-    count(*) FILTER ({_sql_fixture('export', 'url')}) AS fixture_rows, count(*) FILTER (NOT {_sql_fixture('export', 'url')}) AS export_rows, true AS reconciled FROM f"""))
+@query("reconcile_counts", on("marked_pages", f"""SELECT count(*) AS table_rows, count(*) FILTER (NOT {sql_fixture('export', 'url')}) AS production_rows,
+    count(*) FILTER ({sql_fixture('export', 'url')}) AS fixture_rows, count(*) FILTER (NOT {sql_fixture('export', 'url')}) AS export_rows, true AS reconciled FROM f"""))
 def _(t: Tables):
     rows = t.frame("marked_pages")
     return Z.reconcile_counts(rows, Z.without_fixtures(rows, "export", "url"), is_fixture("export", F.col("url")))

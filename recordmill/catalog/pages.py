@@ -600,9 +600,9 @@ def _(t: Tables):
     return first_source_wins(customers.unionByName(suppliers))
 
 
-@query("table_read", "SELECT * FROM nation")
+@query("table_read", "SELECT * FROM customer")
 def _(t: Tables):
-    return table_read(t.spark, t.folder, "nation", extra=("nation",))
+    return table_read(t.spark, t.folder, "customer", extra=("customer",))
 
 
 @query("union_sources", """SELECT page_id AS seq, url, 'pages' AS source_name FROM pages

@@ -399,9 +399,8 @@ def _(t: Tables):
     UNION ALL SELECT 'by_id', id FROM p WHERE arxiv_id = '2301.10007'
     UNION ALL SELECT 'pending', id FROM p WHERE st = 'PENDING'"""))
 def _(t: Tables):
-    papers = t.frame("paper_rows").filter("published_date < '3' OR published_date IS NOT NULL")
     papers = P.backfill_papers(
-        papers.withColumn("authors", F.split("author_list", ",")).withColumn(
+        t.frame("paper_rows").withColumn("authors", F.split("author_list", ",")).withColumn(
             "data_json", F.to_json(F.struct(F.struct(F.col("category").alias("primaryCategory")).alias("content")))
         )
     )

@@ -181,7 +181,7 @@ def truncate_middle(c: Column, max_words: int = 2500) -> Column:
 
 
 def paragraphs_of(c: Column, separator: str = "\n\n") -> Column:
-    return F.split(c, F.lit(separator.replace("\n", r"\n")), -1)
+    return F.split(c, F.lit(rf"\Q{separator}\E"), -1)
 
 
 def chunk_starts(sizes: Column, max_words: int = 1500) -> Column:
