@@ -144,33 +144,35 @@ def exact_hits(prepared: DataFrame, lookups: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def _substrings(c: Column, shortest: int, longest: int) -> Column:
+    """Distinct substrings with lengths in the range."""
+    last = F.length(c) - shortest + 1
+    starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+    from_start = F.transform(
+        starts,
+        lambda i: F.transform(
+            F.sequence(F.lit(shortest), F.least(F.lit(longest), F.length(c) - i + 1)),
+            lambda n: F.substr(c, i, n),
+        ),
+    )
+    return F.array_distinct(F.flatten(from_start))
+
+
 def composite_hits(residual: DataFrame, master: DataFrame) -> DataFrame:
     """First master row, in order, whose name contains or is contained in the record's name, with
     no distinguishing word between the two, and one of whose domains occurs in the record's domain.
 
     Works on distinct (name, domain) pairs. Each distinct domain is taken apart once."""
     wanted = residual.filter("norm_domain <> ''").select("normalized_value", "norm_domain").distinct()
-    domains = wanted.select("norm_domain").distinct()
-    size = F.length("norm_domain")
-    parts = F.explode(
-        F.array_distinct(
-            F.flatten(
-                F.transform(
-                    F.sequence(F.lit(1), size),
-                    lambda i: F.transform(
-                        F.sequence(F.lit(1), size - i + 1),
-                        lambda n: F.substr(F.col("norm_domain"), i, n),
-                    ),
-                )
-            )
-        )
-    ).alias("part")
     claims = master.select(
         F.col("seq").alias("master_seq"), *_ENTITY, "normalized_name", F.explode("domains").alias("part")
     ).filter("part <> ''")
+    claimed = join_side(claims, "domain-claims")
+    shortest, longest = claimed.agg(F.min(F.length("part")), F.max(F.length("part"))).first()
     candidates = (
-        domains.select("norm_domain", parts)
-        .join(join_side(claims, "domain-claims"), "part")
+        wanted.select("norm_domain").distinct()
+        .select("norm_domain", F.explode(_substrings(F.col("norm_domain"), shortest or 1, longest or 1)).alias("part"))
+        .join(claimed, "part")
         .drop("part")
         .distinct()
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -54,19 +54,14 @@ def cut_lineage(df: DataFrame, purpose: str) -> DataFrame:
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def measured(df: DataFrame) -> tuple[int, int]:
-    """Rows, and the bytes of their text form, counted where the rows lie."""
-    size = F.octet_length(F.to_json(F.struct(*df.columns)))
-    rows, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
-    return rows, total
-
-
 def join_side(df: DataFrame, purpose: str, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """One side of a join, written to the shared folder and measured. Up to ``limit`` bytes it is
-    marked for broadcast, which spares the other side its shuffle; beyond that it is left to an
-    ordinary shuffled join, whose skewed partitions AQE splits."""
-    table = cut_lineage(df, purpose)
-    return F.broadcast(table) if measured(table)[1] <= limit else table
+    """One side of a join, written to the shared folder and measured while it is written. Up to
+    ``limit`` bytes of text it is marked for broadcast, which spares the other side its shuffle;
+    beyond that it is left to an ordinary shuffled join, whose skewed partitions AQE splits."""
+    watch = Observation()
+    size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("bytes")
+    table = cut_lineage(df.observe(watch, size), purpose)
+    return F.broadcast(table) if (watch.get["bytes"] or 0) <= limit else table
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
