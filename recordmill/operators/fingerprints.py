@@ -52,27 +52,23 @@ def simhash64(df: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
-def _block_keys(simhash: Column, distance: int, extra: int) -> Column:
-    """Keys of which two fingerprints within ``distance`` share at least one.
+def _block_masks(distance: int, extra: int) -> list[int]:
+    """Bit masks such that two fingerprints within ``distance`` agree under at least one.
 
     The 64 bits are cut into ``distance + extra`` blocks. Differences touch at most ``distance``
-    blocks, so some choice of ``extra`` blocks is equal in both. More blocks mean more keys per
-    fingerprint but far fewer chance meetings: with ``extra=3`` a key fixes about 32 bits."""
+    blocks, so some choice of ``extra`` blocks is equal in both. More blocks mean more masks, but
+    far fewer chance meetings: with ``extra=3`` a mask fixes about 32 bits."""
     count = distance + extra
     edges = [round(i * 64 / count) for i in range(count + 1)]
-    keys = []
-    for n, chosen in enumerate(combinations(range(count), extra)):
-        mask = 0
-        for b in chosen:
-            mask |= ((1 << (edges[b + 1] - edges[b])) - 1) << edges[b]
-        signed = mask - (1 << 64) if mask >= 1 << 63 else mask
-        keys.append(
-            F.struct(
-                F.lit(n).cast("smallint").alias("choice"),
-                simhash.bitwiseAND(F.lit(signed).cast("bigint")).alias("bits"),
-            )
-        )
-    return F.array(*keys)
+    masks = []
+    for chosen in combinations(range(count), extra):
+        mask = sum(((1 << (edges[b + 1] - edges[b])) - 1) << edges[b] for b in chosen)
+        masks.append(mask - (1 << 64) if mask >= 1 << 63 else mask)
+    return masks
+
+
+def _masked(c: Column, mask: int) -> Column:
+    return c.bitwiseAND(F.lit(mask).cast("bigint"))
 
 
 def near_fingerprints(
@@ -88,9 +84,9 @@ def near_fingerprints(
     A pair is reported only under the first key the two share, so nothing has to be made distinct
     afterwards. A fingerprint has at most 43,744 others within 3 bits, which bounds the result."""
     distinct = cut_lineage(prints.select("simhash").distinct(), "fingerprints")
-    keyed = distinct.select(
-        "simhash", F.explode(_block_keys(F.col("simhash"), distance, extra)).alias("k")
-    ).select("simhash", "k.choice", "k.bits")
+    masks = _block_masks(distance, extra)
+    keys = F.array(*[_masked(F.col("simhash"), m) for m in masks])
+    keyed = distinct.select("simhash", F.posexplode(keys).alias("choice", "bits"))
     shared_keys = keyed.groupBy("choice", "bits").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     live = cut_lineage(
         keyed.join(shared_keys, ["choice", "bits"]).withColumn(
@@ -106,26 +102,19 @@ def near_fingerprints(
         F.col("simhash").alias("b"), "choice", "bits",
         F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("salt"),
     )
-    pairs = left.join(
+    differing = left.a.bitwiseXOR(right.b)
+    first = F.coalesce(*[
+        F.when(_masked(differing, m) == 0, F.lit(n)) for n, m in enumerate(masks)
+    ])
+    return left.join(
         right,
         (left.choice == right.choice)
         & (left.bits == right.bits)
         & (left.salt == right.salt)
         & (left.a < right.b)
-        & (F.bit_count(left.a.bitwiseXOR(right.b)) <= distance),
-    ).select("a", "b", left.choice.alias("choice"))
-    shared = F.arrays_zip(
-        _block_keys(F.col("a"), distance, extra).alias("x"),
-        _block_keys(F.col("b"), distance, extra).alias("y"),
-    )
-    first = F.array_min(
-        F.transform(
-            F.filter(shared, lambda z: z["x"]["bits"] == z["y"]["bits"]), lambda z: z["x"]["choice"]
-        )
-    )
-    return pairs.filter(F.col("choice") == first).select(
-        "a", "b", hamming64(F.col("a"), F.col("b")).alias("distance")
-    )
+        & (F.bit_count(differing) <= distance)
+        & (left.choice == first),
+    ).select("a", "b", hamming64(F.col("a"), F.col("b")).alias("distance"))
 
 
 def near_duplicates(prints: DataFrame, distance: int = 3) -> DataFrame:
