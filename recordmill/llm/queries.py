@@ -42,7 +42,7 @@ _WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 OP1_SQL = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS_SQL} AS w FROM documents),
-l AS (SELECT *, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+l AS (SELECT *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
 p AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM d WHERE len(w) >= 3),
 g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM p),
 r AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM g WHERE n > 1) GROUP BY doc_id),
@@ -56,7 +56,7 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
        CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
        NOT (base_failed OR 10 * n_symbols > 3 * n_words OR 2 * n_dup_lines > n_lines
             OR word_chars < 2 * n_words OR word_chars > 15 * n_words
-            OR 100 * len(list_filter({_WORDS_SQL.replace("coalesce(text, '')", "t")}, x -> regexp_matches(x, '\p{{Lu}}.*\p{{Lu}}') AND NOT regexp_matches(x, '\p{{Ll}}'))) > 50 * n_words
+            OR 100 * len(list_filter({_WORDS_SQL.replace("coalesce(text, '')", "t")}, lambda x: regexp_matches(x, '\p{{Lu}}.*\p{{Lu}}') AND NOT regexp_matches(x, '\p{{Ll}}'))) > 50 * n_words
             OR 2 * len(regexp_extract_all(t, '\p{{L}}+')) < n_words
             OR 10 * len(regexp_extract_all(t, '(?m)^[\x20\x09]*[-*•]')) > 9 * n_lines
             OR 10 * len(regexp_extract_all(t, '(?m)(\.\.\.|…)[\x20\x09]*$')) > 3 * n_lines) AS kept
@@ -154,28 +154,28 @@ h AS (SELECT *, regexp_replace(regexp_replace(lower(front), '^[a-z][a-z0-9+.-]*:
              regexp_replace(substr(trim(target_uri), length(front) + 1), '#.*$', '', 's') AS rest FROM f),
 c AS (SELECT record_id, record_type, ts,
              CASE WHEN front <> '' THEN host || CASE WHEN starts_with(rest, '/') THEN rest ELSE '/' || rest END END AS canonical,
-             list_transform(list_filter(string_split(http_headers, chr(10)), x -> strpos(x, ':') > 1),
-                            x -> {{'name': lower(trim(split_part(x, ':', 1))), 'value': trim(substr(x, strpos(x, ':') + 1))}}) AS own
+             list_transform(list_filter(string_split(http_headers, chr(10)), lambda x: strpos(x, ':') > 1),
+                            lambda x: {{'name': lower(trim(split_part(x, ':', 1))), 'value': trim(substr(x, strpos(x, ':') + 1))}}) AS own
       FROM h),
 j AS (SELECT r.*, p.record_id AS pid, p.own AS stored,
              row_number() OVER (PARTITION BY r.record_id ORDER BY p.ts DESC, p.record_id DESC) AS k
       FROM c r LEFT JOIN c p ON p.record_type = 'response' AND p.canonical = r.canonical
            AND (p.ts < r.ts OR p.ts = r.ts AND p.record_id < r.record_id)
       WHERE r.record_type = 'revisit'),
-v AS (SELECT *, regexp_replace(list_filter(own, x -> x.name = 'etag')[1].value, '^W/', '') AS e1,
-             regexp_replace(list_filter(stored, x -> x.name = 'etag')[1].value, '^W/', '') AS e2,
-             list_filter(own, x -> x.name = 'last-modified')[1].value AS m1,
-             list_filter(stored, x -> x.name = 'last-modified')[1].value AS m2 FROM j WHERE k = 1),
+v AS (SELECT *, regexp_replace(list_filter(own, lambda x: x.name = 'etag')[1].value, '^W/', '') AS e1,
+             regexp_replace(list_filter(stored, lambda x: x.name = 'etag')[1].value, '^W/', '') AS e2,
+             list_filter(own, lambda x: x.name = 'last-modified')[1].value AS m1,
+             list_filter(stored, lambda x: x.name = 'last-modified')[1].value AS m2 FROM j WHERE k = 1),
 s AS (SELECT *, CASE WHEN canonical IS NULL THEN 'no_url' WHEN pid IS NULL THEN 'no_response'
                      WHEN e1 IS NOT NULL AND e2 IS NOT NULL THEN CASE WHEN e1 = e2 THEN 'resolved' ELSE 'mismatch' END
                      WHEN m1 IS NOT NULL AND m2 IS NOT NULL THEN CASE WHEN m1 = m2 THEN 'resolved' ELSE 'mismatch' END
                      ELSE 'no_validator' END AS status,
-             list_filter(own, x -> x.name IN ('cache-control', 'content-location', 'date', 'etag', 'expires', 'last-modified', 'vary')) AS allowed
+             list_filter(own, lambda x: x.name IN ('cache-control', 'content-location', 'date', 'etag', 'expires', 'last-modified', 'vary')) AS allowed
       FROM v)
 SELECT record_id, canonical, ts, pid AS response_id, status,
        array_to_string(list_transform(list_sort(CASE WHEN status = 'resolved' THEN list_concat(
-           list_filter(stored, x -> NOT list_contains(list_transform(allowed, y -> y.name), x.name)), allowed) ELSE own END),
-           x -> x.name || ': ' || x.value), chr(10)) AS headers
+           list_filter(stored, lambda x: NOT list_contains(list_transform(allowed, lambda y: y.name), x.name)), allowed) ELSE own END),
+           lambda x: x.name || ': ' || x.value), chr(10)) AS headers
 FROM s
 """
 
