@@ -3,6 +3,7 @@
 from recordmill.catalog.base import ORACLES, QUERIES
 from recordmill.catalog import (  # noqa: F401  (registration by import)
     audits,
+    batches,
     entities,
     history,
     pages,

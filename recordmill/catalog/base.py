@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordmill.fixed_values import SPACE
-from recordmill.session import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -191,11 +190,6 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def spread(self, name: str) -> DataFrame:
-        """A table for work that is heavy on the processor."""
-        df = getattr(self, name)
-        return spread(df, df.columns[0])
-
     def frame(self, name: str) -> DataFrame:
         """A derived frame."""
         text = FRAMES[name]

@@ -187,18 +187,18 @@ def _(t: Tables):
 
 
 @query("systematic_sample", """SELECT c_mktsegment, c_custkey, pos AS position FROM (
-      SELECT c_mktsegment, c_custkey, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) AS pos,
+      SELECT c_mktsegment, c_custkey, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey * 7919 % 1000003 * 1000003 + c_custkey) AS pos,
         greatest(1, count(*) OVER (PARTITION BY c_mktsegment) // 50) AS step FROM customer)
     WHERE (pos - 1) % step = 0 AND (pos - 1) // step < 50""")
 def _(t: Tables):
-    rows = t.customer.select("c_mktsegment", "c_custkey")
-    # Narrow ranges, so that the offsets between ranges are exercised on small tables too.
-    return R.systematic_sample(rows, ["c_mktsegment"], "c_custkey", size=50, width=100)
+    # The order is that of a hash, so numbers are sparse. Many ranges exercise the offsets on small tables too.
+    rows = t.customer.select("c_mktsegment", "c_custkey", (F.col("c_custkey") * 7919 % 1000003 * 1000003 + F.col("c_custkey")).alias("h"))
+    return R.systematic_sample(rows, ["c_mktsegment"], "h", size=50, parts=16).drop("h")
 
 
 @query("sample_head", "SELECT o_orderkey, o_orderpriority FROM orders ORDER BY o_orderkey LIMIT 5")
 def _(t: Tables):
-    return t.orders.select("o_orderkey", "o_orderpriority").orderBy("o_orderkey").limit(5)
+    return R.sample_head(t.orders.select("o_orderkey", "o_orderpriority"), [F.asc("o_orderkey")], 5)
 
 
 # --- Comparing tables -----------------------------------------------------------------------------------

@@ -39,7 +39,7 @@ def at() -> Column:
 
 
 def page_payloads(t: Tables) -> DataFrame:
-    return t.spread("pages").select(
+    return t.pages.select(
         F.col("page_id").alias("seq"), "url", F.lit("WebPages").alias("source_name"),
         F.col("html").alias("raw_content"),
         F.when(F.col("page_id") % 4 == 0, F.lit("application/xml")).otherwise(F.lit("text/html")).alias("content_type"),
@@ -103,7 +103,7 @@ def atom_payloads(t: Tables) -> DataFrame:
         _element("summary", F.concat(text, link)),
         F.lit("</entry></feed>"),
     )
-    return t.spread("documents").select(
+    return t.documents.select(
         doc.alias("seq"),
         F.concat(F.lit("https://arxiv.org/abs/"), doc.cast("string")).alias("url"),
         F.lit("ArXiv").alias("source_name"), body.alias("raw_content"),
@@ -317,12 +317,7 @@ def _job_columns(df: DataFrame) -> DataFrame:
               coalesce(location, CASE seq % 3 WHEN 0 THEN 'Worldwide Remote' WHEN 1 THEN CASE WHEN is_remote THEN 'Remote' ELSE 'Europe' END ELSE 'Remote' END) AS location
               FROM f)))"""))
 def _(t: Tables):
-    rows = board_payloads(t)
-    parts = [
-        jobs.jobs_json_flat(rows.filter(F.col("source_name") == b), b, ref(), at())
-        for b in ("RemoteOKAI", "Arbeitnow", "Jobicy")
-    ]
-    return _job_columns(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    return _job_columns(jobs.jobs_json_flat(board_payloads(t), None, ref(), at()))
 
 
 # A first line of parts, and the document below it.

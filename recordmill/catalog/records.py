@@ -18,7 +18,7 @@ from recordmill.operators.audits import audit_jobs
 from recordmill.operators.chunks import merge_partials
 from recordmill.operators.vectors import similar_vectors
 from recordmill.schemas import RECORD_RULES, Rule
-from recordmill.session import shared_dir, spread
+from recordmill.session import shared_dir
 
 # --- Validation ---------------------------------------------------------------------------------
 
@@ -137,7 +137,7 @@ def _register_validation(kind: str, name: str) -> None:
 
     @query(name, on(frame, f"SELECT seq, errors, errors = '' AS valid FROM (SELECT seq, {sql_errors(kind)} AS errors FROM f)"))
     def _(t: Tables):
-        checked = V.validate(spread(t.frame(frame), "seq"), kind)
+        checked = V.validate(t.frame(frame), kind)
         return checked.select("seq", F.array_join("errors", "; ").alias("errors"), "valid")
 
 
@@ -404,9 +404,8 @@ def _(t: Tables):
             "data_json", F.to_json(F.struct(F.struct(F.col("category").alias("primaryCategory")).alias("content")))
         )
     )
-    dated = papers.filter("published_date < '3'")
     found = {
-        "recent": P.recent_papers(dated, F.lit("2026-01-01"), 20),
+        "recent": P.recent_papers(papers, F.lit("2026-01-01"), 20),
         "category": P.papers_in_category(papers, "cs.CL"),
         "starred": P.top_starred(papers, 20),
         "by_id": P.paper_by_id(papers, "2301.10007"),
@@ -421,21 +420,22 @@ def _(t: Tables):
 
 @query("startups_with_starred_papers", on("repo_status", f"""
     , r AS (SELECT {sql_github('github_url')} AS repo, max(stars) AS stars FROM f GROUP BY 1),
-    p AS (SELECT doc_id % 97 AS startup_id, 'https://github.com/lab' || CAST(doc_id % 60 AS STRING) || '/repo' AS repo FROM documents)
+    p AS (SELECT doc_id % 10007 AS startup_id, 'https://github.com/lab' || CAST(doc_id % 60 AS STRING) || '/repo' AS repo FROM documents)
     SELECT s_suppkey AS startup_id, s_name, count(*) AS papers, max(stars) AS max_stars FROM supplier JOIN p ON startup_id = s_suppkey JOIN r USING (repo)
     WHERE stars > 1500 GROUP BY ALL"""))
 def _(t: Tables):
     repos = t.frame("repo_status").groupBy(github_url(F.col("github_url")).alias("repo")).agg(F.max("stars").alias("stars"))
     papers = t.documents.selectExpr(
-        "doc_id % 97 AS startup_id", "'https://github.com/lab' || CAST(doc_id % 60 AS STRING) || '/repo' AS repo"
+        "doc_id % 10007 AS startup_id", "'https://github.com/lab' || CAST(doc_id % 60 AS STRING) || '/repo' AS repo"
     )
     startups = t.supplier.select(F.col("s_suppkey").alias("startup_id"), "s_name")
     return L.startups_with_starred_papers(startups, papers, repos, 1500)
 
 
 @query("similar_vectors", """WITH q AS (SELECT CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id = 0)
-    SELECT vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), (SELECT v FROM q)), 6) AS similarity
-    FROM embeddings ORDER BY similarity DESC, vec_id LIMIT 20""")
+    SELECT vec_id, round(score, 6) AS similarity FROM (
+      SELECT vec_id, list_cosine_similarity(CAST(embedding AS DOUBLE[]), (SELECT v FROM q)) AS score FROM embeddings)
+    ORDER BY score DESC, vec_id LIMIT 20""")
 def _(t: Tables):
     wanted = t.embeddings.filter("vec_id = 0").select("embedding").first()
     return similar_vectors(t.embeddings, "vec_id", "embedding", list(wanted[0]), 20)

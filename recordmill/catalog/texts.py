@@ -267,14 +267,14 @@ def _(t: Tables):
 
 @query("simhash64", f"WITH {sql_simhash('doc_id', 'text', 'documents')} SELECT doc_id, simhash FROM prints")
 def _(t: Tables):
-    return simhash64(t.spread("documents"), "doc_id", "text")
+    return simhash64(t.documents, "doc_id", "text")
 
 
 @query("hamming64", f"""WITH {sql_simhash('doc_id', 'text', 'documents')}
     SELECT a.doc_id, CAST(bit_count(xor(a.simhash, b.simhash)) AS BIGINT) AS distance
     FROM prints a JOIN prints b ON b.doc_id = a.doc_id + 1""")
 def _(t: Tables):
-    prints = cut_lineage(simhash64(t.spread("documents"), "doc_id", "text"), "prints")
+    prints = cut_lineage(simhash64(t.documents, "doc_id", "text"), "prints")
     following = prints.select((F.col("doc_id") - 1).alias("doc_id"), F.col("simhash").alias("next"))
     return prints.join(following, "doc_id").select(
         "doc_id", X.hamming64(F.col("simhash"), F.col("next")).alias("distance")
@@ -289,7 +289,7 @@ def _(t: Tables):
     FROM g a JOIN g b ON a.simhash < b.simhash AND bit_count(xor(a.simhash, b.simhash)) <= 3
     UNION ALL SELECT simhash, simhash, 0, docs, docs FROM g WHERE docs > 1""")
 def _(t: Tables):
-    prints = cut_lineage(simhash64(t.spread("documents"), "doc_id", "text"), "prints")
+    prints = cut_lineage(simhash64(t.documents, "doc_id", "text"), "prints")
     return near_duplicates(prints)
 
 
@@ -302,7 +302,7 @@ def _(t: Tables):
 def _(t: Tables):
     # The documents carry no time: one is taken to arrive every three hours.
     arrival = F.timestamp_seconds(F.col("doc_id") * 3 * 3600).alias("ts")
-    prints = simhash64(t.spread("documents"), "doc_id", "text").select("doc_id", "simhash", arrival)
+    prints = simhash64(t.documents, "doc_id", "text").select("doc_id", "simhash", arrival)
     return near_dup_window(cut_lineage(prints, "prints"), "doc_id", "ts")
 
 
@@ -334,7 +334,7 @@ _NEWS_TEXT = """text || CASE doc_id % 6 WHEN 0 THEN ' OpenAI and GPT-4o, not GPT
 
 @query("entities_mentioned", f"SELECT doc_id, {sql_mentions('t')} AS entities FROM (SELECT doc_id, {_NEWS_TEXT} AS t FROM documents)")
 def _(t: Tables):
-    rows = t.spread("documents").selectExpr("doc_id", f"{_NEWS_TEXT} AS t")
+    rows = t.documents.selectExpr("doc_id", f"{_NEWS_TEXT} AS t")
     found = X.entities_mentioned(F.col("t"))
     return rows.select("doc_id", F.array_join(found, ";").alias("entities"))
 
@@ -352,7 +352,7 @@ def _(t: Tables):
 
 @query("min_length_filter", "SELECT conv_id, turn FROM conversations WHERE length(text) >= 30")
 def _(t: Tables):
-    return t.conversations.filter(F.length("text") >= 30).select("conv_id", "turn")
+    return t.conversations.filter(X.has_length(F.col("text"))).select("conv_id", "turn")
 
 
 _LEGAL = rf"(?i)\b({LEGAL_ENTITY_TERMS})\b"
@@ -389,7 +389,7 @@ def _(t: Tables):
 
 @query("clean_html_text", f"SELECT page_id, {sql_clean_html('html')} AS text FROM pages")
 def _(t: Tables):
-    return H.with_clean_text(t.spread("pages"), "html", "text").select("page_id", "text")
+    return H.with_clean_text(t.pages, "html", "text").select("page_id", "text")
 
 
 @query("truncate_middle", f"SELECT doc_id, {sql_truncate('text', 100)} AS text FROM documents")
@@ -400,7 +400,7 @@ def _(t: Tables):
 @query("prepare_payload", f"""SELECT page_id, {sql_truncate('c', 60)} AS text
     FROM (SELECT page_id, {sql_clean_html('html')} AS c FROM pages)""")
 def _(t: Tables):
-    return H.with_prepared_payload(t.spread("pages"), "html", "text", 60).select("page_id", "text")
+    return H.with_prepared_payload(t.pages, "html", "text", 60).select("page_id", "text")
 
 
 @query("structural_chunks", f"""WITH RECURSIVE paras AS (
@@ -416,7 +416,7 @@ def _(t: Tables):
     SELECT c.doc_id, pos, string_agg(para, chr(10) ORDER BY c.i) AS chunk
     FROM walk JOIN c ON c.doc_id = walk.doc_id AND c.i = walk.i GROUP BY c.doc_id, pos""")
 def _(t: Tables):
-    return chunk_rows(t.spread("documents"), "doc_id", "text", max_words=80, separator="\n")
+    return chunk_rows(t.documents, "doc_id", "text", max_words=80, separator="\n")
 
 
 def sql_startup_class(url: str, name: str, description: str, website: str) -> str:
@@ -540,7 +540,7 @@ def written_date():
       WHEN event_id % 8 < 6 THEN strftime(ts, {_ISO}) END AS at FROM events""")
 def _(t: Tables):
     parsed = T.parse_timestamp(written_date(), ref())
-    return t.spread("events").select("event_id", T.iso8601(parsed).alias("at"))
+    return t.events.select("event_id", T.iso8601(parsed).alias("at"))
 
 
 @query("iso8601_utc", f"SELECT event_id, strftime(ts, {_ISO}) AS at FROM events")
@@ -612,7 +612,7 @@ def _(t: Tables):
 
 @query("valid_url", "SELECT page_id, starts_with(url, 'http') AS valid FROM pages")
 def _(t: Tables):
-    return t.pages.select("page_id", F.startswith("url", F.lit("http")).alias("valid"))
+    return t.pages.select("page_id", X.is_web_url(F.col("url")).alias("valid"))
 
 
 @query("valid_repo_url", on("paper_rows", r"""SELECT id, coalesce(regexp_full_match(trim(github_url),

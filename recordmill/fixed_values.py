@@ -178,6 +178,19 @@ JOB_BOARDS = {
 NEWS_FEEDS = {
     "TechCrunchAI": ("TechCrunch AI News", "TechCrunch AI News article"),
     "HuggingFaceDailyPapers": ("HuggingFace Daily Paper", "HuggingFace Daily Paper"),
+    "MITTechReviewAI": ("MIT Technology Review AI", "MIT Technology Review AI article"),
+    "OpenAIBlog": ("OpenAI News Announcement", "OpenAI News"),
+}
+STORY_TITLE = "Hacker News AI Story"
+# Further names of the sources.
+SOURCE_ALIASES = {
+    "ArXiv": ("paperswithcode",),
+    "GitHub Organizations": ("githuborgs", "startups"),
+    "GitHub Repositories": ("githubproducts", "products"),
+    "Hugging Face Models": ("hfmodels",),
+    "RemoteOKAI": ("aijobsnet",),
+    "Arbeitnow": ("ycworkatastartup", "jobs"),
+    "Jobicy": ("cryptojobsai",),
 }
 
 # --- Export headers ---------------------------------------------------------------------------------------
@@ -237,3 +250,6 @@ READABLE_TABLES = [
     "startups", "products", "research_papers", "jobs", "news", "canonical_entities",
     "entity_mappings", "dlq_records",
 ]
+
+# Evidence text of a new entity.
+NEW_ENTITY_REASON = "No existing canonical entity matched deterministic rules. Created new canonical record."

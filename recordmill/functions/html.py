@@ -13,7 +13,9 @@ from recordmill.fixed_values import JSON_LD_DATE_KEYS, META_DATE_KEYS, NOISE_TAG
 from recordmill.functions.text import blank_to_null, strip, truncate_middle
 
 _NOISE = r"(?is)<(?:!--.*?-->|(" + "|".join(NOISE_TAGS) + r")\b[^>]*>.*?</\1\s*>)"
-_TAG = "<[^>]+>"
+# A tag begins with a letter, a slash, ``!`` or ``?``; a bare ``<`` is text. A ``>`` inside quotes does
+# not end it, unless the quote is never closed.
+_TAG = r"<[a-zA-Z/!?](?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+>|<[a-zA-Z/!?][^>]*+>"
 _META = r"(?is)<meta\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
 _BLOCK_OPEN = r"(?i)<(?:p|h[1-4]|li|section)\b[^>]*>"
 _BLOCK_EDGE = r"(?i)</?(?:p|h[1-4]|li|section|article|main|body|ul|ol|div|table|tr|td)\b[^>]*>"
@@ -126,11 +128,47 @@ def json_ld_dates(objects: Column) -> Column:
     return F.flatten(F.transform(objects, dates))
 
 
+def _bind(value: Column, body) -> Column:
+    """``body`` over ``value``, which is evaluated once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _up_to_close(tail: Column, tag: str) -> Column:
+    """What follows a start tag, up to the end tag that belongs to it; all of it when none does.
+    A running depth over the tags of that name finds the one that closes."""
+    edge = rf"(?i)</?{tag}\b[^>]*>"
+
+    def cut(tags: Column) -> Column:
+        start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("at"), F.lit(-1).alias("close"))
+
+        def step(state: Column, t: Column) -> Column:
+            depth = state["depth"] + F.when(F.startswith(t, F.lit("</")), -1).otherwise(1)
+            return F.struct(
+                depth.alias("depth"), (state["at"] + 1).alias("at"),
+                F.when((state["close"] < 0) & (depth < 0), state["at"]).otherwise(state["close"]).alias("close"),
+            )
+
+        close = F.aggregate(tags, start, step, lambda state: state["close"])
+
+        def joined(k: Column) -> Column:
+            pieces = _bind(F.split(tail, edge, -1), lambda p: F.transform(
+                F.sequence(F.lit(0), k),
+                lambda i: F.concat(F.get(p, i), F.when(i < k, F.get(tags, i)).otherwise(F.lit(""))),
+            ))
+            return F.when(k < 0, tail).otherwise(F.array_join(pieces, ""))
+
+        return _bind(close, joined)
+
+    return _bind(F.regexp_extract_all(tail, F.lit(edge), F.lit(0)), cut)
+
+
 def main_container(clean: Column) -> Column:
-    """Article, else main, else the first content-like div, else body, else all of it."""
+    """Article, else main, else the first content-like div, else body, else all of it. Nested
+    elements of the same name belong to the container; an unclosed one reaches to the end."""
     def inside(opening: str, tag: str) -> Column:
-        closed = rf"(?is)<{opening}(.*?)</{tag}\s*>"
-        return F.get(F.regexp_extract_all(clean, F.lit(closed), F.lit(1)), 0)
+        first = rf"(?i)<{opening}"
+        tail = F.get(F.split(clean, first, 2), 1)
+        return F.when(clean.rlike(first), _bind(tail, lambda t: _up_to_close(t, tag)))
 
     content_div = r"div\b[^>]*class\s*=\s*[\"'][^\"'>]*(?:content|post|article|body|entry)[^>]*>"
     return F.coalesce(

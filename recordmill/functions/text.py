@@ -236,3 +236,12 @@ def url_path_date(c: Column) -> Column:
     """Date written in the path, as in ``/2026/09/10/``."""
     found = F.regexp_extract(c, r"/(\d{4}/\d{2}/\d{2})(/|$)", 1)
     return F.try_to_date(blank_to_null(found), "yyyy/MM/dd")
+
+
+def is_web_url(c: Column) -> Column:
+    return F.startswith(c, F.lit("http"))
+
+
+def has_length(c: Column, least: int = 30) -> Column:
+    """Text of at least so many characters; null has none."""
+    return F.length(F.coalesce(c, F.lit(""))) >= least

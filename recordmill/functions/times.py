@@ -54,38 +54,63 @@ def relative_loose(c: Column, ref: Column) -> Column:
     )
 
 
-# Written dates: the shape of the string and the format to read it with. Weekday names are removed
-# beforehand. The shape decides, so at most one format is tried on a string.
-_CLOCK = r"\d{1,2}:\d{2}:\d{2}"
-WRITTEN_FORMATS = [
-    (rf"\d{{1,2}} [A-Za-z]{{3}} \d{{4}} {_CLOCK} [+-]\d{{4}}", "d MMM yyyy H:mm:ss Z"),
-    (rf"\d{{1,2}} [A-Za-z]{{3}} \d{{4}} {_CLOCK} [A-Z]{{1,5}}", "d MMM yyyy H:mm:ss z"),
-    (rf"\d{{1,2}} [A-Za-z]{{3}} \d{{4}} {_CLOCK}", "d MMM yyyy H:mm:ss"),
-    (r"\d{1,2} [A-Za-z]{3} \d{4} \d{1,2}:\d{2}", "d MMM yyyy H:mm"),
-    (r"\d{1,2} [A-Za-z]{3} \d{4}", "d MMM yyyy"),
-    (r"\d{1,2} [A-Za-z]{4,} \d{4}", "d MMMM yyyy"),
-    (r"[A-Za-z]{3} \d{1,2}, \d{4}", "MMM d, yyyy"),
-    (r"[A-Za-z]{4,} \d{1,2}, \d{4}", "MMMM d, yyyy"),
-    (r"[A-Za-z]{3} \d{1,2} \d{4}", "MMM d yyyy"),
-    (r"[A-Za-z]{4,} \d{1,2} \d{4}", "MMMM d yyyy"),
+# Written dates, weekday names removed: day, month name, year, then perhaps a clock, a half of the day
+# and a zone. Month-first forms are turned around beforehand. The parts are put into one of four
+# shapes, so at most one format is tried on a string.
+_MONTH = (
+    "Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sep(?:t(?:ember)?)?"
+    "|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?"
+)
+_WRITTEN = (
+    rf"(?i)^(\d{{1,2}}) ({_MONTH}),? (\d{{4}}|\d{{2}})"
+    r"(?:,? (?:at )?(\d{1,2}:\d{2})(:\d{2})?(?: ?([AP]M))?)?(?: ([+-]\d{2}:?\d{2}|[A-Z]{1,5}))?$"
+)
+PLAIN_FORMATS = [
     (r"\d{4}/\d{2}/\d{2}", "yyyy/MM/dd"),
-    (rf"\d{{4}}/\d{{2}}/\d{{2}} {_CLOCK}", "yyyy/MM/dd H:mm:ss"),
+    (r"\d{4}/\d{2}/\d{2} \d{1,2}:\d{2}:\d{2}", "yyyy/MM/dd H:mm:ss"),
     (r"\d{8}", "yyyyMMdd"),
+    (r"\d{8}T\d{6}", "yyyyMMdd'T'HHmmss"),
 ]
 
 
+def _written(bare: Column) -> Column:
+    """Timestamp of a written date, or null. Two-digit years are of this century up to 68."""
+    text = F.regexp_replace(bare, rf"(?i)^({_MONTH}) (\d{{1,2}}),? (\d{{4}})", "$2 $1 $3")
+
+    def read(text: Column) -> Column:
+        def part(i: int) -> Column:
+            return F.regexp_extract(text, _WRITTEN, i)
+
+        month = F.initcap(F.substring(part(2), 1, 3))
+        short = part(3).try_cast("int")
+        year = F.when(F.length(part(3)) == 4, part(3)).when(short <= 68, F.concat(F.lit("20"), part(3))).otherwise(
+            F.concat(F.lit("19"), part(3)))
+        clock = F.concat(
+            F.coalesce(blank_to_null(part(4)), F.lit("0:00")), F.coalesce(blank_to_null(part(5)), F.lit(":00")))
+        zone = F.upper(F.replace(part(7), F.lit(":"), F.lit("")))
+        whole = F.concat_ws(" ", part(1), month, year, clock, blank_to_null(F.upper(part(6))),
+                            F.coalesce(blank_to_null(zone), F.lit("+0000")))
+        hour = F.when(part(6) == "", F.lit("H:mm:ss")).otherwise(F.lit("h:mm:ss a"))
+        sign = F.when(zone.rlike("^[A-Z]"), F.lit("z")).otherwise(F.lit("Z"))
+        return F.try_to_timestamp(whole, F.concat_ws(" ", F.lit("d MMM yyyy"), hour, sign))
+
+    # Most strings are not of this shape. The parts are put together in a lambda, which keeps the
+    # compiled code of the frames that use it small.
+    return F.get(F.transform(F.array(F.when(text.rlike(_WRITTEN), text)), read), F.lit(0))
+
+
 def parse_timestamp(c: Column, ref: Column) -> Column:
-    """Relative phrase, else ISO, else a fixed list of written formats, else null. Times without a
-    zone are UTC. Incomplete dates are never completed from the current day."""
+    """Relative phrase, else ISO, else a written or a basic form, else null. Times without a zone are
+    UTC. Incomplete dates are never completed from the current day."""
     text = strip(c)
     iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), text)
     iso = F.regexp_replace(iso, r"([+-]\d{2})(\d{2})$", "$1:$2")
     bare = F.regexp_replace(text, r"^(?i)(mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+", "")
-    written = None
-    for shape, pattern in WRITTEN_FORMATS:
-        fits, value = bare.rlike(f"^{shape}$"), F.try_to_timestamp(bare, F.lit(pattern))
-        written = F.when(fits, value) if written is None else written.when(fits, value)
-    return F.coalesce(relative_loose(text, ref), iso.try_cast("timestamp"), written)
+    plain, compact = None, F.regexp_replace(bare, r"^(\d{8}T\d{6})Z$", "$1")
+    for shape, pattern in PLAIN_FORMATS:
+        fits, value = compact.rlike(f"^{shape}$"), F.try_to_timestamp(compact, F.lit(pattern))
+        plain = F.when(fits, value) if plain is None else plain.when(fits, value)
+    return F.coalesce(relative_loose(text, ref), iso.try_cast("timestamp"), _written(bare), plain)
 
 
 def iso8601(ts: Column) -> Column:

@@ -33,9 +33,15 @@ def _accepted(condition: Column, published_at: Column) -> Column:
     return F.when(condition, published_at.try_cast("timestamp"))
 
 
+def fingerprint(key: Column) -> Column:
+    """128 bits that stand for a value in distinct counts, so that counts of several keys, for which
+    every row is repeated per key, shuffle two numbers instead of text. Null stays null."""
+    return F.when(key.isNotNull(), F.struct(F.xxhash64(key), F.xxhash64(F.lit(1), key)))
+
+
 def _identity(live: Column, url: str = "source_url") -> list[Column]:
     """Row counts and URL checks over the rows where ``live`` holds."""
-    address = F.when(live, F.col(url))
+    address = fingerprint(F.when(live, F.col(url)))
     return [
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(live).alias("production_rows"),
@@ -58,8 +64,8 @@ def audit_papers(df: DataFrame) -> DataFrame:
         "source_url", "source_name", "github_url", "github_stars", live.alias("live"),
         defects.alias("defects"), dates.alias("dates"),
         F.coalesce(F.size("authors"), F.lit(0)).alias("n_authors"),
-        F.when(live & _given("title"), title).alias("title_key"),
-        F.when(live, F.struct(F.coalesce(title, F.lit("")), day)).alias("title_day"),
+        fingerprint(F.when(live & _given("title"), title)).alias("title_key"),
+        fingerprint(F.when(live, F.struct(F.coalesce(title, F.lit("")), day))).alias("title_day"),
         F.when(live, ~_filled("title")).alias("no_title"),
     )
     on = F.col("live")
@@ -365,7 +371,7 @@ def field_coverage(df: DataFrame, columns: list[str]) -> DataFrame:
 def duplicate_counts(df: DataFrame, keys: dict[str, Column]) -> DataFrame:
     """Per named key: rows beyond the first of each value."""
     return df.agg(*[
-        (F.count(F.lit(1)) - F.count_distinct(F.struct(key.alias("k")))).alias(name)
+        (F.count(F.lit(1)) - F.count_distinct(F.struct(F.xxhash64(key), F.xxhash64(F.lit(1), key), key.isNull()))).alias(name)
         for name, key in keys.items()
     ])
 

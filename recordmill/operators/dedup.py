@@ -1,8 +1,9 @@
 """Duplicate URLs, changed content, and anti joins against what is already stored.
 
-Each "first" or "latest" row is found with ``min_by`` / ``max_by``. These aggregate on the map side,
-so a key that holds a large part of all rows reaches the shuffle as one row per input partition; no
-window ever gathers the rows of one key.
+"First" and "latest" rows are found in two steps: the bounds of the order per key, a hash aggregate of
+numbers that combines on the map side, and a join that keeps the rows at the bounds. Whole rows are
+never sorted for an aggregate; a key that holds a large part of all rows is skew of one join side only,
+which AQE splits.
 """
 
 from __future__ import annotations
@@ -13,12 +14,23 @@ from pyspark.sql import functions as F
 from recordmill.functions.text import content_hash, url_fingerprint
 
 
+def at_bounds(df: DataFrame, keys: list[str], order: str, *bounds: str) -> DataFrame:
+    """Rows whose ``order``, a number that is unique per key, is the ``min`` or ``max`` of their key.
+    A null key is a key of its own."""
+    chosen = {"min": F.min, "max": F.max}
+    spans = df.groupBy(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]).agg(
+        *[chosen[b](order).alias(f"_{b}") for b in bounds]
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
+    hit = F.lit(False)
+    for b in bounds:
+        hit = hit | (F.col(order) == F.col(f"_{b}"))
+    return df.join(spans, same).filter(hit).select(*df.columns)
+
+
 def pick_by(df: DataFrame, keys: list[str], order: str, newest: bool) -> DataFrame:
     """One whole row per key: the one with the lowest or the highest ``order``."""
-    rest = [c for c in df.columns if c not in keys]
-    choose = F.max_by if newest else F.min_by
-    picked = df.groupBy(*keys).agg(choose(F.struct(*rest), F.col(order)).alias("row"))
-    return picked.select(*keys, "row.*").select(*df.columns)
+    return at_bounds(df, keys, order, "max" if newest else "min")
 
 
 def dedup_by_url(df: DataFrame, store: DataFrame | None = None) -> DataFrame:
@@ -45,9 +57,7 @@ def ledger(df: DataFrame) -> DataFrame:
 
 
 def latest_content_hash(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("url").agg(
-        F.max_by("content_hash", "seq").alias("content_hash"), F.max("seq").alias("seq")
-    )
+    return pick_by(rows.select("url", "content_hash", "seq"), ["url"], "seq", newest=True)
 
 
 def unchanged_content(fetched: DataFrame, known: DataFrame) -> DataFrame:
@@ -94,11 +104,14 @@ def change_cases(fetched: DataFrame, known: DataFrame, states: DataFrame) -> Dat
 
 def checkpoint_fold(events: DataFrame) -> DataFrame:
     """State events folded to one checkpoint per URL: last state and error, number of updates."""
-    return events.groupBy("source_url").agg(
-        F.max_by("state", "seq").alias("state"),
-        F.count(F.lit(1)).alias("attempt_count"),
-        F.max_by("error", "seq").alias("last_error"),
-        F.max("seq").alias("updated_seq"),
+    updates = events.groupBy(F.col("source_url").alias("_url")).agg(
+        F.count(F.lit(1)).alias("attempt_count"), F.max("seq").alias("updated_seq")
+    )
+    last = events.select("source_url", "seq", "state", "error").join(
+        updates, F.col("source_url").eqNullSafe(F.col("_url")) & (F.col("seq") == F.col("updated_seq"))
+    )
+    return last.select(
+        "source_url", "state", "attempt_count", F.col("error").alias("last_error"), "updated_seq"
     )
 
 

@@ -72,49 +72,59 @@ def _masked(c: Column, mask: int) -> Column:
 
 
 def near_fingerprints(
-    prints: DataFrame, distance: int = 3, extra: int = 3, crowd: int = 2000
+    prints: DataFrame, distance: int = 3, extra: int = 3, crowd: int = 2000,
+    place: str | None = None, width: int = 0,
 ) -> DataFrame:
-    """Unordered pairs of distinct fingerprints at most ``distance`` bits apart.
+    """Unordered pairs of distinct fingerprints at most ``distance`` bits apart. With ``place``, a
+    number, only pairs are looked for that occur at the same place or ``width`` apart.
 
     Keys held by a single fingerprint, nearly all of them, are dropped before the join. A key shared
     by more than ``crowd`` fingerprints is spread over as many tasks as it fills, each taking its
     part of one side against the whole other side, so no task gets a crowded key alone.
 
     The distance test is part of the join condition: candidates that fail it are never materialised.
-    A pair is reported only under the first key the two share, so nothing has to be made distinct
-    afterwards. A fingerprint has at most 43,744 others within 3 bits, which bounds the result."""
-    distinct = cut_lineage(prints.select("simhash").distinct(), "fingerprints")
+    A pair is reported only under the first key the two share, so without places nothing has to be
+    made distinct afterwards. A fingerprint has at most 43,744 others within 3 bits, which bounds the
+    result."""
+    columns = ["simhash", *([place] if place else [])]
+    distinct = cut_lineage(prints.select(*columns).distinct(), "fingerprints")
     masks = _block_masks(distance, extra)
     keys = F.array(*[_masked(F.col("simhash"), m) for m in masks])
-    keyed = distinct.select("simhash", F.posexplode(keys).alias("choice", "bits"))
-    shared_keys = keyed.groupBy("choice", "bits").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    keyed = distinct.select(*columns, F.posexplode(keys).alias("choice", "bits"))
+    home = F.col(place) if place else F.lit(0)
+    spots = F.array(home, home + F.lit(width)) if place else F.array(home)
+    met = keyed.withColumn("meets", F.explode(spots)).withColumn("home", home == F.col("meets"))
+    key = ["choice", "bits", "meets"]
+    shared_keys = met.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     live = cut_lineage(
-        keyed.join(shared_keys, ["choice", "bits"]).withColumn(
-            "tasks", F.ceil(F.col("n") / crowd).cast("int")
-        ),
+        met.join(shared_keys, key).withColumn("tasks", F.ceil(F.col("n") / crowd).cast("int")),
         "fingerprint-keys",
     )
-    left = live.select(
-        F.col("simhash").alias("a"), "choice", "bits",
+    left = live.filter("home").select(
+        F.col("simhash").alias("a"), *key,
         F.pmod(F.xxhash64("simhash"), F.col("tasks")).cast("int").alias("salt"),
     )
     right = live.select(
-        F.col("simhash").alias("b"), "choice", "bits",
+        F.col("simhash").alias("b"), *key,
         F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("salt"),
     )
     differing = left.a.bitwiseXOR(right.b)
     first = F.coalesce(*[
         F.when(_masked(differing, m) == 0, F.lit(n)) for n, m in enumerate(masks)
     ])
-    return left.join(
+    pairs = left.join(
         right,
         (left.choice == right.choice)
         & (left.bits == right.bits)
+        & (left.meets == right.meets)
         & (left.salt == right.salt)
-        & (left.a < right.b)
+        & ((left.a != right.b) if place else (left.a < right.b))
         & (F.bit_count(differing) <= distance)
         & (left.choice == first),
-    ).select("a", "b", hamming64(F.col("a"), F.col("b")).alias("distance"))
+    )
+    if place:
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs.select("a", "b", hamming64(F.col("a"), F.col("b")).alias("distance"))
 
 
 def near_duplicates(prints: DataFrame, distance: int = 3) -> DataFrame:
@@ -155,7 +165,7 @@ def near_dup_window(
     spans = rows.groupBy("simhash", "bucket").agg(
         F.min(F.struct("t", key)).alias("first"), F.max("t").alias("last")
     )
-    close = near_fingerprints(rows, distance)
+    close = near_fingerprints(rows, distance, place="bucket", width=width)
     reach = (
         close.select("a", "b")
         .unionByName(close.select(F.col("b").alias("a"), F.col("a").alias("b")))

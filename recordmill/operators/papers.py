@@ -57,7 +57,9 @@ def backfill_papers(df: DataFrame) -> DataFrame:
 
 
 def recent_papers(df: DataFrame, since: Column, rows: int) -> DataFrame:
-    found = df.filter(F.col("published_date") >= since)
+    """The newest papers from a date on. What does not begin with a date is not dated."""
+    dated = F.col("published_date").rlike(r"^\d{4}-\d{2}-\d{2}")
+    found = df.filter(dated & (F.col("published_date") >= since))
     return found.orderBy(F.desc("published_date"), "arxiv_id").limit(rows)
 
 

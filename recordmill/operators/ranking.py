@@ -5,14 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recordmill.session import cut_lineage
 
-def positions(df: DataFrame, strata: list[str], seq: str, width: int = 1_000_000) -> DataFrame:
-    """Adds ``position`` (1-based, by ``seq``) and ``stratum_rows``.
 
-    ``seq`` is unique, so ``width`` consecutive numbers hold at most ``width`` rows. Rows are ranked
-    inside such ranges only; counts per range, a table ``width`` times smaller, give the offsets. A
-    stratum with a third of all rows is therefore ranked by many tasks."""
-    ranged = df.withColumn("_range", F.col(seq) - F.pmod(F.col(seq), F.lit(width)))
+def positions(df: DataFrame, strata: list[str], seq: str, parts: int | None = None) -> DataFrame:
+    """Adds ``position`` (1-based, by ``seq``, which is unique) and ``stratum_rows``.
+
+    Rows are dealt into ranges of (stratum, seq) of about equal size, by a sample of the data, and
+    written once, so that ranges stay as they are. They are ranked inside ranges only; counts per
+    range and stratum, a small table, give the offsets. A stratum with a third of all rows fills many
+    ranges, and sparse or hashed numbers are as good as dense ones."""
+    by = [*strata, seq]
+    dealt = df.repartitionByRange(*by) if parts is None else df.repartitionByRange(parts, *by)
+    ranged = cut_lineage(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
     counts = ranged.groupBy(*strata, "_range").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*strata).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy(*strata)
@@ -31,10 +36,10 @@ def positions(df: DataFrame, strata: list[str], seq: str, width: int = 1_000_000
 
 
 def systematic_sample(
-    df: DataFrame, strata: list[str], seq: str, size: int = 50, width: int = 1_000_000
+    df: DataFrame, strata: list[str], seq: str, size: int = 50, parts: int | None = None
 ) -> DataFrame:
     """Evenly spaced rows of each stratum: every ``rows div size``-th, the first ``size`` of them."""
-    placed = positions(df, strata, seq, width)
+    placed = positions(df, strata, seq, parts)
     whole = F.col("stratum_rows") - F.pmod(F.col("stratum_rows"), F.lit(size))
     step = F.greatest(F.lit(1), (whole / size).cast("bigint"))
     zero = F.col("position") - 1
@@ -59,3 +64,8 @@ def multi_facet_discovery(listings: DataFrame, rows: int) -> DataFrame:
 def first_source_wins(listings: DataFrame) -> DataFrame:
     """A URL belongs to the source with the lowest priority number that lists it."""
     return listings.groupBy("url").agg(F.min_by("source_name", "priority").alias("source_name"))
+
+
+def sample_head(df: DataFrame, order: list[Column], rows: int) -> DataFrame:
+    """The first rows in an order; each partition sends on only its own first ones."""
+    return df.orderBy(*order).limit(rows)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordmill.fixed_values import DISTINGUISHING_WORDS, SEED_ENTITIES
+from recordmill.fixed_values import NEW_ENTITY_REASON, DISTINGUISHING_WORDS, SEED_ENTITIES
 from recordmill.functions.names import (
     entity_id,
     jaro_winkler,
@@ -308,7 +308,7 @@ def _decide(tiers: DataFrame) -> DataFrame:
          {"similarity": F.round("by_score.score", 4).cast("string")}),
         (F.lit(True), new_name, entity_id(F.col("norm_type"), new_name), "CREATE_NEW_CANONICAL",
          F.lit("CREATE_NEW_CANONICAL_ENTITY"), 0.80,
-         {"existing_match_found": F.lit("false"), "created_new_canonical": F.lit("true")}),
+         {"existing_match_found": F.lit("false"), "created_new_canonical": F.lit("true"), "reason": F.lit(NEW_ENTITY_REASON)}),
     ]
 
     def choose(pick) -> Column:

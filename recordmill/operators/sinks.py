@@ -27,9 +27,10 @@ def landed(df: DataFrame) -> DataFrame:
 
 
 def land_raw(df: DataFrame, path: str) -> None:
-    """Appends to the landing area, one folder per day. Rows of a day may be many: they are not
+    """Appends to the landing area, one folder per source and day, so that a reader of one source
+    opens its own folders only. Rows of a day may be many: they are not
     gathered in one task, each task writes its own files."""
-    landed(df).write.mode("append").partitionBy("fetch_date").parquet(path)
+    landed(df).write.mode("append").partitionBy("source_name", "fetch_date").parquet(path)
 
 
 def write_version(df: DataFrame, path: str) -> None:

@@ -6,15 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordmill.fixed_values import UPSERT_UPDATED
-from recordmill.operators.dedup import pick_by
+from recordmill.operators.dedup import at_bounds, pick_by
 from recordmill.session import join_side
 
+#: Place of a stored row in the order of its key: before every arrival.
+BEFORE_ALL = -(1 << 63)
+
 
 def merge_by_key(df: DataFrame, key: str, seq: str, updated: list[str]) -> DataFrame:
     """One row per key. ``updated`` columns come from the last arrival, all others keep the value
-    of the first. Arrivals of one key fold on the map side, whatever their number."""
+    of the first. Only the first and the last row of a key reach the aggregate."""
     kept = [c for c in df.columns if c not in (key, seq, *updated)]
-    merged = df.groupBy(key).agg(
+    merged = at_bounds(df, [key], seq, "min", "max").groupBy(key).agg(
         F.min_by(F.struct(*kept), F.col(seq)).alias("kept") if kept else F.lit(None).alias("kept"),
         F.max_by(F.struct(*updated), F.col(seq)).alias("updated"),
         F.max(seq).alias(seq),
@@ -32,12 +35,10 @@ def _merge_into(
     broadcast, and the stored table is neither shuffled nor sorted."""
     keys = join_side(arrivals.select(key).distinct(), "arriving-keys")
 
-    def in_turn(df: DataFrame, late: int) -> DataFrame:
-        turn = F.struct(F.lit(late).alias("late"), F.col("seq").alias("seq"))
-        return df.withColumn("_turn", turn)
-
     touched = stored.join(keys, key, "left_semi").select(*stored.columns)
-    both = in_turn(touched, 0).unionByName(in_turn(arrivals, 1))
+    both = touched.withColumn("_turn", F.lit(BEFORE_ALL)).unionByName(
+        arrivals.withColumn("_turn", F.col("seq").cast("long"))
+    )
     merged = merge_by_key(both, key, "_turn", updated).drop("_turn")
     untouched = stored.join(keys, key, "left_anti").select(*stored.columns)
     return untouched.unionByName(merged)

@@ -169,9 +169,11 @@ def validate_or_fail(df: DataFrame, record_type: str, payload: str = "payload")
 
 
 def dead_letters(
-    rejected: DataFrame, category: Column, component: Column, message: Column, attempts: int = 3
+    rejected: DataFrame, category: Column, component: Column, message: Column, attempts: int = 3,
+    enqueued_at: Column | None = None,
 ) -> DataFrame:
-    """Dead-letter rows. The id follows from the row, so a rerun writes the same ids."""
+    """Dead-letter rows with the payload, where there is one, for a replay. The id follows from the
+    row, so a rerun writes the same ids."""
     key = F.concat_ws("|", url_fingerprint(F.col("url")), F.col("seq").cast("string"), category)
     return rejected.select(
         F.concat(F.lit("dlq_"), F.substring(F.sha2(key, 256), 1, 32)).alias("dlq_id"),
@@ -181,10 +183,17 @@ def dead_letters(
         message.alias("error_message"),
         component.alias("failed_component"),
         F.substring("raw_content", 1, 200).alias("preview"),
+        _given(rejected, "payload").alias("payload_json"),
         F.lit(attempts).cast("bigint").alias("attempts"),
+        (F.lit(None).cast("string") if enqueued_at is None else enqueued_at).alias("enqueued_at"),
     )
 
 
+def _given(df: DataFrame, name: str) -> Column:
+    """A text column where the frame has it, else null."""
+    return F.col(name).cast("string") if name in df.columns else F.lit(None).cast("string")
+
+
 def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Validated rows as records and dead letters. ``checked`` must be materialised: a filter on
     ``valid`` would otherwise be pushed below the checks and carry all of them with it, twice."""

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 def similar_vectors(df: DataFrame, key: str, vector: str, query: list[float], k: int) -> DataFrame:
     """The ``k`` rows closest to one query vector. The query is part of the plan, every row is
-    scored where it lies, and each partition sends on only its best ``k``."""
+    scored where it lies, and each partition sends on only its best ``k``. Rows are ranked by
+    the exact score; it is rounded afterwards."""
     q = F.array(*[F.lit(float(x)) for x in query])
     norm_q = sum(float(x) * float(x) for x in query) ** 0.5
     v = F.transform(F.col(vector), lambda x: x.cast("double"))
@@ -17,7 +18,8 @@ def similar_vectors(df: DataFrame, key: str, vector: str, query: list[float], k:
     norm = F.sqrt(F.aggregate(v, zero, lambda acc, x: acc + x * x))
     score = F.when((norm > 0) & F.lit(norm_q > 0), dot / (norm * F.lit(norm_q))).otherwise(zero)
     return (
-        df.select(key, F.round(score, 6).alias("similarity"))
-        .orderBy(F.desc("similarity"), F.asc(key))
+        df.select(key, score.alias("_score"))
+        .orderBy(F.desc("_score"), F.asc(key))
         .limit(k)
+        .select(key, F.round("_score", 6).alias("similarity"))
     )

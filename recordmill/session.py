@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -32,23 +34,54 @@ def build_session(app: str = "recordmill", master: str | None = None, **conf: st
     return spark
 
 
+#: Folders of intermediate tables by application, in the order they were made.
+_MADE: dict[str, list[str]] = {}
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh path in the folder that every executor reaches: ``spark.checkpoint.dir``. Only when
-    the session names none (single-machine tests) is a temporary folder made and used."""
+    """A fresh path in the folder that every executor reaches: ``spark.checkpoint.dir``. Where the
+    session names none, a temporary folder is made and used, but only if driver and executors are
+    one process; on a cluster that is an error, as executors would write to their own disks."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if master.split("[")[0] != "local":
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
         root = tempfile.mkdtemp(prefix="recordmill-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/recordmill/{purpose}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/recordmill/{purpose}-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Deletes the intermediate tables of this application, from the ``since``-th on. Frames that
+    read them cannot be used afterwards."""
+    made = _MADE.get(spark.sparkContext.applicationId, [])
+    for path in made[since:]:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    del made[since:]
 
 
-def cut_lineage(df: DataFrame, purpose: str) -> DataFrame:
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """A job whose results are written inside the block; its intermediate tables go at the end."""
+    since = len(_MADE.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        release(spark, since)
+
+
+def cut_lineage(df: DataFrame, purpose: str, *by: str) -> DataFrame:
     """Write ``df`` once and read it back, so that several outputs share one computation and a
-    lost executor re-reads files instead of recomputing the whole history."""
+    lost executor re-reads files instead of recomputing the whole history. With ``by`` columns the
+    files are in a folder per value, and a filter on them reads only its own."""
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*by).parquet(path) if by else df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -62,11 +95,3 @@ def join_side(df: DataFrame, purpose: str, limit: int = BROADCAST_BYTES) -> Data
     size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("bytes")
     table = cut_lineage(df.observe(watch, size), purpose)
     return F.broadcast(table) if (watch.get["bytes"] or 0) <= limit else table
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """A scan with fewer splits than there are cores, dealt out to all of them before work that is
-    heavy on the processor. Only small tables have so few splits; larger ones are returned as they
-    are, without a shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

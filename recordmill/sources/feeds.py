@@ -11,6 +11,23 @@ from recordmill.schemas import DAILY_PAPER, RSS_ITEM, STORY
 from recordmill.sources.envelope import first_given
 
 
+def unreadable(df: DataFrame, kind: str) -> DataFrame:
+    """Landed listings of ``kind`` ('rss', 'papers' or 'story') that cannot be read, whole rows with
+    a ``reason``, for the dead letters. A readable listing without items is not one of them."""
+    if kind == "rss":
+        item = f"array<struct<{RSS_ITEM}>>"
+        feed = F.from_xml("raw_content", f"channel struct<item:{item}>, item {item}")
+        root = F.col("raw_content").rlike(r"(?i)<(channel|rdf:rdf|rss)\b")
+        readable = F.coalesce(feed["channel"]["item"], feed["item"]).isNotNull() | (
+            root & F.col("raw_content").rlike(r"(?i)</(channel|rdf:rdf|rss)\s*>"))
+    elif kind == "papers":
+        readable = F.startswith(F.schema_of_variant(F.try_parse_json("raw_content")), F.lit("ARRAY"))
+    else:
+        readable = F.startswith(F.schema_of_variant(F.try_parse_json("raw_content")), F.lit("OBJECT"))
+    reason = F.lit(f"unreadable {kind} listing")
+    return df.filter(~F.coalesce(readable, F.lit(False))).withColumn("reason", reason)
+
+
 def rss_items(df: DataFrame) -> DataFrame:
     """One row per feed item that has a link. ``pubDate`` goes before ``dc:date``."""
     item = f"array<struct<{RSS_ITEM}>>"

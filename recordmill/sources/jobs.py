@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordmill.fixed_values import JOB_BOARDS
-from recordmill.functions.text import blank_to_null, role_family, snippet, strip, strip_tags
+from recordmill.functions.text import blank_to_null, has_length, role_family, snippet, strip, strip_tags
 from recordmill.functions.times import iso8601, parse_timestamp
 from recordmill.schemas import FORUM_POST
 from recordmill.sources.envelope import envelope
@@ -27,37 +27,50 @@ def _content(
     )
 
 
-def jobs_json_flat(df: DataFrame, board: str, ref: Column, collected_at: Column) -> DataFrame:
+def jobs_json_flat(df: DataFrame, board: str | None, ref: Column, collected_at: Column) -> DataFrame:
     """One payload per job. What the board leaves out gets the board's default; a missing or
-    unreadable date stays null and the record fails validation later."""
-    spec = JOB_BOARDS[board]
-    names = [spec[k] for k in ("title", "company", "date", "location", "description")]
-    fields = [f"`{n}` string" for n in names]
-    if spec["remote_field"]:
-        fields.append(f"`{spec['remote_field']}` boolean")
-    parsed = df.withColumn("_job", F.from_json("raw_content", ", ".join(fields)))
+    unreadable date stays null and the record fails validation later. Without ``board`` the rows name
+    theirs in ``source_name``, and all boards are read in one pass."""
+    boards = {board: JOB_BOARDS[board]} if board else JOB_BOARDS
+    fields = {spec[k]: "string" for spec in boards.values() for k in ("title", "company", "date", "location", "description")}
+    fields |= {spec["remote_field"]: "boolean" for spec in boards.values() if spec["remote_field"]}
+    shape = ", ".join(f"`{n}` {kind}" for n, kind in fields.items())
+    parsed = df.withColumn("_job", F.from_json("raw_content", shape))
+    own = F.lower(F.lit(board) if board else F.col("source_name"))
+
+    def by_board(value) -> Column:
+        """``value(spec)`` of the row's own board."""
+        out = None
+        for name, spec in boards.items():
+            mine = own == name.lower()
+            out = F.when(mine, value(spec)) if out is None else out.when(mine, value(spec))
+        return out
 
     def given(key: str) -> Column:
-        return blank_to_null(F.col(f"_job.{spec[key]}"))
-
-    remote = F.lit(True)
-    location_default = F.lit(spec["location_default"])
-    if spec["remote_field"]:
-        remote = F.coalesce(F.col(f"_job.{spec['remote_field']}"), F.lit(False))
-        location_default = F.when(remote, F.lit("Remote")).otherwise(location_default)
-    title = F.coalesce(given("title"), F.lit(spec["title_default"]))
-    description = F.coalesce(given("description"), title)
-    if spec["strip"]:
-        description = strip_tags(description)
+        return by_board(lambda spec: blank_to_null(F.col(f"_job.{spec[key]}")))
+
+    def remote_of(spec: dict) -> Column:
+        if not spec["remote_field"]:
+            return F.lit(True)
+        return F.coalesce(F.col(f"_job.{spec['remote_field']}"), F.lit(False))
+
+    def location_of(spec: dict) -> Column:
+        default = F.lit(spec["location_default"])
+        return F.when(remote_of(spec), F.lit("Remote")).otherwise(default) if spec["remote_field"] else default
+
+    title = F.coalesce(given("title"), by_board(lambda spec: F.lit(spec["title_default"])))
+    described = F.coalesce(given("description"), title)
     content = _content(
         title,
-        F.coalesce(given("company"), F.lit(spec["company_default"])),
+        F.coalesce(given("company"), by_board(lambda spec: F.lit(spec["company_default"]))),
         iso8601(parse_timestamp(given("date"), ref)),
-        remote,
-        F.coalesce(given("location"), location_default),
-        description,
+        by_board(remote_of),
+        F.coalesce(given("location"), by_board(location_of)),
+        by_board(lambda spec: strip_tags(described) if spec["strip"] else described),
     )
-    return envelope(parsed, "JOB", F.lit(board), F.col("url"), content, collected_at)
+    name = by_board(lambda spec: F.lit(next(n for n, s in JOB_BOARDS.items() if s is spec)))
+    rows = parsed.filter(own.isin([n.lower() for n in boards]))
+    return envelope(rows, "JOB", name, F.col("url"), content, collected_at)
 
 
 def pipe_fields(text: Column) -> dict[str, Column]:
@@ -82,7 +95,7 @@ def jobs_pipe_posts(df: DataFrame, ref: Column, collected_at: Column) -> DataFra
     """Forum posts, one per payload; those under 30 characters are left out."""
     parsed = df.withColumn("_post", F.from_json("raw_content", FORUM_POST))
     given = F.coalesce(F.col("_post.comment_text"), F.lit(""))
-    kept = parsed.filter(F.length(given) >= 30).withColumn("_text", strip_tags(given))
+    kept = parsed.filter(has_length(given)).withColumn("_text", strip_tags(given))
     text = F.col("_text")
     fields = pipe_fields(text)
     content = _content(

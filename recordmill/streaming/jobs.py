@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from recordmill.functions.text import url_fingerprint
 from recordmill.functions.times import freshness
 from recordmill.operators.audits import crawl_counters
-from recordmill.operators.dedup import checkpoint_fold
+from recordmill.operators.dedup import at_bounds, checkpoint_fold, pick_by
 from recordmill.operators.sinks import landed
 from recordmill.operators.upsert import merge_by_key
 from recordmill.operators.validate import present_types, split_valid, validate_by_type
@@ -42,10 +42,10 @@ def _start(
 
 
 def stream_land(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Continuous landing, one folder per day. The file sink keeps its own commit log."""
+    """Continuous landing, one folder per source and day. The file sink keeps its own commit log."""
     return (
         landed(stream).writeStream.format("parquet")
-        .partitionBy("fetch_date")
+        .partitionBy("source_name", "fetch_date")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -91,22 +91,18 @@ def stream_checkpoint_state(stream: DataFrame, path: str, checkpoint: str) -> St
 
 def checkpoint_states(spark: SparkSession, path: str) -> DataFrame:
     """The checkpoints behind :func:`stream_checkpoint_state`: last state and error, all updates."""
-    log = spark.read.option("basePath", path).parquet(path)
-    return log.groupBy("source_url").agg(
-        F.max_by("state", "updated_seq").alias("state"),
-        F.sum("attempt_count").alias("attempt_count"),
-        F.max_by("last_error", "updated_seq").alias("last_error"),
-        F.max("updated_seq").alias("updated_seq"),
+    log = spark.read.option("basePath", path).parquet(path).drop("batch_id")
+    total = log.groupBy(F.col("source_url").alias("_url")).agg(F.sum("attempt_count").alias("total"))
+    last = pick_by(log, ["source_url"], "updated_seq", newest=True)
+    return last.join(total, F.col("source_url").eqNullSafe(F.col("_url"))).select(
+        "source_url", "state", F.col("total").alias("attempt_count"), "last_error", "updated_seq"
     )
 
 
 def latest_updates(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """Current rows of an update-mode sink: per key those of the last batch that wrote it."""
     log = spark.read.option("basePath", path).parquet(path)
-    rest = [c for c in log.columns if c not in (*keys, "batch_id")]
-    return log.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("row")).select(
-        *keys, "row.*"
-    )
+    return at_bounds(log, keys, "batch_id", "max").drop("batch_id")
 
 
 def stream_upsert(
@@ -115,10 +111,7 @@ def stream_upsert(
     """Arrivals reduced to the first and the last row per key and batch, which is all that a merge
     ever looks at."""
     def each(df: DataFrame, batch_id: int) -> None:
-        row = F.struct(*df.columns)
-        ends = df.groupBy(key).agg(F.min_by(row, seq).alias("a"), F.max_by(row, seq).alias("b"))
-        both = ends.select(F.explode(F.array_distinct(F.array("a", "b"))).alias("r")).select("r.*")
-        _replace(both, path, batch_id)
+        _replace(at_bounds(df, [key], seq, "min", "max"), path, batch_id)
 
     return _start(stream, each, checkpoint)
 
@@ -134,9 +127,7 @@ def upserted(
 def compact(spark: SparkSession, path: str, target: str, key: str, seq: str) -> None:
     """Rewrites the deltas of a stream as one, between runs."""
     log = spark.read.option("basePath", path).parquet(path).drop("batch_id")
-    row = F.struct(*log.columns)
-    ends = log.groupBy(key).agg(F.min_by(row, seq).alias("a"), F.max_by(row, seq).alias("b"))
-    both = ends.select(F.explode(F.array_distinct(F.array("a", "b"))).alias("r")).select("r.*")
+    both = at_bounds(log, [key], seq, "min", "max")
     both.write.mode("errorifexists").parquet(_batch_folder(target, 0))
 
 

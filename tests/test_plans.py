@@ -1,6 +1,7 @@
 """The whole batch run, and streaming jobs under replay."""
 
 import json
+import os
 
 from pyspark.sql import functions as F
 
@@ -8,6 +9,7 @@ from recordmill.operators.dedup import checkpoint_fold
 from recordmill.operators.resolve import seed_master
 from recordmill.plans.batch import run_batch
 from recordmill.schemas import RAW_PAYLOAD
+from recordmill.session import intermediates, shared_dir
 from recordmill.sources.registry import default_registry
 from recordmill.streaming import jobs as S
 
@@ -19,7 +21,7 @@ def test_run_batch(spark):
         (2, "HTTPS://jobs.org/1/", "RemoteOKAI", json.dumps(job), "application/json", 200),
         (3, "https://jobs.org/3", "remoteokai", json.dumps({**job, "date": "2024-01-01"}), "application/json", 200),
         (4, "https://jobs.org/4", "RemoteOKAI", "Just a moment...", "text/html", 403),
-        (5, "https://github.com/acme", "GitHub Organizations", json.dumps({"name": "Acme", "blog": "acme.io"}), "application/json", 200),
+        (5, "https://github.com/acme", "GitHub Organizations", json.dumps({"name": "Acme Inc.", "blog": "acme.io"}), "application/json", 200),
         (6, "https://nowhere.org/6", "Unregistered", "x", "text/html", 200),
         (7, "https://arxiv.org/abs/2401.00001", "ArXiv", "<html><body>no date</body></html>", "text/html", 200),
         (8, "https://jobs.org/seen", "RemoteOKAI", json.dumps(job), "application/json", 200),
@@ -42,6 +44,45 @@ def test_run_batch(spark):
     assert result.mappings.count() == 2
 
 
+def test_claims_only_after_passing(spark):
+    """A failed, a stale and an unproved payload leave their URL to a later good one."""
+    job = {"position": "ML Engineer", "company": "OpenAI", "date": "2024-01-30T12:00:00Z", "description": "d"}
+    org = {"name": "Acme", "blog": "", "description": "", "company": ""}
+    rows = [
+        (1, "https://jobs.org/1", "RemoteOKAI", "denied", 403), (2, "https://jobs.org/1", "RemoteOKAI", json.dumps(job), 200),
+        (3, "https://jobs.org/1/", "aijobsnet", json.dumps(job), 200),
+        (4, "https://jobs.org/4", "Jobicy", json.dumps({"jobTitle": "x"}), 200),
+        (5, "https://jobs.org/4", "Jobicy", json.dumps({"jobTitle": "x", "companyName": "C", "pubDate": "2024-01-30"}), 200),
+        (6, "https://github.com/acme", "githuborgs", json.dumps(org), 200),
+        (7, "https://github.com/acme", "githuborgs", json.dumps({**org, "name": "Acme Inc."}), 200),
+        (8, "https://arxiv.org/abs/2401.00001", "paperswithcode", '<meta name="citation_title" content="T"><meta name="citation_date" '
+            'content="2024/01/02"><a href="https://github.com/a/b">x</a>', 200),
+    ]
+    payloads = spark.createDataFrame([(a, b, c, d, "x", e, None) for a, b, c, d, e in rows], RAW_PAYLOAD)
+    snapshot = spark.createDataFrame([(1, "https://github.com/a/b", 200, 42)], "seq bigint, github_url string, http_status int, stars bigint")
+    stamp = "2024-01-31T00:00:00Z"
+
+    def run(stored=None):
+        return run_batch(payloads, default_registry(), seed_master(spark), None, F.lit(stamp).cast("timestamp"), F.lit(stamp), snapshot, stored)
+
+    folder = shared_dir(spark, "probe").rpartition("/")[0]
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    with intermediates(spark):
+        result = run()
+        assert {r["seq"]: r["status"] for r in result.statuses.collect()} == {
+            1: "FETCH_FAILED", 2: "NEW_RECORD_STORED", 3: "DUPLICATE_ALREADY_PROCESSED", 4: "FRESHNESS_REJECTED", 5: "NEW_RECORD_STORED",
+            6: "EVIDENCE_REJECTED", 7: "NEW_RECORD_STORED", 8: "NEW_RECORD_STORED"}
+        tables = {name: df.collect() for name, df in result.tables.items()}
+        assert {name: [r["seq"] for r in sorted(found)] for name, found in tables.items()} == {
+            "startups": [7], "products": [], "research_papers": [8], "jobs": [2, 5], "news": []}
+        paper = tables["research_papers"][0]
+        assert (paper["arxiv_id"], paper["github_stars"], paper["enrichment_status"]) == ("2401.00001", 42, "COMPLETED")
+        again = run({"jobs": spark.createDataFrame(tables["jobs"], result.tables["jobs"].schema)})
+        assert sorted(r["source_url"] for r in again.tables["jobs"].collect()) == ["https://jobs.org/1", "https://jobs.org/4"]
+        assert set(os.listdir(folder)) > before
+    assert set(os.listdir(folder)) == before
+
+
 def test_upsert_stream_survives_replay(spark, tmp_path):
     source, out, checkpoint = (str(tmp_path / x) for x in ("in", "out", "cp"))
     rows = [(f"k{i % 5}", i, f"v{i}", f"w{i}") for i in range(40)]

@@ -36,7 +36,7 @@ def test_copies(spark):
 
 def test_stratum(spark):
     strata = rows(spark).select("seq", (F.col("k") > 0).alias("s"))
-    placed = ranking.positions(strata, ["s"], "seq", width=100)
+    placed = ranking.positions(strata, ["s"], "seq", parts=16)
     top = placed.groupBy("s").agg(F.max("position").alias("p"), F.count_distinct("position").alias("n")).collect()
     assert {(r["s"], r["p"], r["n"]) for r in top} == {(False, N // 3, N // 3), (True, N - N // 3, N - N // 3)}
 
