@@ -1,7 +1,8 @@
 """Scores of texts by online logistic context mixing.
 
-A text is read byte by byte, each byte as the path to its leaf in a code tree, so every step is one
-binary decision. Several predictors look the decision up under hashed contexts of the bytes before it;
+A text is read byte by byte. A byte is replaced by its rank among the bytes that follow the two before
+it in the training corpus, and a rank is the path to its leaf in a code tree, so every step is one
+binary decision and most bytes take few. Several predictors look the decision up under hashed contexts of the bytes before it;
 their log-odds come from counts over the whole training corpus. A mixer adds them up with weights chosen
 by a gate, squashes the sum to a probability, and moves the weights along the coding error; a last stage
 refines the probability adaptively by how such probabilities came true in this text. Weights and
@@ -26,11 +27,13 @@ from pyspark.sql import functions as F
 from recordmill.session import cut_lineage
 
 #: Bytes of context per predictor, and the bits of each table of hashed (context, symbol) slots.
-ORDERS = (1, 2, 3, 4)
+ORDERS = (2, 3, 5)
 SLOT_BITS = 24
-#: Decisions per block, and bytes of text scored side by side.
+#: Decisions per block, texts scored side by side and their bytes, and bytes looked up at a time.
 BLOCK = 256
-SCORED_BYTES = 1 << 19
+LANES = 128
+SCORED_BYTES = 6 << 20
+RECORD_BYTES = 1 << 16
 #: Most frequent tokens whose counts are broadcast; all others meet their counts in a join.
 FREQUENT = 1 << 16
 GATES, BUCKETS, RATE, REFINE = 4, 24, 0.002, 0.02
@@ -46,17 +49,20 @@ def signed(h: int) -> int:
 
 
 def contexts(stream: np.ndarray, orders=ORDERS, bits: int = SLOT_BITS) -> list[np.ndarray]:
-    """For each order, the slot of symbol 0 under the context of every byte; the symbol or node is
-    added to it. ``stream`` has zeros before each text, as many as the longest order."""
+    """For each order, rising, the slot of symbol 0 under the context of every byte; the symbol or
+    node is added to it. ``stream`` has zeros before each text, as many as the longest order. The hash
+    of a longer context goes on from that of a shorter one."""
     pad = max(orders)
     s = stream.astype(np.uint32)
-    out = []
-    for n in orders:
-        h = np.zeros(len(s) - pad, np.uint32)
-        for k in range(1, n + 1):
-            h = (h + s[pad - k:len(s) - k] + np.uint32(1)) * np.uint32(0x9E3779B1)
-            h ^= h >> np.uint32(15)
-        out.append((h & np.uint32((1 << (bits - 8)) - 1)) << np.uint32(8))
+    s += np.uint32(1)
+    h = np.zeros(len(s) - pad, np.uint32)
+    out, keep = [], np.uint32((1 << (bits - 8)) - 1)
+    for k in range(1, pad + 1):
+        h += s[pad - k:len(s) - k]
+        h *= np.uint32(0x9E3779B1)
+        h ^= h >> np.uint32(15)
+        if k in orders:
+            out.append((h & keep) << np.uint32(8))
     return out
 
 
@@ -72,40 +78,64 @@ def _stream(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return data, own
 
 
-def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of tokens (kind 0, hash of the token), of bytes (kind 1) and of slots (kind 2 and on)."""
-    def rows(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64))],
-            ["kind", "key", "n"])
+def _rows(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64))],
+        ["kind", "key", "n"])
+
+
+def _counted(kind: int, slots: np.ndarray) -> pa.RecordBatch:
+    counts = np.bincount(slots, minlength=1)
+    seen = np.flatnonzero(counts)
+    return _rows(kind, seen, counts[seen])
+
+
+def _parts(texts: list[bytes], size: int) -> Iterator[list[bytes]]:
+    """Texts in groups of about ``size`` bytes."""
+    at = 0
+    while at < len(texts):
+        end, held = at, 0
+        while end < len(texts) and held < size:
+            held += len(texts[end])
+            end += 1
+        yield texts[at:end]
+        at = end
 
+
+def _followers(stream: np.ndarray) -> np.ndarray:
+    """For every byte, the two bytes before it and itself as one number."""
+    s, pad = stream.astype(np.uint32), max(ORDERS)
+    return s[pad - 2:-2] << np.uint32(16) | s[pad - 1:-1] << np.uint32(8) | s[pad:]
+
+
+def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of tokens (kind 0, by the token's hash) and of bytes after two bytes (kind 1)."""
     for batch in batches:
         texts = [t.lower() for t in batch.column(0).cast(pa.binary()).to_pylist()]
         seen: Counter[bytes] = Counter()
         for t in texts:
             seen.update(t.split())
         hashes = np.array([signed(xxhash.xxh64_intdigest(w, 42)) for w in seen] + [signed(_END_HASH)], np.int64)
-        yield rows(0, hashes, np.array([*seen.values(), len(texts)]))
+        yield _rows(0, hashes, np.array([*seen.values(), len(texts)]))
         del seen
-        at = 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and size < 8 << 20:
-                size += len(texts[end])
-                end += 1
-            data, own = _stream(texts[at:end])
-            at = end
-            symbols = data[max(ORDERS):][own]
-            n = np.bincount(symbols, minlength=256)
-            yield rows(1, np.arange(256), n)
+        for part in _parts(texts, 8 << 20):
+            data, own = _stream(part)
+            yield _counted(1, _followers(data)[own])
+
+
+def _slot_rows(batches: Iterator[pa.RecordBatch], ranks: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Counts of (hashed context, rank) slots, one kind per order."""
+    for batch in batches:
+        texts = [t.lower() for t in batch.column(0).cast(pa.binary()).to_pylist()]
+        for part in _parts(texts, 8 << 20):
+            data, own = _stream(part)
+            rank = ranks[_followers(data)[own]]
             for i, base in enumerate(contexts(data)):
-                slots = np.sort(base[own] + symbols)
-                new = np.flatnonzero(np.append(True, slots[1:] != slots[:-1]))
-                yield rows(2 + i, slots[new], np.diff(np.append(new, len(slots))))
+                yield _counted(i, base[own] + rank)
 
 
 class Tree:
-    """A prefix code of the 256 byte values, from their counts."""
+    """A prefix code of the 256 ranks, from their counts."""
 
     def __init__(self, counts: np.ndarray) -> None:
         heap = [(int(c) + 1, i, i) for i, c in enumerate(counts)]
@@ -127,7 +157,7 @@ class Tree:
         self.lengths = np.array([len(p) for p in paths])
         self.starts = np.append(0, np.cumsum(self.lengths[:-1]))
         flat = [step for p in paths for step in p]
-        self.nodes = np.array([n for n, _ in flat], np.uint32)
+        self.nodes = np.array([n for n, _ in flat], np.int64)
         self.turns = np.array([t for _, t in flat], np.uint8)
         #: (symbols, nodes): whether a symbol passes a node, and whether it turns right there.
         self.passes, self.rights = np.zeros((256, 256), np.float32), np.zeros((256, 256), np.float32)
@@ -140,28 +170,44 @@ class Tree:
 def odds(counts: np.ndarray, tree: Tree) -> np.ndarray:
     """Counts of (contexts, symbols) to log-odds of (contexts, nodes) in steps of 1/STEP; zero where
     a context was never seen."""
-    n, right = counts.astype(np.float32) @ tree.passes, counts.astype(np.float32) @ tree.rights
-    p = (right + 0.4) / (n + 0.8)
-    return np.where(n > 0, np.clip(np.rint(np.log(p / (1 - p)) * STEP), -127, 127), 0).astype(np.int8)
+    out = np.zeros(counts.shape, np.int8)
+    seen, used = np.flatnonzero(counts.any(axis=1)), np.flatnonzero(counts.any(axis=0))
+    dense = counts[np.ix_(seen, used)].astype(np.float32)
+    n, right = dense @ tree.passes[used], dense @ tree.rights[used]
+    p = (right + np.float32(0.4)) / (n + np.float32(0.8))
+    out[seen] = np.where(n > 0, np.clip(np.rint(np.log(p / (1 - p)) * STEP), -127, 127), 0)
+    return out
 
 
-def tables(counts: DataFrame, tree: Tree) -> dict[int, dict[int, bytes]]:
-    """Log-odds by order and block of contexts, compressed. Their size is bounded by SLOT_BITS."""
+def _by_block(counts: DataFrame, kinds, build) -> Iterator:
+    """``build`` over the counts of each block of 256 contexts: (kind, block, packed bytes, sums). What
+    reaches the driver is bounded by SLOT_BITS, whatever the corpus."""
     per_block = 1 << 16
 
-    def build(frame: pd.DataFrame) -> pd.DataFrame:
-        slots = frame["key"].to_numpy() % per_block
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
         dense = np.zeros(per_block, np.float32)
-        dense[slots] = frame["n"].to_numpy()
-        packed = zlib.compress(odds(dense.reshape(-1, 256), tree).tobytes(), 1)
-        return pd.DataFrame({"kind": [frame["kind"].iloc[0]], "block": [frame["block"].iloc[0]], "packed": [packed]})
-
-    rows = counts.where(F.col("kind") >= 2).withColumn("block", F.shiftright("key", 16)).groupBy("kind", "block").applyInPandas(
-        build, "kind int, block long, packed binary").toLocalIterator()
-    out: dict[int, dict[int, bytes]] = {}
-    for r in rows:
-        out.setdefault(r["kind"] - 2, {})[r["block"]] = bytes(r["packed"])
-    return out
+        dense[frame["key"].to_numpy() % per_block] = frame["n"].to_numpy()
+        packed, sums = build(dense.reshape(-1, 256))
+        return pd.DataFrame({"kind": [frame["kind"].iloc[0]], "block": [frame["block"].iloc[0]],
+                             "packed": [zlib.compress(packed.tobytes(), 1)], "sums": [sums]})
+
+    return counts.where(kinds).withColumn("block", F.shiftright("key", 16)).groupBy("kind", "block").applyInPandas(
+        run, "kind int, block long, packed binary, sums array<double>").toLocalIterator()
+
+
+def _ranked(counts: np.ndarray) -> tuple[np.ndarray, list[float]]:
+    """Rank of every byte in its context (most frequent first, then by value), and counts of ranks."""
+    order = np.argsort(-counts, axis=1, kind="stable")
+    ranks = np.empty(order.shape, np.uint8)
+    np.put_along_axis(ranks, order, np.arange(256, dtype=np.uint8)[None, :], axis=1)
+    return ranks, np.take_along_axis(counts, order, axis=1).sum(axis=0, dtype=np.float64).tolist()
+
+
+def unpacked_ranks(blocks: dict[int, bytes]) -> np.ndarray:
+    table = np.tile(np.arange(256, dtype=np.uint8), 1 << 16)
+    for block, data in blocks.items():
+        table[block << 16:(block + 1) << 16] = np.frombuffer(zlib.decompress(data), np.uint8)
+    return table
 
 
 def unpacked(packed: dict[int, dict[int, bytes]]) -> list[np.ndarray]:
@@ -178,76 +224,110 @@ class Lanes:
     """State of the mixer and the refinement of several texts."""
 
     def __init__(self, n: int) -> None:
-        first = np.linspace(0.15, 0.45, len(ORDERS), dtype=np.float32)
-        self.weights = np.tile(first, (n, GATES, 1))
-        middle = (np.arange(BUCKETS, dtype=np.float32) + 0.5) / BUCKETS * 16 - 8
+        first = np.append(np.linspace(0.2, 0.5, len(ORDERS)), 0) / STEP
+        self.weights = np.tile(first.astype(np.float32), (n, GATES, 1))
+        middle = (np.arange(BUCKETS + 1, dtype=np.float32) + 0.5) / BUCKETS * 16 - 8
         self.refined = np.tile(1 / (1 + np.exp(-middle)), (n, 1)).astype(np.float32)
         self.gate = np.zeros(n, np.int64)
         self.bits = np.zeros(n)
 
 
-def _mix(lanes: Lanes, inputs: np.ndarray, turns: np.ndarray, valid: np.ndarray, blocks: np.ndarray) -> None:
-    """Codes the given block (one row index per lane, lanes 0 … n-1) and adapts."""
-    n = len(blocks)
+_IN_BLOCK = np.arange(BLOCK)
+_SCALE, _RATE = np.float32(BUCKETS / 16), np.float32(RATE / STEP / STEP)
+
+
+def _mix(lanes: Lanes, records: np.ndarray, at: np.ndarray, left: np.ndarray) -> None:
+    """Codes the block of decisions that begins at ``at`` in the records of lanes 0 … n-1, of which
+    ``left`` are left, and adapts. A record holds the log-odds of every order and the turn taken."""
+    n = len(at)
     rows = np.arange(n)
-    x = inputs[:, blocks].astype(np.float32) / np.float32(STEP)
-    y, ok = turns[blocks].astype(np.float32), valid[blocks]
-    w = lanes.weights[rows, lanes.gate[:n]]
-    dot = w[:, 0, None] * x[0]
-    for i in range(1, len(x)):
-        dot += w[:, i, None] * x[i]
+    where = at[:, None] + _IN_BLOCK
+    ragged = left[-1] < BLOCK  # lanes come longest first
+    if ragged:
+        ok = _IN_BLOCK < left[:, None]
+        where = np.where(ok, where, len(records) - 1)
+    x = records[where].view(np.int8).reshape(n, BLOCK, len(ORDERS) + 1).astype(np.float32)
+    gate = lanes.gate[:n]
+    dot = np.matmul(x, lanes.weights[rows, gate][:, :, None])[..., 0]
     np.clip(dot, -7.99, 7.99, out=dot)
-    mixed = 1 / (1 + np.exp(-dot))
-    bucket = ((dot + 8) * np.float32(BUCKETS / 16)).astype(np.int64)
-    refined = np.take_along_axis(lanes.refined[:n], bucket, axis=1)
-    p = np.clip((mixed + refined) * np.float32(0.5), 1e-4, 1 - 1e-4)
-    cost = np.where(ok, -np.log2(np.where(y > 0, p, 1 - p)), 0).sum(axis=1, dtype=np.float64)
-    lanes.bits[:n] += cost
-    error = np.where(ok, y - mixed, 0)
-    for i in range(len(x)):
-        lanes.weights[rows, lanes.gate[:n], i] += np.float32(RATE) * (error * x[i]).sum(axis=1)
-    slot = (rows[:, None] * BUCKETS + bucket).ravel()
-    hits = np.bincount(slot, ok.ravel(), minlength=n * BUCKETS).reshape(n, BUCKETS)
-    right = np.bincount(slot, (y * ok).ravel(), minlength=n * BUCKETS).reshape(n, BUCKETS)
+    bucket = ((dot + np.float32(8)) * _SCALE).astype(np.int64)
+    if ragged:
+        bucket[~ok] = BUCKETS
+    np.negative(dot, out=dot)
+    np.exp(dot, out=dot)
+    dot += 1
+    np.reciprocal(dot, out=dot)
+    y = x[..., -1]
+    bucket += rows[:, None] * (BUCKETS + 1)
     table = lanes.refined[:n]
-    pull = 1 - np.power(1 - REFINE, hits)
-    table += (pull * (np.where(hits > 0, right / np.maximum(hits, 1), 0) - table)).astype(np.float32) * (hits > 0)
-    rate = cost / np.maximum(ok.sum(axis=1), 1)
+    p = table.ravel()[bucket]
+    p += dot
+    p *= np.float32(0.5)
+    # The probability of the turn that was taken: p if it is 1, else 1 - p.
+    np.subtract(1 - y, p, out=p)
+    np.abs(p, out=p)
+    np.log2(p, out=p)
+    cost = -(p * ok if ragged else p).sum(axis=1, dtype=np.float64)
+    lanes.bits[:n] += cost
+    error = y - dot
+    step = np.matmul(error[:, None, :], x)[:, 0]
+    step[:, -1] = 0
+    lanes.weights[rows, gate] += _RATE * step
+    bucket *= 2
+    bucket += y.astype(np.int64)
+    hits = np.bincount(bucket.ravel(), minlength=2 * n * (BUCKETS + 1)).reshape(n, BUCKETS + 1, 2)
+    total = hits.sum(axis=2)
+    pull = (1 - np.power(1 - REFINE, total)) / np.maximum(total, 1)
+    table += (pull * (hits[..., 1] - total * table)).astype(np.float32)
+    np.clip(table, 0.001, 0.999, out=table)
+    rate = cost / np.minimum(left, BLOCK)
     lanes.gate[:n] = np.minimum((rate * GATES).astype(np.int64), GATES - 1)
 
 
-def _run(lanes: Lanes, texts: list[bytes], before: bytes, tree: Tree, table: list[np.ndarray]) -> None:
-    """Codes texts (whole, or the next part of a single long one after ``before``), one per lane,
-    longest first."""
+def _records(texts: list[bytes], before: bytes, ranks: np.ndarray, tree: Tree, table: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The decisions of all texts, one after the other, as log-odds of every order and the turn; and
+    how many each text has. ``before`` goes before the first text."""
     pad = max(ORDERS)
     gap = bytes(pad)
     data = np.frombuffer((gap + before)[-pad:] + gap.join(texts), np.uint8)
     lengths = np.array([len(t) for t in texts])
-    first = np.cumsum(np.append(0, lengths[:-1] + pad))
-    at = np.repeat(first - np.append(0, np.cumsum(lengths)[:-1]), lengths) + np.arange(lengths.sum())
-    symbols = data[pad:][at]
+    ends = np.cumsum(lengths)
+    at = np.arange(ends[-1]) + np.repeat(np.arange(len(texts)) * pad, lengths)
+    symbols = ranks[_followers(data)[at].astype(np.int64)]
     steps = tree.lengths[symbols]
+    stop = np.cumsum(steps)
     rep = np.repeat(np.arange(len(symbols)), steps)
-    within = np.arange(len(rep)) - np.repeat(np.cumsum(steps) - steps, steps)
-    code = tree.starts[symbols][rep] + within
+    code = np.arange(stop[-1]) + (tree.starts[symbols] - (stop - steps))[rep]
     node = tree.nodes[code]
-    per_lane = np.add.reduceat(steps, np.append(0, np.cumsum(lengths)[:-1]))
-    blocks = -(-per_lane // BLOCK)
-    block_at = np.cumsum(blocks) - blocks
-    spot = np.repeat(block_at * BLOCK - (np.cumsum(per_lane) - per_lane), per_lane) + np.arange(len(rep))
-    size = int(blocks.sum()) * BLOCK
-    turns, valid = np.zeros(size, np.uint8), np.zeros(size, bool)
-    turns[spot], valid[spot] = tree.turns[code], True
-    inputs = np.zeros((len(ORDERS), size), np.int8)
+    records = np.empty((len(code), len(ORDERS) + 1), np.int8)
+    records[:, -1] = tree.turns[code]
     for i, base in enumerate(contexts(data)):
-        inputs[i, spot] = table[i][base[at][rep] + node]
-    inputs, turns, valid = inputs.reshape(len(ORDERS), -1, BLOCK), turns.reshape(-1, BLOCK), valid.reshape(-1, BLOCK)
-    for k in range(int(blocks.max())):
-        n = int(np.searchsorted(-blocks, -k, "left"))
-        _mix(lanes, inputs, turns, valid, block_at[:n] + k)
-
-
-def bits_of(texts: list[bytes], tree: Tree, table: list[np.ndarray]) -> np.ndarray:
+        records[:, i] = table[i][base[at].astype(np.int64)[rep] + node]
+    last = stop[ends - 1]
+    return records, np.diff(last, prepend=0)
+
+
+def _run(lanes: Lanes, texts: list[bytes], before: bytes, ranks: np.ndarray, tree: Tree, table: list[np.ndarray]) -> None:
+    """Codes texts (whole, or the next part of a single long one after ``before``), one per lane."""
+    made, sizes = [], []
+    for part in _parts(texts, RECORD_BYTES):
+        records, size = _records(part, before, ranks, tree, table)
+        made.append(records)
+        sizes.append(size)
+    made.append(np.zeros((1, len(ORDERS) + 1), np.int8))
+    records, size = np.concatenate(made), np.concatenate(sizes)
+    del made
+    packed = records.view(np.uint32 if records.shape[1] == 4 else f"V{records.shape[1]}").ravel()
+    first = np.cumsum(size) - size
+    by_size = np.argsort(-size, kind="stable")
+    first, size = first[by_size], size[by_size]
+    for k in range(0, int(size[0]), BLOCK):
+        n = int(np.searchsorted(-size, -k, "left"))
+        _mix(lanes, packed, first[:n] + k, size[:n] - k)
+    lanes.bits = lanes.bits[np.argsort(by_size)]
+
+
+def bits_of(texts: list[bytes], ranks: np.ndarray, tree: Tree, table: list[np.ndarray]) -> np.ndarray:
     """Total bits of each text with its end."""
     texts = [t + bytes([END]) for t in texts]
     order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
@@ -257,16 +337,16 @@ def bits_of(texts: list[bytes], tree: Tree, table: list[np.ndarray]) -> np.ndarr
         if len(texts[order[at]]) > SCORED_BYTES:
             lanes, t = Lanes(1), texts[order[at]]
             for part in range(0, len(t), SCORED_BYTES):
-                _run(lanes, [t[part:part + SCORED_BYTES]], t[max(0, part - max(ORDERS)):part], tree, table)
+                _run(lanes, [t[part:part + SCORED_BYTES]], t[max(0, part - max(ORDERS)):part], ranks, tree, table)
             out[order[at]] = lanes.bits[0]
             at += 1
             continue
         end, size = at, 0
-        while end < len(order) and size + len(texts[order[end]]) <= SCORED_BYTES:
+        while end < len(order) and end - at < LANES and size + len(texts[order[end]]) <= SCORED_BYTES:
             size += len(texts[order[end]])
             end += 1
         lanes = Lanes(end - at)
-        _run(lanes, [texts[i] for i in order[at:end]], b"", tree, table)
+        _run(lanes, [texts[i] for i in order[at:end]], b"", ranks, tree, table)
         out[order[at:end]] = lanes.bits
         at = end
     return out
@@ -285,48 +365,64 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text: str =
     token makes a crowded key."""
     spark = docs.sparkSession
     plain = docs.select(F.col(id_col), F.coalesce(F.col(text), F.lit("")).alias("__text"), training.alias("__learn"))
-    counted = plain.where("__learn").select("__text").mapInArrow(_training_rows, "kind int, key long, n long")
+    learned = plain.where("__learn").select("__text")
+    counted = learned.mapInArrow(_token_rows, "kind int, key long, n long")
     counts = cut_lineage(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
     tokens = counts.where("kind = 0").select("key", "n")
     total, distinct = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    frequent = {r["key"]: r["n"] for r in tokens.orderBy(F.desc("n"), "key").limit(FREQUENT).collect()}
-    symbol_counts = np.zeros(256)
-    for r in counts.where("kind = 1").collect():
-        symbol_counts[r["key"]] = r["n"]
-    tree = Tree(symbol_counts)
-    shared = spark.sparkContext.broadcast((frequent, tree, tables(counts, tree)))
+    top = sorted((r["key"], r["n"]) for r in tokens.orderBy(F.desc("n"), "key").limit(FREQUENT).collect())
+    rank_blocks, rank_counts = {}, np.zeros(256)
+    for r in _by_block(counts, F.col("kind") == 1, _ranked):
+        rank_blocks[r["block"]] = bytes(r["packed"])
+        rank_counts += np.array(r["sums"])
+    tree = Tree(rank_counts)
+    ranked = spark.sparkContext.broadcast(rank_blocks)
+
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _slot_rows(batches, unpacked_ranks(ranked.value))
+
+    slot_counts = learned.mapInArrow(slots, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    packed: dict[int, dict[int, bytes]] = {}
+    for r in _by_block(slot_counts, F.lit(True), lambda dense: (odds(dense, tree), [])):
+        packed.setdefault(r["kind"], {})[r["block"]] = bytes(r["packed"])
     scale = total + distinct + 1
+    # Where nothing was learned, a key that no token has keeps the table from being empty.
+    common = np.array([k for k, _ in top] or [1 << 62], np.int64)
+    common_log = np.log10(np.array([n for _, n in top] or [0], np.float64) + 1) - np.log10(scale)
+    shared = spark.sparkContext.broadcast((common, common_log, rank_blocks, tree, packed))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = shared.id if hasattr(shared, "id") else id(shared)
         if key not in _LOADED:
             _LOADED.clear()
-            frequent, tree, packed = shared.value
-            _LOADED[key] = (frequent, tree, unpacked(packed), {})
-        frequent, tree, table, hashes = _LOADED[key]
+            common, common_log, rank_blocks, tree, packed = shared.value
+            _LOADED[key] = (common, common_log, unpacked_ranks(rank_blocks), tree, unpacked(packed), {})
+        common, common_log, ranks, tree, table, hashes = _LOADED[key]
+        end, last = signed(_END_HASH), len(common) - 1
         digest = xxhash.xxh64_intdigest
         for batch in batches:
             texts = [t.lower() for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            bits = bits_of(texts, tree, table)
+            bits = bits_of(texts, ranks, tree, table)
             known, sums, n_tokens, rare_keys, rare_n = [], [], [], [], []
             if len(hashes) > 500_000:
                 hashes.clear()
             for t in texts:
                 seen = Counter(t.split())
-                own = [signed(_END_HASH)]
+                own = [end]
                 for w in seen:
                     h = hashes.get(w)
                     if h is None:
                         hashes[w] = h = signed(digest(w, 42))
                     own.append(h)
-                times = [1, *seen.values()]
-                c = [frequent.get(h, 0) for h in own]
-                n_tokens.append(sum(times))
-                known.append(sum(n for n, k in zip(times, c, strict=True) if k))
-                has = [(n, k) for n, k in zip(times, c, strict=True) if k]
-                sums.append(float(np.dot([n for n, _ in has], np.log10(np.array([k for _, k in has], np.float64) + 1) - np.log10(scale))) if has else 0.0)
-                rare_keys.append([h for h, k in zip(own, c, strict=True) if not k])
-                rare_n.append([n for n, k in zip(times, c, strict=True) if not k])
+                times = np.array([1, *seen.values()])
+                own = np.array(own, np.int64)
+                at = np.minimum(np.searchsorted(common, own), last)
+                hit = common[at] == own
+                n_tokens.append(int(times.sum()))
+                known.append(int(times[hit].sum()))
+                sums.append(float(times[hit] @ common_log[at[hit]]))
+                rare_keys.append(own[~hit])
+                rare_n.append(times[~hit].astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(sums, pa.float64()),
                  pa.array([len(t) for t in texts], pa.int64()), pa.array(bits, pa.float64()),
