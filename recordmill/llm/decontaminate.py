@@ -23,9 +23,9 @@ SIZES = tuple(1 << k for k in range(31))
 
 def shingles(w: Column, size: int) -> Column:
     """Distinct shingles of a word array, as strings; fewer words: the whole sequence; none: none."""
-    return F.when(F.size(w) == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(F.transform(
+    return let(w, lambda w: F.when(F.size(w) == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(F.transform(
         F.sequence(F.lit(0), F.greatest(F.size(w) - size, F.lit(0))),
-        lambda i: F.array_join(F.slice(w, i + 1, size), " "))))
+        lambda i: F.array_join(F.slice(w, i + 1, size), " ")))))
 
 
 def shingle_hashes(w: Column, size: int) -> Column:
