@@ -56,17 +56,17 @@ def find_spans(text: Column, pattern: str, group: int | None = None) -> Column:
     end exclusive), match and group. Matches and the pieces between them alternate, so running
     lengths give the positions."""
     def located(found: Column, inner: Column) -> Column:
-        pieces = F.split(text, pattern, -1)
-        lengths = let(pieces, lambda p: F.transform(
+        lengths = let(F.split(text, pattern, -1), lambda p: F.transform(
             found, lambda m, i: F.char_length(F.get(p, i)) + F.char_length(m)))
         return let(running_sum(lengths), lambda ends: F.transform(found, lambda m, i: F.struct(
             (F.get(ends, i) - F.char_length(m)).alias("start"), F.get(ends, i).alias("end"),
-            m.alias("match"), (F.get(inner, i) if group else m).alias("group"))))
+            m.alias("match"), F.get(inner, i).alias("group"))))
 
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    inner = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
     none = F.array().cast("array<struct<start:int,end:int,match:string,group:string>>")
-    return F.when(text.rlike(pattern), let(found, lambda m: located(m, inner))).otherwise(none)
+    spans = let(found, lambda m: let(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), lambda g: located(m, g)) if group else located(m, m))
+    return F.when(text.rlike(pattern), spans).otherwise(none)
 
 
 def joined_spans(spans: Column) -> Column:
