@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from recordmill.catalog.base import FRAMES, Tables, on, query
 from recordmill.catalog.texts import sql_capitalised, sql_domain, sql_entity, sql_entity_id
-from recordmill.fixed_values import DISTINGUISHING_WORDS, SEED_ENTITIES
+from recordmill.fixed_values import NEW_ENTITY_REASON, DISTINGUISHING_WORDS, SEED_ENTITIES
 from recordmill.functions.names import normalize_entity
 from recordmill.operators import resolve as R
 from recordmill.catalog.history import customer_master, master_arrivals
@@ -127,12 +127,19 @@ def _(t: Tables):
     )
 
 
-@query("mapping_log", on_tiers("""SELECT 'map_' || substr(sha256(concat_ws('|', 'https://r.example.org/' || CAST(seq AS STRING), raw_value, 'STARTUP')), 1, 32) AS mapping_id,
-    seq, raw_value, decision, '1.0.0' AS resolver_version, canonical_entity_id AS resolved_canonical_entity_id FROM resolved"""))
+@query("mapping_log", on_tiers(f"""SELECT 'map_' || substr(sha256(concat_ws('|', 'https://r.example.org/' || CAST(seq AS STRING), raw_value, 'STARTUP')), 1, 32) AS mapping_id,
+    seq, '1.0' AS schema_version, 'STARTUP' AS entity_type, raw_value, normalized_value, canonical_value, canonical_entity_id AS resolved_canonical_entity_id,
+    decision, match_method, CAST(confidence AS DOUBLE) AS confidence, '2026-01-01T00:00:00Z' AS timestamp, 'https://r.example.org/' || CAST(seq AS STRING) AS source_url,
+    '1.0.0' AS resolver_version, CASE WHEN decision NOT IN ('NO_MATCH', 'CREATE_NEW_CANONICAL') THEN canonical_entity_id END AS matched,
+    CASE WHEN decision = 'CREATE_NEW_CANONICAL' THEN '{NEW_ENTITY_REASON}' END AS reason FROM resolved"""))
 def _(t: Tables):
     url = F.concat(F.lit("https://r.example.org/"), F.col("seq").cast("string"))
     log = R.mapping_log(resolved(t), url, F.lit("2026-01-01T00:00:00Z"))
-    return log.select("mapping_id", "seq", "raw_value", "decision", "resolver_version", "resolved_canonical_entity_id")
+    evidence = F.col("evidence")
+    return log.withColumns({
+        "matched": evidence["matched_canonical_id"],
+        "reason": F.when(F.col("decision") == "CREATE_NEW_CANONICAL", evidence["reason"]),
+    }).drop("evidence")
 
 
 _KINDS = """CASE doc_id % 6 WHEN 0 THEN 'STARTUP' WHEN 1 THEN 'PRODUCT' WHEN 2 THEN 'JOB' WHEN 3 THEN 'RESEARCH_PAPER' WHEN 4 THEN 'NEWS' ELSE 'OTHER' END"""
