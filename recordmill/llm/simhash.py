@@ -10,6 +10,7 @@ parts not yet joined are returned, never all pairs.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordmill.session import cut_lineage
+from recordmill.session import cut_lineage, join_side
 
 SEED = 42
 #: Shingles hashed at a time, which bounds memory for texts of any length.
@@ -32,6 +33,8 @@ TILE = 512
 BLOCKS = 5
 #: Keys per document when the radius is too wide for block keys, each of two shingle minima.
 ANCHORS = 10
+#: Texts, and their bytes, of a candidate group whose shingles are compared in one task.
+CONFIRMED_TEXTS, CONFIRMED_BYTES = 128, 8 << 20
 
 
 def _mixed(h: np.ndarray, salt: int) -> np.ndarray:
@@ -57,12 +60,23 @@ def _shingle_hashes(text: bytes, size: int) -> Iterator[np.ndarray]:
         yield np.array([digest(joined[a:b], SEED) for a, b in zip(starts[at:at + CHUNK], ends[at:at + CHUNK], strict=True)], np.uint64)
 
 
-def fingerprint(text: bytes, size: int, n_words: int = 1, anchors: int = 0) -> tuple[np.ndarray, np.ndarray]:
+def shingle_set(text: bytes, size: int) -> np.ndarray:
+    """The distinct hashes of the shingles, sorted."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *_shingle_hashes(text, size)]))
+
+
+def fingerprint(text: bytes, size: int, n_words: int = 1, anchors: int = 0, once: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """The fingerprint as uint64 words (zero for a text without words), and ``anchors`` keys, each
-    made of the minima of two re-hashed shingle sets."""
+    made of the minima of two re-hashed shingle sets. Repeated shingles count as often as they occur,
+    or ``once``."""
     total, sums = 0, np.zeros((n_words, 64), np.int64)
     least = np.full(2 * anchors, np.iinfo(np.uint64).max, np.uint64)
-    for h in _shingle_hashes(text, size):
+    if once:
+        whole = shingle_set(text, size)
+        chunks = (whole[at:at + CHUNK] for at in range(0, len(whole), CHUNK))
+    else:
+        chunks = _shingle_hashes(text, size)
+    for h in chunks:
         total += len(h)
         for j in range(n_words):
             x = _mixed(h, j) if j else h
@@ -250,11 +264,144 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         F.col("id").alias(id_col), F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
-def first_of_group(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 5, radius: int = 44,
-                   n_words: int = 4) -> DataFrame:
+def _prints(rows: DataFrame, size: int, n_words: int) -> DataFrame:
+    """id, key (a hash of the words in order), fp and anchors of the shingle sets of rows (id, text)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            made = [fingerprint(t, size, n_words, ANCHORS, once=True) for t in texts]
+            keys = [hashlib.sha256(b" ".join(t.lower().split())).digest() for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(keys, pa.binary()), pa.array([f.astype(">u8").tobytes() for f, _ in made], pa.binary()),
+                 pa.array([k.view(np.int64).tolist() for _, k in made], pa.list_(pa.int64()))], ["id", "key", "fp", "anchors"])
+
+    return rows.mapInArrow(run, "id long, key binary, fp binary, anchors array<long>")
+
+
+def _similar(texts: list[str], size: int, similarity: float) -> Iterator[tuple[int, np.ndarray]]:
+    """Each text's place and the later places of texts with at least this Jaccard similarity."""
+    sets = [shingle_set(t.encode(), size) for t in texts]
+    lengths = np.array([len(x) for x in sets])
+    starts = np.cumsum(lengths) - lengths
+    number = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    held = np.zeros(len(number), np.int64)
+    for i in range(len(sets) - 1):
+        own, later = number[starts[i]:starts[i] + lengths[i]], number[starts[i + 1]:]
+        held[own] = 1
+        sums = np.append(0, np.cumsum(held[later]))
+        edges = np.append(starts[i + 1:], len(number)) - starts[i + 1]
+        shared = np.diff(sums[edges])
+        held[own] = 0
+        either = lengths[i] + lengths[i + 1:] - shared
+        near = (shared >= similarity * either - 1e-9) & (shared > 0)
+        yield i, i + 1 + np.flatnonzero(near)
+
+
+def _confirmed_in(frames: Iterator[pd.DataFrame], size: int, similarity: float) -> Iterator[pd.DataFrame]:
+    """Frames of (group, id, label, text) sorted by group, as they come, to links that join labels."""
+    rest: pd.DataFrame | None = None
+
+    def links(frame: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, group in frame.groupby("group", sort=False):
+            if len(group) == 1:
+                continue
+            ids, label = group["id"].to_numpy(), group["label"].to_numpy().copy()
+            for i, near in _similar(group["text"].tolist(), size, similarity):
+                for j in near:
+                    if label[i] != label[j]:
+                        out.append((ids[i], ids[j]))
+                        label[label == label[j]] = label[i]
+        return pd.DataFrame(np.array(out, np.int64).reshape(-1, 2), columns=["a", "b"])
+
+    for frame in frames:
+        frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+        last = frame["group"].iloc[-1]
+        whole = (frame["group"] != last).to_numpy()
+        rest = frame[~whole]
+        yield links(frame[whole])
+    if rest is not None:
+        yield links(rest)
+
+
+def confirmed_links(texts: DataFrame, candidates: DataFrame, size: int, similarity: float,
+                    tile: int = CONFIRMED_TEXTS, tile_bytes: int = CONFIRMED_BYTES) -> DataFrame:
+    """Links (a, b) between ids of ``candidates`` (id, component), enough to join all that chains of
+    pairs of a component with at least this Jaccard similarity join; each link is such a pair.
+    ``texts`` (id, text) may hold other ids.
+
+    A component of more than one tile is compared inside its tiles first, then one text of each part
+    with those of the others. Where more than one part is left, every pair of tiles is compared, so
+    only components that do not hang together cost more than a pass over their texts."""
+    found = join_side(candidates, "candidates")
+    members = cut_lineage(texts.join(found, "id").select("id", "component", "text"), "members")
+    sizes = members.groupBy("component").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    tiles = F.greatest(F.ceil(F.col("n") / tile), F.ceil(F.col("bytes") / tile_bytes)).cast("int")
+    crowded = cut_lineage(sizes.select("component", "n", tiles.alias("tiles")).where("tiles > 1"), "crowded")
+
+    def compared(rows: DataFrame) -> DataFrame:
+        made = rows.repartition("group").sortWithinPartitions("group").select("group", "id", "label", "text")
+        return cut_lineage(made.mapInPandas(lambda frames: _confirmed_in(frames, size, similarity), "a long, b long"), "confirmed")
+
+    def parts(links: DataFrame) -> DataFrame:
+        """Members of crowded components that are still in more than one part, and their part's label."""
+        made = cut_lineage(members.select("id", "component").join(F.broadcast(crowded), "component").join(
+            components(links).withColumnRenamed("component", "label"), "id", "left")
+            .select("id", "component", "n", "tiles", F.coalesce("label", "id").alias("label")), "parts")
+        split = made.groupBy("component").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
+        return cut_lineage(made.join(split.select("component"), "component", "left_semi"), "split")
+
+    def own(n, by):
+        return F.pmod(F.xxhash64("id", F.lit(by)), n).cast("int")
+
+    crowd = members.join(F.broadcast(crowded), "component", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+    links = compared(crowd.select(F.xxhash64("component", own(F.col("tiles"), 0)).alias("group"), "id", F.col("id").alias("label"), "text"))
+    if not crowded.limit(1).count():
+        return links
+    split, before = parts(links), None
+    while n := split.select("label").distinct().count():
+        if before is not None and n > before // 2:
+            break
+        before = n
+        heads = split.where("id = label")
+        of = heads.groupBy("component").agg(F.count("*").alias("heads"))
+        dealt = heads.join(F.broadcast(of), "component").withColumn("own", own(F.ceil(
+            F.col("tiles") * F.col("heads") / F.col("n")), 1))
+        links = links.unionByName(compared(members.select("id", "text").join(dealt, "id").select(
+            F.xxhash64("component", "own").alias("group"), "id", "label", "text")))
+        split = parts(links)
+    if not n:
+        return links
+    # Both texts of a pair lie in the group of their tiles, whichever those are.
+    at = own(F.col("tiles"), 2)
+    paired = split.withColumn("own", at).select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")).select(
+        "id", "label", F.xxhash64("component", F.least("own", "other"), F.greatest("own", "other")).alias("group"))
+    return links.unionByName(compared(members.select("id", "text").join(paired, "id").select("group", "id", "label", "text")))
+
+
+def first_of_group(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 5, radius: int = 60,
+                   n_words: int = 4, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its group, with their own columns only; of
-    repeated rows one stays. The default radius on 256 bits is where texts of five-word shingles
-    with a Jaccard similarity of 0.8 lie (39 bits expected) plus one standard deviation."""
-    groups = near_duplicates(docs, id_col, text, size, radius, n_words)
-    chosen = groups.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    return docs.join(chosen, id_col, "left_semi").dropDuplicates([id_col])
+    repeated rows one stays. A group is what chains of pairs join whose sets of shingles have at
+    least this Jaccard similarity; texts with the same words are one, also texts without words.
+
+    Candidates are fingerprints of shingle sets within ``radius`` that share an anchor; of pairs
+    right at 0.8 (39 of 256 bits expected, deviation 5.7) about one in ten thousand lies further
+    apart. Every pair is confirmed by its shingles before it counts. Rows are linked and kept by a
+    number of their own, so ids may repeat or be null; a null is larger than any id, and among
+    equal ids the smaller hash of the text comes first."""
+    # The number is written with its row, so that no later reading can deal it anew.
+    numbered = cut_lineage(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    texts = numbered.select(F.col("__row").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    made = cut_lineage(_prints(texts, size, n_words), "fingerprints")
+    distinct = cut_lineage(made.groupBy("key").agg(
+        F.min("id").alias("id"), F.min("fp").alias("fp"), F.min("anchors").alias("anchors")), "distinct")
+    candidates = components(links(distinct, radius, F.col("anchors")))
+    found = components(confirmed_links(texts, candidates, size, similarity))
+    by_key = distinct.join(found, "id", "left").select("key", F.coalesce("component", "id").alias("component"))
+    ranks = numbered.select(F.col("__row").alias("id"), F.struct(
+        F.col(id_col).isNull().alias("none"), F.col(id_col).alias("own"), F.xxhash64(text).alias("h"), F.col("__row").alias("id")).alias("rank"))
+    first = made.select("id", "key").join(ranks, "id").groupBy("key").agg(F.min("rank").alias("rank"))
+    chosen = first.join(by_key, "key").groupBy("component").agg(F.min("rank").alias("rank"))
+    chosen = join_side(chosen.select(F.col("rank.id").alias("__row")), "chosen")
+    return numbered.join(chosen, "__row", "left_semi").select(*docs.columns)

@@ -313,3 +313,73 @@ def test_vocabulary_has_no_lost_rules():
         spec = json.load(f)
     assert [n["type"] for n in spec["normalizer"]["normalizers"]] == ["NFC", "Replace", "Lowercase"]
     assert all(not (t["lstrip"] or t["rstrip"] or t["single_word"]) for t in spec["added_tokens"])
+
+
+def five_word_sets(texts):
+    def shingles(t):
+        w = t.lower().encode().split()
+        return {b" ".join(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    return {k: shingles(t) for k, t in texts.items()}
+
+
+def first_ids(texts):
+    """Smallest ids of the components of pairs at Jaccard similarity 0.8, by comparing all pairs."""
+    sets, label = five_word_sets(texts), {k: k for k in texts}
+    for i, a in enumerate(ids := sorted(texts)):
+        for b in ids[:i]:
+            shared, x, y = len(sets[a] & sets[b]), label[a], label[b]
+            if x != y and (sets[a] == sets[b] or shared / len(sets[a] | sets[b]) >= 0.8):
+                label = {k: min(x, y) if v in (x, y) else v for k, v in label.items()}
+    return sorted(set(label.values()))
+
+
+def near_pairs(rng, n, changed):
+    """``n`` texts of 404 words (400 shingles) and a copy of each with single words changed, which
+    leaves 400 - 5 * changed of 400 + 5 * changed shingles in both."""
+    made = {}
+    for i in range(n):
+        w = [f"w{x}" for x in rng.integers(0, 1 << 40, 404)]
+        copy = list(w)
+        for at in range(changed):
+            copy[6 + 15 * at] = f"c{i}-{at}"
+        made[2 * i], made[2 * i + 1] = " ".join(w), " ".join(copy)
+    return made
+
+
+def test_first_of_group_is_exact_around_the_similarity(spark, texts):
+    """Pairs at 0.818, 0.798 and 0.778, texts that repeat a passage, and the documents."""
+    rng = np.random.default_rng(21)
+    made, at = dict(texts), 100_000
+    for changed in (8, 9, 10):
+        for k, t in near_pairs(rng, 40, changed).items():
+            made[at + k] = t
+        at += 1000
+    passage = " ".join(f"p{x}" for x in range(60))
+    for k in range(6):
+        made[at + k] = " ".join([passage] * 30 + [f"q{x}" for x in rng.integers(0, 1 << 40, 60)])
+    df = spark.createDataFrame(list(made.items()), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in simhash.first_of_group(df).collect()) == first_ids(made)
+
+
+def test_confirmed_links_in_a_crowded_component(spark):
+    """A chain, a hub with spokes and copies of one text in one candidate group, cut into small tiles."""
+    rng = np.random.default_rng(22)
+    words = [f"w{x}" for x in rng.integers(0, 1 << 40, 200)]
+    made = {}
+    for k in range(60):
+        w = list(words)
+        for x in rng.integers(0, 200, k % 4 * 2):
+            w[x] = f"x{k}-{x}"
+        made[k] = " ".join(w)
+    for k in range(60, 100):
+        words[(k - 60) * 5] = f"y{k}"
+        made[k] = " ".join(words)
+    df = spark.createDataFrame(list(made.items()), "id long, text string")
+    one = df.select("id", F.lit(0).cast("long").alias("component"))
+    for tile in (4, 128):
+        links = simhash.confirmed_links(df, one, 5, 0.8, tile=tile)
+        sets = five_word_sets(made)
+        assert all(len(sets[r["a"]] & sets[r["b"]]) >= 0.8 * len(sets[r["a"]] | sets[r["b"]]) for r in links.collect())
+        label = {r["id"]: r["component"] for r in simhash.components(links).collect()}
+        assert sorted({label.get(k, k) for k in made}) == first_ids(made)
