@@ -13,7 +13,8 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])"
+#: Where an account number may begin. What follows it can be any upper-case word or number, so its end is found apart.
+IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]){11})"
 NATIONAL_ID = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 KINDS = ("email", "ip", "card", "phone")
 ADDED = ("iban", "national_id")
@@ -22,6 +23,14 @@ ADDED = ("iban", "national_id")
 PROPOSED, CONFIRMED, NEARBY, CONTEXT = 0.5, 0.4, 0.3, 40
 #: An added kind is reported from this score on; the four base kinds always are.
 REPORTED = 0.8
+#: Characters of an account number by country; other countries may have 15 to 34.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+IBAN_MOST = 34
 CONTEXT_WORDS = {
     "email": r"(?i)\b(e-?mail|contact|write)",
     "ip": r"(?i)\b(ip|host|server|address)\b",
@@ -62,11 +71,32 @@ def _confirmed(kind: str, match: Column) -> Column:
         return let(_digits(match), lambda d: F.when(F.char_length(d).between(16, 19), luhn(d)).otherwise(F.lit(False)))
     if kind == "phone":
         return F.char_length(_digits(match)).between(8, 15)
-    if kind == "iban":
-        return let(F.regexp_replace(match, " ", ""), lambda v: F.char_length(v).between(15, 34) & mod97(v))
     return F.lit(True)
 
 
+def _ibans(text: Column) -> Column:
+    """Account numbers as structs of start and end. Every beginning is tried, with the length of its
+    country, else with every end at a word border, the longest first; single spaces may lie anywhere."""
+    known = "|".join(f"(?:{names.replace(' ', '|')})[0-9]{{2}}(?:\\x20?[A-Z0-9]){{{n - 4}}}" for n, names in IBAN_LENGTHS.items())
+    countries = "|".join(IBAN_LENGTHS.values()).replace(" ", "|")
+
+    def any_end(rest: Column) -> Column:
+        run = F.regexp_extract(rest, rf"\A(?:\x20?[A-Z0-9]){{15,{IBAN_MOST}}}", 0)
+        ends = F.filter(F.sequence(F.char_length(run), F.lit(0), F.lit(-1)), lambda e: (e >= 15) & ~F.substring(
+            rest, e, F.lit(2)).rlike(r"\A(?:\x20|.[A-Za-z0-9])"))
+        return F.transform(ends, lambda e: F.substring(rest, F.lit(1), e))
+
+    def number(rest: Column) -> Column:
+        tried = F.when(rest.rlike(rf"\A(?:{countries})"), F.array(F.regexp_extract(rest, rf"\A(?:{known})(?![A-Za-z0-9])", 0))).otherwise(any_end(rest))
+        return F.get(F.filter(tried, lambda v: let(F.regexp_replace(v, " ", ""), lambda x: (F.char_length(x) >= 15) & mod97(x))), F.lit(0))
+
+    # A number with a space after each character, and the character after it.
+    found = F.transform(find_spans(text, IBAN), lambda s: let(
+        number(F.substring(text, s["start"] + 1, F.lit(2 * IBAN_MOST))), lambda v: F.struct(
+            s["start"].alias("start"), (s["start"] + F.char_length(v)).alias("end"))))
+    return F.filter(found, lambda s: s["end"].isNotNull())
+
+
 def _spans(text: Column, kind: str, pattern: str) -> Column:
     def scored(s: Column) -> Column:
         before = F.substring(text, F.greatest(s["start"] - CONTEXT, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT)))
@@ -76,7 +106,7 @@ def _spans(text: Column, kind: str, pattern: str) -> Column:
         score = F.least(F.lit(1.0), F.lit(PROPOSED + proved) + F.lit(NEARBY) * near)
         return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), score.alias("score"))
 
-    kept = F.filter(find_spans(text, pattern), lambda s: _confirmed(kind, s["match"]))
+    kept = _ibans(text) if kind == "iban" else F.filter(find_spans(text, pattern), lambda s: _confirmed(kind, s["match"]))
     made = F.transform(kept, scored)
     return F.filter(made, lambda s: s["score"] >= REPORTED) if kind in ADDED else made
 
