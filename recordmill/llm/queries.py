@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordmill.llm import (
+    bpe,
+    conversations,
     decontaminate,
     langid,
     mixing,
@@ -18,6 +20,7 @@ from recordmill.llm import (
     simhash,
     tokencount,
     warc,
+    whitening,
 )
 from recordmill.llm.common import table
 
@@ -194,3 +197,22 @@ def op10(spark, folder):
     held_out = langid.fold(F.col("doc_id"), LANG_FOLDS) == HELD_OUT
     model = langid.fit(docs.where(~held_out))
     return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op11_conversations")
+def op11(spark, folder):
+    repaired = conversations.repair(conversations.damage(table(spark, folder, "conversations")))
+    return repaired.withColumnRenamed("conv", "conv_id")
+
+
+@query("op12_whitening")
+def op12(spark, folder):
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+@query("op13_bpe")
+def op13(spark, folder):
+    tokens = bpe.decode(bpe.encode(table(spark, folder, "documents")))
+    return tokens.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))

@@ -16,8 +16,8 @@ def test_sql(spark, name):
     assert state == "ok", note
 
 
-def test_ten_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_one_query_per_operator():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_in_steps_equals_run(spark, docs):
