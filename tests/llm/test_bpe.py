@@ -22,7 +22,7 @@ def own():
 
 
 def ids_of(own, text):
-    return [int(i) for part in own.encode(text) for i in part]
+    return own.encode(text).tolist()
 
 
 def plain(symbols, ranks, made):
@@ -50,6 +50,24 @@ def test_segment_tree_merges_like_repeated_search():
         assert bpe.merge(symbols, pairs, made) == plain(symbols, pairs, made)
 
 
+def test_trees_side_by_side_merge_like_repeated_search():
+    dice = random.Random(6)
+    for _ in range(60):
+        letters = dice.randint(1, 5)
+        pairs, made, known = {}, [], list(range(letters))
+        for rank in range(dice.randint(1, 14)):
+            a, b = dice.choice(known), dice.choice(known)
+            if (a << 32 | b) not in pairs:
+                pairs[a << 32 | b] = len(made)
+                made.append(100 + rank)
+                known.append(100 + rank)
+        words = [bytes(dice.randrange(letters) for _ in range(dice.randint(1, 33))) for _ in range(40)]
+        first = bpe.np.arange(256, dtype=bpe.np.int32)
+        flat, sizes = bpe.merge_many(words, first, bpe.Pairs(pairs), bpe.np.array(made))
+        want = [plain(w, pairs, made) for w in words]
+        assert sizes.tolist() == list(map(len, want)) and flat.tolist() == sum(want, [])
+
+
 TEXTS = [
     "", " ", "a", "Hello world's  end\n\n  of   it\t\n", "<|endoftext|>", "a <|endoftext|><|endoftext|> b<|endoftext", "x" * 5000,
     "ab" * 3000, "don't we'll I'M 'tis", "Ünï cödé — ｆｕｌｌ 漢字 ▁ \U0001f600 é é", "\x00\x01\x1c\x1d\x1e\x1f\x85\xa0 ​﻿ x",
