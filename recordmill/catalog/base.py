@@ -36,6 +36,11 @@ FRAMES = {
     "pages_seen": """
         SELECT page_id * 2 AS seq, url FROM pages
         UNION ALL SELECT page_id * 2 + 1 AS seq, upper(url) || '/' AS url FROM pages""",
+    # The same, with every claim replayed, and claims without a place in the order.
+    "pages_replayed": """
+        SELECT page_id * 2 AS seq, url FROM pages
+        UNION ALL SELECT page_id * 2 AS seq, url FROM pages
+        UNION ALL SELECT CASE WHEN page_id % 3 = 0 THEN NULL ELSE page_id * 2 + 1 END AS seq, upper(url) || '/' AS url FROM pages""",
     # Every page fetched twice; the second fetch changed for some.
     "pages_versions": """
         SELECT page_id * 2 AS seq, 1 AS version, page_id, url, html AS raw_content FROM pages

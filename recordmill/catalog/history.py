@@ -21,9 +21,10 @@ _SQL_FIRST = f"""h AS (SELECT *, {sql_fingerprint('url')} AS url_hash FROM f),
     d AS (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY url_hash ORDER BY seq) = 1)"""
 
 
-@query("dedup_by_url", on("pages_seen", f", {_SQL_FIRST} SELECT seq, url, url_hash FROM d"))
+@query("dedup_by_url", on("pages_replayed", f""", h AS (SELECT *, {sql_fingerprint('url')} AS url_hash FROM f),
+    d AS (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY url_hash ORDER BY seq NULLS FIRST) = 1) SELECT seq, url, url_hash FROM d"""))
 def _(t: Tables):
-    return D.dedup_by_url(t.frame("pages_seen")).select("seq", "url", "url_hash")
+    return D.dedup_by_url(t.frame("pages_replayed")).select("seq", "url", "url_hash")
 
 
 @query("domain_counts", on("pages_seen", f", {_SQL_FIRST} SELECT {sql_domain('url')} AS domain, count(*) AS pages FROM d GROUP BY 1"))
@@ -158,9 +159,25 @@ def _(t: Tables):
     return merged.select("canonical_entity_id", "entity_type", "canonical_name", F.unix_seconds("created_at").alias("created"))
 
 
-@query("upsert_entity", "SELECT 'STARTUP' AS entity_type, 'shared name' AS normalized_name, count(*) AS entities FROM customer WHERE c_custkey % 50 = 1 HAVING count(*) > 1")
+@query("upsert_entity", """WITH a AS (SELECT c_custkey AS k, lower(c_name) AS n, CASE c_custkey % 4 WHEN 3 THEN 'trio ' || CAST(c_custkey // 8 AS STRING) WHEN 1 THEN lower(c_name) ELSE lower(c_name) || ' group' END AS name FROM customer),
+    w AS (SELECT *, min(k) OVER (PARTITION BY name) AS first FROM a WHERE k % 4 <> 1)
+    SELECT 'refused' AS side, 'new_' || CAST(k AS STRING) AS canonical_entity_id, n AS normalized_name, 'cent_' || CAST(k AS STRING) AS held_by FROM a WHERE k % 4 = 1
+    UNION ALL SELECT 'refused', 'new_' || CAST(k AS STRING), name, 'new_' || CAST(first AS STRING) FROM w WHERE k <> first
+    UNION ALL SELECT 'master', 'new_' || CAST(k AS STRING), name, NULL FROM w WHERE k = first AND k % 4 <> 0
+    UNION ALL SELECT 'master', 'cent_' || CAST(k AS STRING), CASE WHEN k % 4 = 0 THEN name ELSE n END, NULL FROM a""")
 def _(t: Tables):
-    return U.entity_name_conflicts(customer_master(t))
+    # Renames, names that stored entities hold, new names, and new names that two arrivals claim.
+    k = F.col("seq")
+    stored = customer_master(t).withColumn("normalized_name", F.lower("canonical_name"))
+    arrivals = stored.withColumns({
+        "canonical_entity_id": F.when(k % 4 == 0, F.col("canonical_entity_id")).otherwise(F.concat(F.lit("new_"), k.cast("string"))),
+        "normalized_name": F.when(k % 4 == 3, F.concat(F.lit("trio "), F.floor(k / 8).cast("string"))).when(
+            k % 4 == 1, F.col("normalized_name")).otherwise(F.concat("normalized_name", F.lit(" group"))),
+    })
+    merged, refused = U.upsert_entity(stored, arrivals)
+    columns = ["canonical_entity_id", "normalized_name"]
+    return merged.select(F.lit("master").alias("side"), *columns, F.lit(None).cast("string").alias("held_by")).unionByName(
+        refused.select(F.lit("refused").alias("side"), *columns, "held_by"))
 
 
 @query("append_mappings", """SELECT 'map_' || CAST(o_custkey AS STRING) AS mapping_id, min(o_orderkey) AS seq FROM orders

@@ -43,19 +43,20 @@ def _(t: Tables):
     return t.spark.read.parquet(out).select("seq", "url", "content_hash", F.col("fetch_date").cast("string").alias("fetch_date"), "file_key")
 
 
-# Every page is claimed twice within the time to live, an hour apart.
+# Every page is claimed again an hour later, within the time to live, and 30 hours later, beyond it.
 FRAMES["claims"] = """
-    SELECT page_id * 2 AS seq, url, page_id AS hour FROM pages
-    UNION ALL SELECT page_id * 2 + 1, upper(url) || '/', page_id + 1 FROM pages"""
+    SELECT page_id * 3 AS seq, url, page_id AS hour FROM pages
+    UNION ALL SELECT page_id * 3 + 1, upper(url) || '/', page_id + 1 FROM pages
+    UNION ALL SELECT page_id * 3 + 2, url, page_id + 30 FROM pages"""
 
 
-@query("stream_dedup_ttl", f"SELECT DISTINCT {sql_fingerprint('url')} AS url_hash FROM pages")
+@query("stream_dedup_ttl", f"SELECT {sql_fingerprint('url')} AS url_hash, page_id * 3 + k AS seq FROM pages, (VALUES (0), (2)) v(k)")
 def _(t: Tables):
     checkpoint, out = _paths(t, "dedup")
     hours = F.timestamp_seconds(F.lit(1704067200) + F.col("hour") * 3600)
     rows = stream_of(t, "pages", "claims").withColumn("ts", hours)
-    S.stream_dedup_ttl(rows, out, checkpoint, ttl="365 days").awaitTermination()
-    return _read(t, out).select("url_hash")
+    S.stream_dedup_ttl(rows, out, checkpoint).awaitTermination()
+    return _read(t, out).select("url_hash", "seq")
 
 
 @query("stream_fresh_gate", f"""SELECT event_id, {SQL_STATUS} AS status, age AS age_hours FROM (SELECT event_id, CAST({SQL_AGE} AS DOUBLE) AS age FROM (SELECT event_id, date_trunc('second', ts) AS p FROM events))""")
@@ -77,7 +78,7 @@ def _(t: Tables):
 @query("stream_upsert", on("order_updates", """SELECT key, arg_max(status, seq) AS status, arg_max(total, seq) AS total, arg_min(priority, seq) AS priority FROM f GROUP BY key"""))
 def _(t: Tables):
     checkpoint, out = _paths(t, "upsert")
-    S.stream_upsert(stream_of(t, "orders", "order_updates"), out, checkpoint, "key", "seq").awaitTermination()
+    S.stream_upsert(stream_of(t, "orders", "order_updates"), out, checkpoint, "key", "seq", ["status", "total"]).awaitTermination()
     return S.upserted(t.spark, out, "key", "seq", ["status", "total"]).select("key", "status", "total", "priority")
 
 

@@ -1,36 +1,41 @@
 """Duplicate URLs, changed content, and anti joins against what is already stored.
 
-"First" and "latest" rows are found in two steps: the bounds of the order per key, a hash aggregate of
-numbers that combines on the map side, and a join that keeps the rows at the bounds. Whole rows are
-never sorted for an aggregate; a key that holds a large part of all rows is skew of one join side only,
-which AQE splits.
+"First" and "latest" rows are the first of a window per key. Spark cuts such a window to one row per key
+and task before it shuffles, so a key that holds a large part of all rows sends one row from each task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordmill.functions.text import content_hash, url_fingerprint
 
 
-def at_bounds(df: DataFrame, keys: list[str], order: str, *bounds: str) -> DataFrame:
-    """Rows whose ``order``, a number that is unique per key, is the ``min`` or ``max`` of their key.
-    A null key is a key of its own."""
-    chosen = {"min": F.min, "max": F.max}
-    spans = df.groupBy(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]).agg(
-        *[chosen[b](order).alias(f"_{b}") for b in bounds]
-    )
-    same = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
-    hit = F.lit(False)
-    for b in bounds:
-        hit = hit | (F.col(order) == F.col(f"_{b}"))
-    return df.join(spans, same).filter(hit).select(*df.columns)
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns, which settles the order of rows that are equal in everything else."""
+    def plain(kind: T.DataType) -> bool:
+        if isinstance(kind, T.ArrayType):
+            return plain(kind.elementType)
+        if isinstance(kind, T.StructType):
+            return all(plain(f.dataType) for f in kind.fields)
+        return not isinstance(kind, (T.MapType, T.VariantType))
+
+    return F.xxhash64(*[
+        F.col(f"`{f.name}`") if plain(f.dataType) else F.to_json(F.struct(f"`{f.name}`")) for f in df.schema.fields
+    ])
 
 
 def pick_by(df: DataFrame, keys: list[str], order: str, newest: bool) -> DataFrame:
-    """One whole row per key: the one with the lowest or the highest ``order``."""
-    return at_bounds(df, keys, order, "max" if newest else "min")
+    """Exactly one whole row per key: the one with the lowest or the highest ``order``. A null order is
+    lower than all others; of rows with equal order the same one is taken in every run. A null key is
+    a key of its own."""
+    columns = df.columns
+    place = F.col(order).desc_nulls_last() if newest else F.col(order).asc_nulls_first()
+    window = Window.partitionBy(*keys).orderBy(place, F.col("_tie"))
+    ranked = df.withColumn("_tie", row_hash(df)).withColumn("_rank", F.row_number().over(window))
+    return ranked.filter(F.col("_rank") == 1).select(*columns)
 
 
 def dedup_by_url(df: DataFrame, store: DataFrame | None = None) -> DataFrame:
@@ -42,13 +47,14 @@ def dedup_by_url(df: DataFrame, store: DataFrame | None = None) -> DataFrame:
 
 
 def dedup_report(df: DataFrame) -> DataFrame:
-    """Every row with its fingerprint and whether an earlier row claimed it. The claims are one row
-    per fingerprint, so in the join back only the row side can be skewed, and AQE splits it."""
+    """Every row with its fingerprint and whether an earlier row claimed it; rows without ``seq`` come
+    before all others, and rows of one ``seq`` claim together. The claims are one row per fingerprint,
+    so in the join back only the row side can be skewed, and AQE splits it."""
     hashed = df.withColumn("url_hash", url_fingerprint(F.col("url")))
-    claims = hashed.groupBy("url_hash").agg(F.min("seq").alias("first_seq"))
-    return hashed.join(claims, "url_hash").withColumn(
-        "is_duplicate", F.col("seq") > F.col("first_seq")
-    )
+    claims = hashed.groupBy("url_hash").agg(
+        F.min("seq").alias("first_seq"), F.max(F.col("seq").isNull()).alias("_unplaced"))
+    later = F.when(F.col("_unplaced"), F.col("seq").isNotNull()).otherwise(F.col("seq") > F.col("first_seq"))
+    return hashed.join(claims, "url_hash").withColumn("is_duplicate", later).drop("_unplaced")
 
 
 def ledger(df: DataFrame) -> DataFrame:
@@ -104,14 +110,19 @@ def change_cases(fetched: DataFrame, known: DataFrame, states: DataFrame) -> Dat
 
 def checkpoint_fold(events: DataFrame) -> DataFrame:
     """State events folded to one checkpoint per URL: last state and error, number of updates."""
-    updates = events.groupBy(F.col("source_url").alias("_url")).agg(
-        F.count(F.lit(1)).alias("attempt_count"), F.max("seq").alias("updated_seq")
+    updates = events.groupBy(F.col("source_url").alias("_url")).agg(F.count(F.lit(1)).alias("attempt_count"))
+    last = pick_by(events.select("source_url", "seq", "state", "error"), ["source_url"], "seq", newest=True)
+    return last.join(updates, F.col("source_url").eqNullSafe(F.col("_url"))).select(
+        "source_url", "state", "attempt_count", F.col("error").alias("last_error"), F.col("seq").alias("updated_seq")
     )
-    last = events.select("source_url", "seq", "state", "error").join(
-        updates, F.col("source_url").eqNullSafe(F.col("_url")) & (F.col("seq") == F.col("updated_seq"))
-    )
-    return last.select(
-        "source_url", "state", "attempt_count", F.col("error").alias("last_error"), "updated_seq"
+
+
+def fold_checkpoints(folds: DataFrame) -> DataFrame:
+    """Checkpoints of parts of the events, as :func:`checkpoint_fold` gives them, to those of all."""
+    total = folds.groupBy(F.col("source_url").alias("_url")).agg(F.sum("attempt_count").alias("_total"))
+    last = pick_by(folds, ["source_url"], "updated_seq", newest=True)
+    return last.join(total, F.col("source_url").eqNullSafe(F.col("_url"))).select(
+        "source_url", "state", F.col("_total").alias("attempt_count"), "last_error", "updated_seq"
     )
 
 

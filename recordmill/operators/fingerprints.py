@@ -11,11 +11,14 @@ from __future__ import annotations
 
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordmill.fixed_values import WORD
 from recordmill.functions.text import hamming64
+from recordmill.operators.components import components, spanning_links
 from recordmill.session import cut_lineage
 
 _PAIR_MASK = 0x0000000100000001
@@ -127,25 +130,50 @@ def near_fingerprints(
     return pairs.select("a", "b", hamming64(F.col("a"), F.col("b")).alias("distance"))
 
 
-def near_duplicates(prints: DataFrame, distance: int = 3) -> DataFrame:
-    """``(fingerprint_a, fingerprint_b, distance, docs_a, docs_b)``: close pairs of fingerprints,
-    with the number of documents behind each, and one row at distance 0 for every fingerprint that
-    several documents share. Its size follows the distinct fingerprints, not the copies."""
-    groups = prints.groupBy("simhash").agg(F.count(F.lit(1)).alias("docs"))
-    close = near_fingerprints(groups, distance)
-    paired = (
-        close.join(groups.withColumnsRenamed({"simhash": "a", "docs": "docs_a"}), "a")
-        .join(groups.withColumnsRenamed({"simhash": "b", "docs": "docs_b"}), "b")
-        .select("a", "b", "distance", "docs_a", "docs_b")
-    )
-    shared = groups.filter(F.col("docs") > 1).select(
-        F.col("simhash").alias("a"), F.col("simhash").alias("b"),
-        F.lit(0).cast("bigint").alias("distance"),
-        F.col("docs").alias("docs_a"), F.col("docs").alias("docs_b"),
-    )
-    return paired.unionByName(shared).withColumnsRenamed(
-        {"a": "fingerprint_a", "b": "fingerprint_b"}
-    )
+#: Fingerprints of one key that are compared in one task.
+TILE = 512
+
+
+def _close(rows: pd.DataFrame, distance: int) -> np.ndarray:
+    prints = rows["id"].to_numpy()
+    return np.bitwise_count(prints[:, None] ^ prints[None, :]) <= distance
+
+
+def near_links(prints: DataFrame, distance: int = 3, blocks: int = 6, tile: int = TILE) -> DataFrame:
+    """Links (a, b) between fingerprints (column simhash) that join all that chains of fingerprints at most
+    ``distance`` bits apart join. Fingerprints meet under keys of ``blocks - distance`` whole blocks of
+    bits; close ones share a key. Where a key is crowded and its members are not all alike, the bits that
+    the key leaves open are cut finer: of ``2 * distance`` pieces at least ``distance`` agree."""
+    masks = _block_masks(distance, blocks - distance)
+    distinct = cut_lineage(prints.select("simhash").filter("simhash IS NOT NULL").distinct(), "fingerprints")
+    simhash = F.col("simhash")
+    keyed = distinct.select(simhash.alias("id"), F.explode(F.array(*[
+        F.struct(F.lit(i).alias("mask"), _masked(simhash, m).alias("bits")) for i, m in enumerate(masks)])).alias("k"))
+    keyed = keyed.select(F.xxhash64("k.mask", "k.bits").alias("key"), "id", "k.mask")
+    finer = F.lit(None).cast("array<bigint>")
+    for i, m in enumerate(masks):
+        subs = [F.xxhash64(F.lit(j), _masked(F.col("id"), sub)) for j, sub in enumerate(_finer_masks(m, distance))]
+        finer = F.when(F.col("mask") == i, F.array(*subs)).otherwise(finer)
+    return spanning_links(keyed, lambda rows: _close(rows, distance), tile, refine=finer)
+
+
+def _finer_masks(mask: int, distance: int) -> list[int]:
+    """Choices of half of ``2 * distance`` pieces of the bits outside ``mask``."""
+    free = [b for b in range(64) if not mask >> b & 1]
+    count = 2 * distance
+    pieces = [sum(1 << b for b in free[i * len(free) // count:(i + 1) * len(free) // count]) for i in range(count)]
+    chosen = [sum(c) for c in combinations(pieces, distance)]
+    return [m - (1 << 64) if m >= 1 << 63 else m for m in chosen]
+
+
+def near_duplicates(prints: DataFrame, distance: int = 3, tile: int = TILE) -> DataFrame:
+    """``(fingerprint, cluster, docs)``: every distinct fingerprint with the smallest fingerprint that
+    chains of close ones reach, and the number of documents behind it. Copies are counted, never paired,
+    and a cluster is given by membership, so the result has one row per distinct fingerprint."""
+    groups = cut_lineage(prints.groupBy("simhash").agg(F.count(F.lit(1)).alias("docs")), "fingerprint-docs")
+    found = components(near_links(groups, distance, tile=tile))
+    return groups.join(found, F.col("simhash") == F.col("id"), "left").select(
+        F.col("simhash").alias("fingerprint"), F.coalesce("component", "simhash").alias("cluster"), "docs")
 
 
 def near_dup_window(

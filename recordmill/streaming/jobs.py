@@ -6,19 +6,21 @@ batch id and replaces what an earlier attempt may have left there. State is fold
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from recordmill.functions.text import url_fingerprint
 from recordmill.functions.times import freshness
 from recordmill.operators.audits import crawl_counters
-from recordmill.operators.dedup import at_bounds, checkpoint_fold, pick_by
+from recordmill.operators.dedup import checkpoint_fold, fold_checkpoints, pick_by
 from recordmill.operators.sinks import landed
-from recordmill.operators.upsert import merge_by_key
+from recordmill.operators.upsert import fold_by_key
 from recordmill.operators.validate import present_types, split_valid, validate_by_type
+from recordmill.streaming.levels import Log
 
 
 def _batch_folder(path: str, batch_id: int) -> str:
@@ -53,18 +55,57 @@ def stream_land(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery
     )
 
 
-def dedup_ttl(stream: DataFrame, ts: str = "ts", ttl: str = "24 hours") -> DataFrame:
-    """First arrival of each URL; later ones within the time to live are dropped. The state holds
-    one row per URL seen in that time and expires by watermark."""
-    hashed = stream.withColumn("url_hash", url_fingerprint(F.col("url")))
-    return hashed.withWatermark(ts, ttl).dropDuplicatesWithinWatermark(["url_hash"])
+class _Claims(StatefulProcessor):
+    """Per URL the end of the claim that holds, and a timer that forgets it."""
+
+    def __init__(self, ttl_ms: int) -> None:
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.until = handle.getValueState("until", "ms long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        arrived = pd.concat(rows, ignore_index=True).sort_values(["seq", "ts", "url"], na_position="first", kind="stable")
+        until = self.until.get()[0] if self.until.exists() else None
+        before, kept = until, []
+        for i, ms in zip(arrived.index, arrived["ts"].astype("datetime64[ms]").astype("int64"), strict=True):
+            if until is None or ms >= until:
+                kept.append(i)
+                until = ms + self.ttl_ms
+        if kept:
+            if before is not None:
+                self.handle.deleteTimer(before)
+            self.until.update((until,))
+            self.handle.registerTimer(until)
+            yield arrived.loc[kept, ["url_hash", "seq", "ts", "url"]]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.until.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def dedup_ttl(stream: DataFrame, ts: str = "ts", ttl_hours: float = 24, lateness: str = "24 hours") -> DataFrame:
+    """Claims of URLs (url_hash, seq, ts, url): an arrival claims its URL for the time to live, counted in
+    event time, and later arrivals within it are dropped; one beyond it claims anew. Inside a batch
+    the lowest ``seq`` comes first (a null before all), so a replay decides as before. The state holds a
+    number per claimed URL and is dropped by an event-time timer once the watermark passes its end."""
+    claims = stream.select(
+        url_fingerprint(F.col("url")).alias("url_hash"), F.col("seq").cast("long").alias("seq"),
+        F.col(ts).cast("timestamp").alias("ts"), "url",
+    ).withWatermark("ts", lateness)
+    return claims.groupBy("url_hash").transformWithStateInPandas(
+        _Claims(int(ttl_hours * 3_600_000)), "url_hash string, seq long, ts timestamp, url string", "Append", "EventTime")
 
 
 def stream_dedup_ttl(
-    stream: DataFrame, path: str, checkpoint: str, ts: str = "ts", ttl: str = "24 hours"
+    stream: DataFrame, path: str, checkpoint: str, ts: str = "ts", ttl_hours: float = 24, lateness: str = "24 hours"
 ) -> StreamingQuery:
     return _start(
-        dedup_ttl(stream, ts, ttl), lambda df, n: _replace(df, path, n), checkpoint
+        dedup_ttl(stream, ts, ttl_hours, lateness), lambda df, n: _replace(df, path, n), checkpoint
     )
 
 
@@ -81,37 +122,38 @@ def stream_fresh_gate(
     return _start(stream, each, checkpoint)
 
 
+def _states(spark: SparkSession, path: str) -> Log:
+    return Log(spark, path, fold_checkpoints)
+
+
 def stream_checkpoint_state(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """State events folded per URL and batch. What a batch contributes is a small aggregate, so
-    nothing has to be kept in the stream's own state, however many URLs there are."""
-    return _start(
-        stream, lambda df, n: _replace(checkpoint_fold(df), path, n), checkpoint
-    )
+    """State events folded per URL and batch into a levelled log. What a batch contributes is a small
+    aggregate, so nothing has to be kept in the stream's own state, however many URLs there are."""
+    return _start(stream, lambda df, n: _states(df.sparkSession, path).append(checkpoint_fold(df), n), checkpoint)
 
 
 def checkpoint_states(spark: SparkSession, path: str) -> DataFrame:
     """The checkpoints behind :func:`stream_checkpoint_state`: last state and error, all updates."""
-    log = spark.read.option("basePath", path).parquet(path).drop("batch_id")
-    total = log.groupBy(F.col("source_url").alias("_url")).agg(F.sum("attempt_count").alias("total"))
-    last = pick_by(log, ["source_url"], "updated_seq", newest=True)
-    return last.join(total, F.col("source_url").eqNullSafe(F.col("_url"))).select(
-        "source_url", "state", F.col("total").alias("attempt_count"), "last_error", "updated_seq"
-    )
+    return _states(spark, path).read()
 
 
 def latest_updates(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """Current rows of an update-mode sink: per key those of the last batch that wrote it."""
     log = spark.read.option("basePath", path).parquet(path)
-    return at_bounds(log, keys, "batch_id", "max").drop("batch_id")
+    return pick_by(log, keys, "batch_id", newest=True).drop("batch_id")
+
+
+def _merged(spark: SparkSession, path: str, key: str, seq: str, updated: list[str]) -> Log:
+    return Log(spark, path, lambda df: fold_by_key(df, key, seq, updated))
 
 
 def stream_upsert(
-    stream: DataFrame, path: str, checkpoint: str, key: str, seq: str
+    stream: DataFrame, path: str, checkpoint: str, key: str, seq: str, updated: list[str]
 ) -> StreamingQuery:
-    """Arrivals reduced to the first and the last row per key and batch, which is all that a merge
-    ever looks at."""
+    """Arrivals folded per key and batch into a levelled log: the last values of ``updated`` columns, the
+    first of all others."""
     def each(df: DataFrame, batch_id: int) -> None:
-        _replace(at_bounds(df, [key], seq, "min", "max"), path, batch_id)
+        _merged(df.sparkSession, path, key, seq, updated).append(df, batch_id)
 
     return _start(stream, each, checkpoint)
 
@@ -120,15 +162,7 @@ def upserted(
     spark: SparkSession, path: str, key: str, seq: str, updated: list[str]
 ) -> DataFrame:
     """The merged table behind :func:`stream_upsert`."""
-    log = spark.read.option("basePath", path).parquet(path).drop("batch_id")
-    return merge_by_key(log, key, seq, updated)
-
-
-def compact(spark: SparkSession, path: str, target: str, key: str, seq: str) -> None:
-    """Rewrites the deltas of a stream as one, between runs."""
-    log = spark.read.option("basePath", path).parquet(path).drop("batch_id")
-    both = at_bounds(log, [key], seq, "min", "max")
-    both.write.mode("errorifexists").parquet(_batch_folder(target, 0))
+    return _merged(spark, path, key, seq, updated).read().drop("first_seq")
 
 
 def stream_dlq_split(

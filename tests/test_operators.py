@@ -245,3 +245,70 @@ def test_replayed_mapping_ids_are_equal(spark):
     _, out = resolve_rows(spark, [("OpenAI", "STARTUP", "", None), ("New Co", "STARTUP", "", None)])
     logs = [resolve.mapping_log(out, F.lit("https://x.org"), F.lit("t")).select("mapping_id").collect() for _ in range(2)]
     assert sorted(logs[0]) == sorted(logs[1])
+
+
+ROWS = [("a", None, "n1"), ("a", 2, "x"), ("a", 2, "x"), ("a", 2, "y"), ("b", 5, "only"), ("b", 5, "only"), (None, 1, "null key"), ("c", None, "n")]
+
+
+def ordered(spark):
+    return spark.createDataFrame(ROWS, "url string, seq long, raw_content string")
+
+
+@pytest.mark.parametrize("newest", [False, True])
+def test_exactly_one_row_per_key(spark, newest):
+    """Null and equal places, repeated rows and a null key: one row each, the same in every run."""
+    got = {r["url"]: (r["seq"], r["raw_content"]) for r in dedup.pick_by(ordered(spark), ["url"], "seq", newest).collect()}
+    assert set(got) == {"a", "b", "c", None} and got["b"] == (5, "only") and got["c"] == (None, "n")
+    assert got["a"] in ({(2, "x"), (2, "y")} if newest else {(None, "n1")})
+    again = dedup.pick_by(ordered(spark).repartition(7), ["url"], "seq", newest).filter("url = 'a'").first()
+    assert (again["seq"], again["raw_content"]) == got["a"]
+
+
+def test_row_pickers_lose_and_double_nothing(spark):
+    rows = ordered(spark)
+    assert dedup.dedup_by_url(rows).count() == 4
+    assert dedup.latest_content_hash(dedup.ledger(rows)).count() == 4
+    report = dedup.dedup_report(rows)
+    assert report.count() == len(ROWS) and report.filter("is_duplicate").count() == 3
+    events = spark.createDataFrame(
+        [("u", None, "NEW", None), ("u", 3, "OK", None), ("u", 3, "OK", None), ("v", None, "NEW", "e")],
+        "source_url string, seq long, state string, error string")
+    assert sorted(map(tuple, dedup.checkpoint_fold(events).collect())) == [("u", "OK", 3, None, 3), ("v", "NEW", 1, "e", None)]
+    fresh = spark.createDataFrame([(1, "m"), (1, "m"), (None, "k")], "seq long, mapping_id string")
+    assert upsert.append_new(fresh.limit(0), fresh, "mapping_id").count() == 2
+
+
+def test_merges_keep_unplaced_and_repeated_arrivals(spark):
+    rows = spark.createDataFrame(
+        [("a", None, 1, 10), ("a", 4, 2, 20), ("a", 4, 2, 20), ("b", None, 3, 30), ("b", None, 3, 30)], "k string, seq long, new int, old int")
+    got = sorted(map(tuple, upsert.merge_by_key(rows, "k", "seq", ["new"]).collect()))
+    assert got == [("a", 4, 2, 10), ("b", None, 3, 30)]
+    folds = upsert.fold_by_key(rows.filter("seq IS NULL"), "k", "seq", ["new"]).unionByName(
+        upsert.fold_by_key(rows.filter("seq = 4"), "k", "seq", ["new"]))
+    assert sorted(map(tuple, upsert.fold_by_key(folds, "k", "seq", ["new"]).drop("first_seq").collect())) == got
+
+
+def test_stored_rows_precede_unplaced_arrivals(spark):
+    kind = "source_url string, seq long, schema_version string, source_name string, company string, published_date string, is_remote boolean, role_family string, data_json string, collected_at string"
+    stored = spark.createDataFrame([("u", 9, "1", "s", "Old", "d", True, "R", "{}", "t0")], kind)
+    arrivals = spark.createDataFrame([("u", None, "1", "s2", "New", "d2", False, "Q", "{}", "t1"), ("w", None, "1", "s2", "W", "d2", False, "Q", "{}", "t1")], kind)
+    got = {r["source_url"]: (r["company"], r["is_remote"]) for r in upsert.upsert_records("jobs", stored, arrivals).collect()}
+    assert got == {"u": ("New", True), "w": ("W", False)}
+
+
+def test_upsert_entity_refuses_taken_names(spark):
+    kind = "canonical_entity_id string, entity_type string, normalized_name string, seq long, created_at string"
+    stored = spark.createDataFrame([("e1", "STARTUP", "one", 1, "t"), ("e2", "STARTUP", "two", 2, "t")], kind)
+    arrivals = spark.createDataFrame([
+        ("e1", "COMPANY", "one ltd", 5, "x"),   # renamed; keeps its type
+        ("e3", "STARTUP", "two", 6, "x"),       # held by e2
+        ("e4", "COMPANY", "two", 7, "x"),       # same name, other type
+        ("e5", "STARTUP", "new", 9, "x"), ("e6", "STARTUP", "new", 8, "x"),  # e6 comes first
+        ("e7", "STARTUP", "one", 10, "x"),      # given up by e1, free in the next merge only
+        (None, "STARTUP", "none", 11, "x"), ("e8", "STARTUP", None, 12, "x"),
+    ], kind)
+    merged, refused = upsert.upsert_entity(stored, arrivals)
+    assert {(r[0], r[1], r[2]) for r in merged.collect()} == {
+        ("e1", "STARTUP", "one ltd"), ("e2", "STARTUP", "two"), ("e4", "COMPANY", "two"), ("e6", "STARTUP", "new")}
+    assert {(r["canonical_entity_id"], r["held_by"]) for r in refused.collect()} == {
+        ("e3", "e2"), ("e5", "e6"), ("e7", "e1"), (None, None), ("e8", None)}

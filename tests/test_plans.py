@@ -6,6 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from recordmill.operators.dedup import checkpoint_fold
+from recordmill.streaming.levels import Log
 from recordmill.operators.resolve import seed_master
 from recordmill.plans.batch import run_batch
 from recordmill.schemas import RAW_PAYLOAD
@@ -91,20 +92,37 @@ def test_upsert_stream_survives_replay(spark, tmp_path):
 
     def run(cp):
         stream = spark.readStream.schema(df.schema).parquet(source)
-        S.stream_upsert(stream, out, cp, "key", "seq").awaitTermination()
+        S.stream_upsert(stream, out, cp, "key", "seq", ["a"]).awaitTermination()
 
     run(checkpoint)
     df.filter("seq >= 20").coalesce(1).write.mode("append").parquet(source)
     run(checkpoint)
     first = S.upserted(spark, out, "key", "seq", ["a"]).orderBy("key").collect()
     assert [(r["key"], r["seq"], r["a"], r["b"]) for r in first] == [(f"k{i}", 35 + i, f"v{35 + i}", f"w{i}") for i in range(5)]
-    S.compact(spark, out, str(tmp_path / "small"), "key", "seq")
-    assert S.upserted(spark, str(tmp_path / "small"), "key", "seq", ["a"]).orderBy("key").collect() == first
-    # All input arrives again as one batch under an id already used: the folder is replaced.
+    # All input arrives again as one batch under an id already committed: nothing changes.
     run(str(tmp_path / "cp2"))
     assert S.upserted(spark, out, "key", "seq", ["a"]).orderBy("key").collect() == first
 
 
+def test_levels_keep_files_per_key_bounded(spark, tmp_path):
+    path = str(tmp_path / "log")
+    log = Log(spark, path, lambda d: d.groupBy("k").agg(F.sum("n").alias("n")), fanout=3)
+    kind = "k int, n long"
+    for batch in range(40):
+        log.append(spark.createDataFrame([(1, 1), (batch % 4, 10)], kind).coalesce(1), batch)
+        if batch % 7 == 3:  # a replayed batch changes nothing, whatever it brings
+            log.append(spark.createDataFrame([(1, 1000)], kind), batch)
+    runs = log.manifest()["runs"]
+    assert len(runs) <= 2 * 4 and sum(r["last"] - r["first"] + 1 for r in runs) == 40
+    assert dict(map(tuple, log.read().collect())) == {0: 100, 1: 140, 2: 100, 3: 100}
+    assert len(os.listdir(f"{path}/runs")) <= 2 * 4 + 3 * 4 and len(log._manifests()) == 2
+    # An attempt that died before its commit leaves a run that the next one replaces.
+    spark.createDataFrame([(1, 5)], kind).write.parquet(f"{path}/runs/level-0-40-40")
+    before = dict(map(tuple, log.read().collect()))
+    log.append(spark.createDataFrame([(1, 7)], kind), 40)
+    assert dict(map(tuple, log.read().collect())) == before | {1: 147}
+
+
 def test_checkpoint_stream_over_batches(spark, tmp_path):
     source, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
     events = [(f"u{i % 3}", i, "STORED" if i % 4 else "FAILED", None if i % 4 else f"e{i}") for i in range(30)]
@@ -121,9 +139,19 @@ def test_ttl_expires(spark, tmp_path):
     source, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
     schema = "seq bigint, url string, ts timestamp"
     hour = lambda h: F.timestamp_seconds(F.lit(1_700_000_000 + h * 3600))
-    for n, (h, url) in enumerate([(0, "https://a.org"), (5, "https://A.org/"), (100, "https://b.org"), (101, "https://a.org")]):
+    arrivals = [(0, "https://a.org"), (5, "https://A.org/"), (100, "https://b.org"), (101, "https://a.org"), (102, "https://a.org")]
+    for n, (h, url) in enumerate(arrivals):
         spark.range(1).select(F.lit(n).cast("bigint").alias("seq"), F.lit(url).alias("url"), hour(h).alias("ts")).write.mode("append").parquet(source)
         stream = spark.readStream.schema(schema).parquet(source)
         S.stream_dedup_ttl(stream, out, cp).awaitTermination()
     got = spark.read.option("basePath", out).parquet(out)
     assert sorted(r["seq"] for r in got.collect()) == [0, 2, 3]
+
+
+def test_lowest_place_wins_inside_a_batch(spark, tmp_path):
+    source, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
+    rows = spark.range(9).select((8 - F.col("id")).alias("seq"), F.lit("https://a.org").alias("url"), F.timestamp_seconds(1_700_000_000 + (8 - F.col("id")) * 36000).alias("ts"))
+    rows.repartition(3).write.parquet(source)
+    S.stream_dedup_ttl(spark.readStream.schema(rows.schema).parquet(source), out, cp).awaitTermination()
+    got = spark.read.option("basePath", out).parquet(out)
+    assert sorted(r["seq"] for r in got.collect()) == [0, 3, 6]
