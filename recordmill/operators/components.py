@@ -42,40 +42,52 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _roots(near: np.ndarray, part: np.ndarray) -> np.ndarray:
-    """For every part the smallest part that chains of close rows and of rows of one part reach."""
-    root = np.arange(part.max() + 1)
-    while True:
-        own = root[part]
-        low = np.where(near, own[None, :], len(root)).min(axis=1)
-        new = root.copy()
-        np.minimum.at(new, part, low)
-        new = np.minimum(new, new[new])
-        if (new == root).all():
-            return root
-        root = new
+def _forest(near: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Close pairs of rows, one for each part that joins another, that join what all close pairs join.
+    Parts are reached from one part of each connected piece outwards."""
+    reached_part = np.zeros(part.max() + 1, bool)
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    while not reached_part.all():
+        reached_part[np.flatnonzero(~reached_part)[0]] = True
+        while True:
+            inside = reached_part[part]
+            outer = np.flatnonzero(~inside)
+            cells = near[np.ix_(outer, np.flatnonzero(inside))]
+            hit = np.flatnonzero(cells.any(axis=1))
+            if not len(hit):
+                break
+            new, first = np.unique(part[outer[hit]], return_index=True)
+            left.append(outer[hit[first]])
+            right.append(np.flatnonzero(inside)[cells[hit[first]].argmax(axis=1)])
+            reached_part[new] = True
+    return np.concatenate(left), np.concatenate(right)
 
 
 def _joined(frame: pd.DataFrame, near: Near, block: int) -> np.ndarray:
-    """Pairs of labels that close rows of a group join, one for each label that joins another. Whole
-    groups are compared together as far as they fill a block."""
-    out = [np.zeros((0, 2), np.int64)]
+    """Close pairs of ids and their labels (a, b, x, y), one for each label of a group that joins another.
+    Whole groups are compared together as far as they fill a block."""
+    out = [np.zeros((0, 4), np.int64)]
     group = frame["group"].to_numpy()
-    starts = np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(frame)) if len(frame) else [0]
+    starts = np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(frame))
     at = 0
     while at + 1 < len(starts):
         end = max(at + 1, int(np.searchsorted(starts, starts[at] + block, "right")) - 1)
         rows = frame.iloc[starts[at]:starts[end]]
         at = end
         g, labels = np.unique(rows["group"].to_numpy(), return_inverse=True)[1], rows["label"].to_numpy()
-        if len(rows) < 2 or (len(np.unique(labels)) == 1):
+        if len(rows) < 2 or len(np.unique(labels)) == 1:
+            continue
+        close = near(rows) & (g[:, None] == g[None, :])
+        np.fill_diagonal(close, True)
+        alone = close.sum(axis=1) < 2
+        part = np.unique(np.stack([g, labels], axis=1), axis=0, return_inverse=True)[1].ravel()
+        keep = np.flatnonzero(~alone)
+        if len(keep) < 2:
             continue
-        both = np.stack([g, labels], axis=1)
-        parts, part = np.unique(both, axis=0, return_inverse=True)
-        part = part.ravel()
-        root = _roots(near(rows) & (g[:, None] == g[None, :]), part)
-        moved = np.flatnonzero(root != np.arange(len(root)))
-        out.append(np.stack([parts[moved, 1], parts[root[moved], 1]], axis=1))
+        part = np.unique(part[keep], return_inverse=True)[1]
+        i, j = (keep[x] for x in _forest(close[np.ix_(keep, keep)], part))
+        ids = rows["id"].to_numpy()
+        out.append(np.stack([ids[i], ids[j], labels[i], labels[j]], axis=1))
     return np.concatenate(out)
 
 
@@ -88,16 +100,17 @@ def _by_group(frames: Iterator[pd.DataFrame], near: Near, block: int) -> Iterato
         cut = int(np.flatnonzero(ids != ids[-1])[-1]) + 1 if len(ids) and (ids != ids[-1]).any() else 0
         rest = frame.iloc[cut:]
         if cut:
-            yield pd.DataFrame(_joined(frame.iloc[:cut], near, block), columns=["a", "b"])
+            yield pd.DataFrame(_joined(frame.iloc[:cut], near, block), columns=["a", "b", "x", "y"])
     if rest is not None and len(rest):
-        yield pd.DataFrame(_joined(rest, near, block), columns=["a", "b"])
+        yield pd.DataFrame(_joined(rest, near, block), columns=["a", "b", "x", "y"])
 
 
 def _compared(rows: DataFrame, near: Near, block: int) -> DataFrame:
-    """Distinct pairs of labels that rows (group, id, label, and what ``near`` reads) join."""
+    """Close pairs (a, b) with their labels (x, y) that join the labels of rows (group, id, label, and what
+    ``near`` reads)."""
     made = rows.repartition("group").sortWithinPartitions("group")
     return cut_lineage(
-        made.mapInPandas(lambda frames: _by_group(frames, near, block), "a long, b long").distinct(), "links")
+        made.mapInPandas(lambda frames: _by_group(frames, near, block), "a long, b long, x long, y long").distinct(), "links")
 
 
 def _tiles(n: Column, tile: int, weight: Column | None, tile_weight: int | None) -> Column:
@@ -114,15 +127,16 @@ def _tile(tiles: Column) -> Column:
 
 
 def spanning_links(
-    members: DataFrame, near: Near, tile: int, tile_weight: int | None = None, refine: Column | None = None,
+    members: DataFrame, near: Near, tile: int, tile_weight: int | None = None,
+    refine: Callable[[DataFrame], DataFrame] | None = None,
     block: int | None = None,
 ) -> DataFrame:
     """Links (a, b) between ids that join, inside every group, what chains of close members join.
 
     ``members`` has key, id (both long), with ``tile_weight`` also weight, and the columns that ``near``
     and ``refine`` read; it is read several times, so it should be a written table or cheap. ``refine``
-    is an array of numbers of which close members of one key share one at least: groups that still have
-    several parts are then compared by it. Without it, or where that leaves crowded groups too, members
+    adds a column finer, an array of numbers of which close members of one key share one at least:
+    groups that still have several parts are then compared by it. Without it, or where that leaves crowded groups too, members
     outside the largest part meet all others tile by tile."""
     block = block or tile
     payload = [c for c in members.columns if c not in ("key", "id")]
@@ -138,18 +152,18 @@ def spanning_links(
     links = _compared(dealt, near, block)
     crowded = sizes.filter("tiles > 1").select("key")
     if crowded.isEmpty():
-        return links
+        return links.select("a", "b")
     crowd = cut_lineage(members.join(join_side(crowded, "crowded"), "key", "left_semi"), "crowd")
 
-    def parts() -> DataFrame:
-        """Members of crowded groups that still have several parts, with their part's label."""
-        found = components(links).select("id", "component")
-        rows = cut_lineage(crowd.join(found, "id", "left").select(
-            "key", "id", F.coalesce("component", "id").alias("label"), *payload), "parts")
-        split = rows.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y")
-        return cut_lineage(rows.join(join_side(split.select("key"), "split"), "key", "left_semi"), "split-parts")
+    def split(rows: DataFrame, joined: DataFrame) -> DataFrame:
+        """Members of crowded groups that still have several parts after labels were joined."""
+        found = components(joined.select(F.col("x").alias("a"), F.col("y").alias("b"))).withColumnRenamed("id", "was")
+        rows = cut_lineage(rows.join(found, F.col("label") == F.col("was"), "left").select(
+            "key", "id", F.coalesce("component", "label").alias("label"), *payload), "parts")
+        several = rows.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y")
+        return cut_lineage(rows.join(join_side(several.select("key"), "split"), "key", "left_semi"), "split-parts")
 
-    rows, before = parts(), None
+    rows, before = split(crowd.withColumn("label", F.col("id")), links), None
     while True:
         first = rows.groupBy("key", "label").agg(F.min("id").alias("id"))
         heads = cut_lineage(rows.join(first, ["key", "label", "id"], "left_semi"), "heads")
@@ -158,16 +172,18 @@ def spanning_links(
             break
         before = n
         spread = sized(heads, "key")
-        links = links.unionByName(_compared(heads.join(spread, "key").select(
-            F.xxhash64("key", _tile(F.col("tiles"))).alias("group"), "id", "label", *payload), near, block))
-        rows = parts()
+        joined = _compared(heads.join(spread, "key").select(
+            F.xxhash64("key", _tile(F.col("tiles"))).alias("group"), "id", "label", *payload), near, block)
+        if joined.isEmpty():
+            break
+        links, rows = links.unionByName(joined), split(rows, joined)
+    links = links.select("a", "b")
     if not n:
         return links
     if refine is not None:
-        rows = cut_lineage(rows.select(
-            "id", "label", *payload, F.explode(refine).alias("finer"), F.col("key").alias("coarse")).select(
-            F.xxhash64("coarse", "finer").alias("key"), "id", "label", *payload), "refined")
-    return links.unionByName(_outside(rows, near, tile, tile_weight, block, payload, sized))
+        finer = refine(rows).select("key", "id", "label", *payload, F.explode("finer").alias("finer"))
+        rows = cut_lineage(finer.withColumn("key", F.xxhash64("key", "finer")).drop("finer"), "refined")
+    return links.unionByName(_outside(rows, near, tile, tile_weight, block, payload, sized).select("a", "b"))
 
 
 def _outside(rows: DataFrame, near: Near, tile: int, tile_weight: int | None, block: int, payload: list[str], sized) -> DataFrame:

@@ -154,7 +154,7 @@ def near_links(prints: DataFrame, distance: int = 3, blocks: int = 6, tile: int
     for i, m in enumerate(masks):
         subs = [F.xxhash64(F.lit(j), _masked(F.col("id"), sub)) for j, sub in enumerate(_finer_masks(m, distance))]
         finer = F.when(F.col("mask") == i, F.array(*subs)).otherwise(finer)
-    return spanning_links(keyed, lambda rows: _close(rows, distance), tile, refine=finer)
+    return spanning_links(keyed, lambda rows: _close(rows, distance), tile, refine=lambda rows: rows.withColumn("finer", finer))
 
 
 def _finer_masks(mask: int, distance: int) -> list[int]:
