@@ -119,12 +119,14 @@ def _(t: Tables):
     return H.with_main_text(rows, "html", "main_text").select("page_id", "main_text")
 
 
-_WRITTEN = """CASE event_id % 8 WHEN 0 THEN 'Tue, ' || d || ' Jan 2024 08:00 GMT' WHEN 1 THEN d || ' Jan 2024 08:00 +0000'
+_WRITTEN = """CASE event_id % 16 WHEN 8 THEN '2024-01-' || d || 'T08:00Z' WHEN 9 THEN '2024-01-' || d || ' 08:00 UTC' WHEN 10 THEN 'Tue Jan ' || d || ' 08:00:00 2024'
+    WHEN 11 THEN '01/' || d || '/2024 8:00' WHEN 12 THEN d || '-Jan-2024 8 am' WHEN 13 THEN '2024.01.' || d || ' 08:00:00.25'
+    WHEN 14 THEN d || ' Jan 2024 8am' WHEN 15 THEN 'Jan 2024 08:00' WHEN 0 THEN 'Tue, ' || d || ' Jan 2024 08:00 GMT' WHEN 1 THEN d || ' Jan 2024 08:00 +0000'
     WHEN 2 THEN d || ' Jan 24 08:00:00 GMT' WHEN 3 THEN 'January ' || d || ', 2024 08:00' WHEN 4 THEN d || ' January 2024 08:00:00'
     WHEN 5 THEN 'Jan ' || d || ', 2024 8:00 AM' WHEN 6 THEN '202401' || d || 'T080000Z' ELSE '40 Jan 2024 08:00 GMT' END"""
 
 
-@query("written_dates", """SELECT event_id, CASE WHEN event_id % 8 <> 7 THEN '2024-01-' || CAST(10 + user_id % 20 AS STRING) || 'T08:00:00Z' END AS at FROM events""")
+@query("written_dates", """SELECT event_id, CASE WHEN event_id % 16 NOT IN (7, 15) THEN '2024-01-' || CAST(10 + user_id % 20 AS STRING) || 'T08:00:00Z' END AS at FROM events""")
 def _(t: Tables):
     rows = t.events.selectExpr("event_id", "CAST(10 + user_id % 20 AS STRING) AS d").selectExpr("event_id", f"{_WRITTEN} AS text")
     return rows.select("event_id", T.iso8601(T.parse_timestamp(F.col("text"), ref())).alias("at"))

@@ -14,8 +14,12 @@ from recordmill.functions.text import blank_to_null, strip, truncate_middle
 
 _NOISE = r"(?is)<(?:!--.*?-->|(" + "|".join(NOISE_TAGS) + r")\b[^>]*>.*?</\1\s*>)"
 # A tag begins with a letter, a slash, ``!`` or ``?``; a bare ``<`` is text. A ``>`` inside quotes does
-# not end it, unless the quote is never closed.
-_TAG = r"<[a-zA-Z/!?](?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+>|<[a-zA-Z/!?][^>]*+>"
+# not end it. Where a tag does not end that way, because a quote is never closed, quotes count no more
+# from there on, and tags end at the next ``>``.
+_CLOSED = r"<[a-zA-Z/!?](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
+_LOOSE = r"<[a-zA-Z/!?][^>]*+>"
+_WELL_FORMED = rf"^(?:[^<]++|<(?![a-zA-Z/!?])|{_CLOSED})*+"
+_TO_LAST_END = r"(?s)^.*>"
 _META = r"(?is)<meta\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
 _BLOCK_OPEN = r"(?i)<(?:p|h[1-4]|li|section)\b[^>]*>"
 _BLOCK_EDGE = r"(?i)</?(?:p|h[1-4]|li|section|article|main|body|ul|ol|div|table|tr|td)\b[^>]*>"
@@ -37,6 +41,33 @@ def decode_entities(c: Column) -> Column:
     return F.coalesce(_unescape(F.when(rare, c)), basic)
 
 
+def _bind(value: Column, body) -> Column:
+    """``body`` over ``value``, which is evaluated once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _before_last_end(c: Column, body) -> Column:
+    """``body`` over the text up to its last ``>``; behind it no tag can end, so nothing is looked for."""
+    return _bind(c, lambda t: _bind(F.regexp_extract(t, _TO_LAST_END, 0), lambda head: F.concat(
+        body(head), F.substr(t, F.length(head) + 1))))
+
+
+def without_tags(c: Column, sign: str) -> Column:
+    """``sign`` in place of every tag, in time linear in the text. One possessive pass finds how far tags
+    end as they should; the text up to there and the rest are each read once, and no place where a tag
+    begins is ever scanned to the end of the text in vain."""
+    def parts(t: Column) -> Column:
+        def joined(good: Column) -> Column:
+            rest = F.substr(t, F.length(good) + 1)
+            return F.concat(
+                F.regexp_replace(good, _CLOSED, sign), _before_last_end(rest, lambda r: F.regexp_replace(r, _LOOSE, sign)))
+
+        return _bind(F.regexp_extract(t, _WELL_FORMED, 0), lambda good: F.when(
+            F.length(good) == F.length(t), F.regexp_replace(t, _CLOSED, sign)).otherwise(joined(good)))
+
+    return _bind(c, parts)
+
+
 def drop_noise(c: Column) -> Column:
     """Without comments and the elements that never hold content."""
     return F.regexp_replace(F.coalesce(c, F.lit("")), _NOISE, "")
@@ -67,7 +98,7 @@ def meta_content(tags: Column, attribute: str, value: str) -> Column:
 def element_text(c: Column, opening: str, tag: str) -> Column:
     """Text of the first element whose start tag matches ``opening``; null when there is none."""
     body = F.regexp_extract_all(c, F.lit(rf"(?is){opening}(.*?)</{tag}\s*>"), F.lit(1))
-    return F.regexp_replace(F.get(body, 0), _TAG, "")
+    return without_tags(F.get(body, 0), "")
 
 
 def page_title(c: Column, tags: Column) -> Column:
@@ -128,11 +159,6 @@ def json_ld_dates(objects: Column) -> Column:
     return F.flatten(F.transform(objects, dates))
 
 
-def _bind(value: Column, body) -> Column:
-    """``body`` over ``value``, which is evaluated once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _up_to_close(tail: Column, tag: str) -> Column:
     """What follows a start tag, up to the end tag that belongs to it; all of it when none does.
     A running depth over the tags of that name finds the one that closes."""
@@ -184,16 +210,16 @@ def block_texts(container: Column) -> Column:
     """Texts over ten characters of paragraphs, headings, list items and sections. A block ends at
     the next block tag, so unclosed paragraphs do not swallow what follows. Entities are still
     encoded."""
-    marked = F.regexp_replace(container, _BLOCK_OPEN, _MARK + "O$0")
-    marked = F.regexp_replace(marked, f"(?<!{_MARK}O)" + _BLOCK_EDGE, _MARK + "C")
+    opened = _before_last_end(container, lambda t: F.regexp_replace(t, _BLOCK_OPEN, _MARK + "O$0"))
+    marked = _before_last_end(opened, lambda t: F.regexp_replace(t, f"(?<!{_MARK}O)" + _BLOCK_EDGE, _MARK + "C"))
     pieces = F.filter(F.split(marked, _MARK), lambda p: F.startswith(p, F.lit("O")))
-    texts = F.transform(pieces, lambda p: strip(F.regexp_replace(F.substr(p, F.lit(2)), _TAG, "")))
+    texts = F.transform(pieces, lambda p: strip(without_tags(F.substr(p, F.lit(2)), "")))
     return F.filter(texts, lambda t: F.length(t) > 10)
 
 
 def lines_of_text(c: Column) -> Column:
     """Every text node on its own line, no blank lines. Entities are still encoded."""
-    lines = F.split(F.regexp_replace(c, _TAG, "\n"), r"[\n\r\x0B\x0C\x1C-\x1E\x{85}\u2028\u2029]")
+    lines = F.split(without_tags(c, "\n"), r"[\n\r\x0B\x0C\x1C-\x1E\x{85}\u2028\u2029]")
     return F.array_join(F.filter(F.transform(lines, strip), lambda t: t != ""), "\n")
 
 

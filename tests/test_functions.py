@@ -1,6 +1,7 @@
 """Text, date and name expressions on written examples."""
 
 import random
+import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -174,3 +175,47 @@ def test_canonical_url(spark, value, expected):
 
 def test_role_keeps_substring_rule(spark):
     assert one(spark, lambda t: X.role_family(t, F.lit("")), "Director of Sales") == "Management"
+
+
+WRITTEN = {
+    "2024-01-30T08:00Z": "2024-01-30T08:00:00Z", "2024-01-30 08:00 UTC": "2024-01-30T08:00:00Z",
+    "Tue Jan 30 08:00:00 2024": "2024-01-30T08:00:00Z", "Tue Jan 30 08:00:00 UTC 2024": "2024-01-30T08:00:00Z",
+    "01/30/2024": "2024-01-30T00:00:00Z", "30/01/2024": "2024-01-30T00:00:00Z", "30-Jan-2024": "2024-01-30T00:00:00Z",
+    "2024.01.30": "2024-01-30T00:00:00Z", "30 Jan 2024 8am": "2024-01-30T08:00:00Z", "30 Jan 2024 12:05 am": "2024-01-30T00:05:00Z",
+    "30th of January 2024": "2024-01-30T00:00:00Z", "2024 Jan 30": "2024-01-30T00:00:00Z", "30 Jan 24": "2024-01-30T00:00:00Z",
+    "Jan 30, 2024 at 8:05 PM EST": "2024-01-31T01:05:00Z", "30 January 2024 08:00 +0530": "2024-01-30T02:30:00Z",
+    "2024-01-30T08:00:00.5-05:00": "2024-01-30T13:00:00Z", "30 Jan 2024 08:00:00 -5": "2024-01-30T13:00:00Z",
+    "20240130T080506Z": "2024-01-30T08:05:06Z", "2024-01-30 08:00:00 HKT": "2024-01-30T08:00:00Z",
+    # No date, half a date, or a date that is not in the calendar.
+    "Jan 2024": None, "30 Jan": None, "12:30": None, "31/02/2024": None, "30 Jan 2024 13:00 PM": None, "30 Jan 2024 25:00": None,
+    "version 2 of 2024-01-30": None, "1.2.3.4": None, "": None, "30 Jan Feb 2024": None, "99999999999": None, "8:00:00:00 1 Jan 2024": None,
+}
+
+
+def test_written_dates(spark):
+    df = spark.createDataFrame([(x,) for x in [*WRITTEN, None, "1 " * 60_000]], "d string")
+    got = {r[0]: r[1] for r in df.select("d", T.iso8601(T.parse_timestamp(F.col("d"), at(iso(REF))))).collect()}
+    assert {d: got[d] for d in WRITTEN} == WRITTEN and got[None] is None
+
+
+TAGGED = {
+    "a <b>bold</b> c": "a |bold| c", "1 < 2 and 3 > 2": "1 < 2 and 3 > 2", "<a title=\"x > y\">z": "|z", "<a title='<b>'>z": "|z",
+    "x <a title=\"open>y</a> z": "x |y| z", "it's <b>so</b>": "it's |so|", "<a 'x>y<b \"q>\">": "|y|\">", "tail <x": "tail <x",
+    "<!doctype html><?p?></p>": "|||", "": "", "<x <y <z>": "|", "<": "<",
+}
+
+
+def test_tags_end_as_written(spark):
+    df = spark.createDataFrame([(x,) for x in [*TAGGED, None]], "h string")
+    got = {r[0]: r[1] for r in df.select("h", H.without_tags(F.col("h"), "|")).collect()}
+    assert got == {**TAGGED, None: None}
+
+
+@pytest.mark.parametrize("page", ["<x " * 350_000, "<a \"> \" " * 120_000 + "'", "<p>word</p> " * 90_000, "<p " * 350_000, "<x '" * 250_000 + ">"])
+def test_a_page_of_a_megabyte_is_read_in_linear_time(spark, page):
+    df = spark.createDataFrame([(page,)], "h string")
+    H.with_clean_text(df.limit(1), "h", "t").select(F.length("t")).collect()
+    started = time.time()
+    H.with_clean_text(df, "h", "t").select(F.length("t")).collect()
+    H.with_main_text(df, "h", "t").select(F.length("t")).collect()
+    assert time.time() - started < 20
