@@ -284,9 +284,9 @@ def _(t: Tables):
 @query("near_duplicates", f"""WITH RECURSIVE {sql_simhash('doc_id', 'text', 'documents')},
     g AS (SELECT simhash, count(*) AS docs FROM prints GROUP BY simhash),
     e AS MATERIALIZED (SELECT a.simhash AS a, b.simhash AS b FROM g a JOIN g b ON a.simhash <> b.simhash AND bit_count(xor(a.simhash, b.simhash)) <= 3),
-    r AS (SELECT simhash AS start, simhash AS at FROM g UNION SELECT r.start, e.b FROM r JOIN e ON e.a = r.at)
+    r AS (SELECT simhash AS origin, simhash AS reached FROM g UNION SELECT r.origin, e.b FROM r JOIN e ON e.a = r.reached)
     SELECT g.simhash AS fingerprint, c.cluster, g.docs
-    FROM g JOIN (SELECT start, min(at) AS cluster FROM r GROUP BY start) c ON c.start = g.simhash""")
+    FROM g JOIN (SELECT origin, min(reached) AS cluster FROM r GROUP BY origin) c ON c.origin = g.simhash""")
 def _(t: Tables):
     prints = cut_lineage(simhash64(t.documents, "doc_id", "text"), "prints")
     return near_duplicates(prints)

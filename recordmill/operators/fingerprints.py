@@ -1,18 +1,20 @@
 """SimHash fingerprints and near-duplicate search.
 
-Fingerprints come from one hash aggregate. Each word is hashed once and its bits are added up 32
-sums at a time, two bit counters in one 64-bit number, so that the words of a document collapse to
-a single row before anything is shuffled.
+A fingerprint is made inside its row: the hashes of the words are added up bit by bit in vertical
+counters.
 
 Near-duplicates are searched among *distinct* fingerprints: exact copies, however many, weigh as one.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,38 +23,55 @@ from recordmill.functions.text import hamming64
 from recordmill.operators.components import components, spanning_links
 from recordmill.session import cut_lineage
 
-_PAIR_MASK = 0x0000000100000001
-_LOW_MASK = 0xFFFFFFFF
+#: Words whose hashes a worker process remembers before it starts anew.
+MEMO_WORDS = 500_000
+
+
+def _word_hash(word: str) -> int:
+    """The low 64 bits of the MD5 of a word."""
+    return int.from_bytes(hashlib.md5(word.encode(), usedforsecurity=False).digest()[8:], "big")
+
+
+def bit_votes(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each of the 64 bits. Counters stand vertically, one word per binary
+    digit for all 64 bits: carry-save adders take three words of a digit to one and a carry of the next,
+    until two at most are left of each."""
+    votes, weight = np.zeros(64, np.int64), 1
+    while len(hashes):
+        carries = []
+        while len(hashes) > 2:
+            third = len(hashes) // 3
+            a, b, c, rest = hashes[:third], hashes[third:2 * third], hashes[2 * third:3 * third], hashes[3 * third:]
+            carries.append(a & b | c & (a ^ b))
+            hashes = np.concatenate([a ^ b ^ c, rest])
+        bits = np.unpackbits(hashes.view(np.uint8).reshape(len(hashes), 8), axis=1, bitorder="little")
+        votes += weight * bits.sum(axis=0, dtype=np.int64)
+        hashes, weight = np.concatenate([np.zeros(0, np.uint64), *carries]), 2 * weight
+    return votes
 
 
 def simhash64(df: DataFrame, key: str, text: str) -> DataFrame:
     """``(key, simhash)``; a bit is set when at least half of the words have it, 0 for no words.
 
-    A counter is 32 bits wide, more than the words a string can hold."""
-    tokens = F.regexp_extract_all(
-        F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(f"{WORD}+"), F.lit(0)
-    )
-    hashed = df.select(key, F.explode_outer(tokens).alias("word")).select(
-        key, F.conv(F.substring(F.md5("word"), 17, 16), 16, -10).cast("bigint").alias("h")
-    )
-    mask = F.lit(_PAIR_MASK)
-    sums = [
-        F.sum(F.shiftrightunsigned("h", i).bitwiseAND(mask)).alias(f"s{i}") for i in range(32)
-    ]
-    folded = hashed.groupBy(key).agg(F.count("h").alias("n"), *sums)
-
-    def bit(counter: Column, position: int) -> Column:
-        value = (1 << position) - (1 << 64 if position == 63 else 0)
-        return F.when(counter * 2 >= F.col("n"), F.lit(value)).otherwise(F.lit(0)).cast("bigint")
-
-    value = F.lit(0).cast("bigint")
-    for i in range(32):
-        low = F.col(f"s{i}").bitwiseAND(F.lit(_LOW_MASK))
-        high = F.shiftrightunsigned(f"s{i}", 32)
-        value = value.bitwiseOR(bit(low, i)).bitwiseOR(bit(high, i + 32))
-    return folded.select(
-        key, F.when(F.col("n") == 0, F.lit(0).cast("bigint")).otherwise(value).alias("simhash")
-    )
+    Words are cut and lowered in the JVM; their hashes are added up inside the row, so nothing is
+    exploded or shuffled, and a text of any length takes one number per word."""
+    tokens = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(f"{WORD}+"), F.lit(0))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo: dict[str, int] = {}
+        for batch in batches:
+            prints = []
+            for words in (t.split(" ") if t else [] for t in batch.column(1).to_pylist()):
+                if len(memo) > MEMO_WORDS:
+                    memo.clear()
+                memo.update((w, _word_hash(w)) for w in set(words).difference(memo))
+                hashes = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+                bits = 2 * bit_votes(hashes) >= len(words) if words else np.zeros(64, bool)
+                prints.append(np.packbits(bits, bitorder="little").view(np.int64)[0])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64())], [key, "simhash"])
+
+    kind = dict(df.dtypes)[key]
+    return df.select(key, F.array_join(tokens, " ").alias("_words")).mapInArrow(run, f"`{key}` {kind}, simhash bigint")
 
 
 def _block_masks(distance: int, extra: int) -> list[int]:

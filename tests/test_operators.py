@@ -31,6 +31,12 @@ def test_simhash(spark):
     assert got == {i: simhash(t) for i, t in enumerate(texts)}
 
 
+def test_simhash_is_made_inside_the_row(spark):
+    df = spark.createDataFrame([(1, "a b c")], "id int, t string").repartition(2)
+    plan = fingerprints.simhash64(df, "id", "t")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1  # the one of the test itself
+
+
 def near(values, distance=3):
     return {
         (a, b) for a, b in itertools.combinations(sorted(set(values)), 2)
