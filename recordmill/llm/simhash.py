@@ -11,23 +11,24 @@ parts not yet joined are returned, never all pairs.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recordmill.operators.components import components, spanning_links
 from recordmill.session import cut_lineage, join_side
 
 SEED = 42
 #: Shingles hashed at a time, which bounds memory for texts of any length.
 CHUNK = 1 << 16
-#: Fingerprints of one key in one tile; a larger key is compared tile by tile in separate groups.
+#: Fingerprints of one key in one tile; a larger key is compared tile by tile, then by heads.
 TILE = 512
 #: Blocks of the fingerprint for exact keys, and how many of them must agree with ``radius`` 3.
 BLOCKS = 5
@@ -140,114 +141,64 @@ def close_lanes(planes: np.ndarray, queries: np.ndarray, radius: int) -> np.ndar
     return ~over
 
 
-def _spanning(words: np.ndarray, group: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """For every row the smallest row of its part, parts being joined by links inside a group; and
-    the same by row. Rows of a block lie next to each other."""
-    n = len(words)
+def near_rows(rows: pd.DataFrame, radius: int) -> np.ndarray:
+    """The matrix of rows whose fingerprints are within the radius."""
+    n = len(rows)
+    words = np.frombuffer(b"".join(rows["fp"]), ">u8").astype(np.uint64).reshape(n, -1)
     near = close_lanes(planes_of(words), words, radius)
-    near = np.unpackbits(near.view(np.uint8), axis=1, bitorder="little")[:, :n].astype(bool)
-    near &= group[:, None] == group[None, :]
-    label = np.arange(n)
-    while True:
-        low = np.where(near, label[None, :], n).min(axis=1)
-        low = np.minimum(low, label)
-        low = low[low]
-        if (low == label).all():
-            return label, np.arange(n)
-        label = low
-
-
-def _links_in(frames: Iterator[pd.DataFrame], radius: int) -> Iterator[pd.DataFrame]:
-    """Frames of (group, id, fp) sorted by group, as they come; a group may go on in the next frame.
-    Groups hold at most two tiles. Blocks of whole groups are compared at once."""
-    rest: pd.DataFrame | None = None
-
-    def links(frame: pd.DataFrame) -> pd.DataFrame:
-        group = pd.factorize(frame["group"])[0]
-        alone = np.bincount(group)[group] == 1
-        frame, group = frame[~alone], group[~alone]
-        out = [np.zeros((0, 2), np.int64)]
-        if len(frame):
-            ids = frame["id"].to_numpy()
-            words = np.frombuffer(b"".join(frame["fp"]), ">u8").astype(np.uint64).reshape(len(frame), -1)
-            borders = np.flatnonzero(np.diff(group)) + 1
-            at = 0
-            while at < len(frame):
-                i = np.searchsorted(borders, at + TILE, "right") - 1
-                end = int(borders[i]) if i >= 0 and borders[i] > at else None
-                if end is None:
-                    later = borders[borders > at]
-                    end = int(later[0]) if len(later) else len(frame)
-                elif len(frame) - at <= TILE:
-                    end = len(frame)
-                label, own = _spanning(words[at:end], group[at:end], radius)
-                joined = label != own
-                out.append(np.stack([ids[at:end][own[joined]], ids[at:end][label[joined]]], axis=1))
-                at = end
-        return pd.DataFrame(np.concatenate(out), columns=["a", "b"])
-
-    for frame in frames:
-        frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-        last = frame["group"].iloc[-1]
-        whole = (frame["group"] != last).to_numpy()
-        rest = frame[~whole]
-        yield links(frame[whole])
-    if rest is not None:
-        yield links(rest)
-
-
-def links(distinct: DataFrame, radius: int, keys, tile: int = TILE) -> DataFrame:
-    """Links (a, b) between ids of ``distinct`` (id, fp, anchors), enough to join all that chains of
-    close pairs join. A key with many members is cut into tiles by a hash; every pair of tiles is a
-    group of its own, so a crowded key spreads over as many tasks as it has pairs of tiles."""
-    keyed = distinct.select("id", "fp", F.explode(keys).alias("key"))
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    tiled = keyed.join(sizes, "key").withColumn("tiles", F.ceil(F.col("n") / tile).cast("int"))
-    own = F.pmod(F.xxhash64("id", "key"), F.col("tiles")).cast("int")
-    grouped = tiled.withColumn("own", own).select(
-        "id", "fp", "key", "own", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"),
-    ).select("id", "fp", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("group"))
-    made = grouped.repartition("group").sortWithinPartitions("group").select("group", "id", "fp")
-    return made.mapInPandas(lambda frames: _links_in(frames, radius), "a long, b long").distinct()
-
-
-def block_keys(fp, blocks: int = BLOCKS, radius: int = 3):
+    return np.unpackbits(near.view(np.uint8), axis=1, bitorder="little")[:, :n].astype(bool)
+
+
+def links(distinct: DataFrame, radius: int, keys: Column, finer: Callable[[DataFrame], DataFrame] | None = None,
+          tile: int = TILE) -> DataFrame:
+    """Links (a, b) between ids of ``distinct`` (id, fp, anchors), enough to join all that chains of close
+    pairs under a key join, and no more than a few for each member of a key. ``finer`` adds keys by which
+    a crowded key, whose number is in key_at, is cut where its members are not all alike."""
+    keyed = distinct.select("id", "fp", F.posexplode(keys).alias("key_at", "key"))
+    return spanning_links(keyed, lambda rows: near_rows(rows, radius), tile, refine=finer)
+
+
+def signed_bits(fp: Column) -> Column:
+    """A 64-bit fingerprint in bytes as a long."""
+    number = F.conv(F.hex(fp), 16, 10).cast("decimal(20,0)")
+    return F.when(number > 9223372036854775807, number - F.lit("18446744073709551616").cast("decimal(20,0)")).otherwise(number).cast("long")
+
+
+def block_masks(bits: list[int], blocks: int, chosen: int) -> list[int]:
+    """Masks of each choice of ``chosen`` of so many blocks of the given bits."""
+    parts = [sum(1 << b for b in bits[len(bits) * i // blocks:len(bits) * (i + 1) // blocks]) for i in range(blocks)]
+    return [sum(c) for c in combinations(parts, chosen)]
+
+
+def block_keys(fp: Column, blocks: int = BLOCKS, radius: int = 3) -> Column:
     """Keys of a 64-bit fingerprint: each choice of blocks of which one at least must be untouched
     by ``radius`` differing bits. No pair within the radius is missed."""
-    number = F.conv(F.hex(fp), 16, 10).cast("decimal(20,0)")
-    signed = F.when(number > 9223372036854775807, number - F.lit("18446744073709551616").cast("decimal(20,0)")).otherwise(number).cast("long")
-    edges = [64 * i // blocks for i in range(blocks + 1)]
-    keys = []
-    for at, chosen in enumerate(combinations(range(blocks), blocks - radius)):
-        mask = sum((1 << edges[i + 1]) - (1 << edges[i]) for i in chosen)
-        mask -= (1 << 64) if mask >= 1 << 63 else 0
-        keys.append(F.xxhash64(signed.bitwiseAND(F.lit(mask).cast("long")), F.lit(at)))
-    return F.array(*keys)
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """id, component (smallest id reachable) for every id in an edge. Labels shrink to the smallest
-    label among neighbours and then to the label of that label, until nothing changes; every round
-    is written, so a lost executor repeats one round at most."""
-    both = cut_lineage(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
-    labels = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("component"))
-    labels = cut_lineage(labels, "labels")
-    while True:
-        near = both.join(labels, F.col("b") == F.col("id")).groupBy("a").agg(F.min("component").alias("m"))
-        low = labels.join(near, F.col("id") == F.col("a")).select("id", F.col("component").alias("old"), F.least("component", "m").alias("low"))
-        over = labels.select(F.col("id").alias("low"), F.col("component").alias("jump"))
-        new = cut_lineage(low.join(over, "low").select("id", "old", F.least("low", "jump").alias("component")), "labels")
-        changed = new.where("old != component").limit(1).count()
-        labels = new.select("id", "component")
-        if not changed:
-            return labels
+    signed = signed_bits(fp)
+    masks = block_masks(list(range(64)), blocks, blocks - radius)
+    return F.array(*[F.xxhash64(_under(signed, mask), F.lit(at)) for at, mask in enumerate(masks)])
+
+
+def finer_block_keys(fp: Column, blocks: int = BLOCKS, radius: int = 3) -> Column:
+    """Keys that cut the key number key_at of :func:`block_keys` finer: the bits it leaves open fall into
+    ``2 * radius`` blocks, of which ``radius`` at least are untouched. No pair is missed here either."""
+    signed, out = signed_bits(fp), F.lit(None).cast("array<bigint>")
+    for at, mask in enumerate(block_masks(list(range(64)), blocks, blocks - radius)):
+        rest = block_masks([b for b in range(64) if not mask >> b & 1], 2 * radius, radius)
+        out = F.when(F.col("key_at") == at, F.array(*[F.xxhash64(F.lit(j), _under(signed, m)) for j, m in enumerate(rest)])).otherwise(out)
+    return out
+
+
+def _under(signed: Column, mask: int) -> Column:
+    return signed.bitwiseAND(F.lit(mask - (1 << 64) if mask >= 1 << 63 else mask).cast("long"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 3, radius: int = 3,
                     n_words: int = 1) -> DataFrame:
     """One row per input row: id, fingerprint (hexadecimal), component_id, the smallest id that
     chains of links reach. Null and empty texts have fingerprint zero and are linked like any other;
-    repeated rows stay repeated; other columns are ignored. ``id_col`` must be an integer.
+    repeated rows stay repeated; other columns are ignored; an empty table gives an empty one. ``id_col``
+    must be an integer. A null id is no id: its row links like any other, and its component has the
+    smallest id that is none null, or null if there is none.
 
     Radius 3 on 64 bits uses block keys, which miss no pair. A wider radius uses anchors: pairs of
     shingle minima, of which texts at Jaccard similarity 0.8 share one of ten with probability over
@@ -255,15 +206,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     exact = n_words == 1 and radius < BLOCKS
     made = cut_lineage(fingerprints(docs, id_col, text, size, n_words, 0 if exact else ANCHORS)
                        .withColumnRenamed(id_col, "id"), "fingerprints")
-    distinct = made.groupBy("fp").agg(F.min("id").cast("long").alias("id"), F.min("anchors").alias("anchors"))
-    distinct = cut_lineage(distinct, "distinct")
+    # Links are between numbers of distinct fingerprints, so that ids may be null.
+    distinct = made.groupBy("fp").agg(F.min("id").cast("long").alias("own"), F.min("anchors").alias("anchors"))
+    distinct = cut_lineage(distinct.withColumn("id", F.monotonically_increasing_id()), "distinct")
     keys = block_keys(F.col("fp"), radius=radius) if exact else F.col("anchors")
-    found = components(links(distinct, radius, keys))
-    by_fp = distinct.join(found, "id", "left").select("fp", F.coalesce("component", "id").alias("component_id"))
+    finer = (lambda rows: rows.withColumn("finer", finer_block_keys(F.col("fp"), radius=radius))) if exact else finer_anchors(distinct)
+    found = components(links(distinct, radius, keys, finer))
+    parts = cut_lineage(distinct.join(found, "id", "left").select(
+        "fp", "own", F.coalesce("component", "id").alias("part")), "parts")
+    least = parts.groupBy("part").agg(F.min("own").alias("component_id"))
+    by_fp = parts.join(least, "part").select("fp", "component_id")
     return made.select("id", "fp").join(by_fp, "fp").select(
         F.col("id").alias(id_col), F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
+def finer_anchors(distinct: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """The other anchors of a document: texts at similarity 0.8 that share one share another one too, but
+    for about one pair in ten thousand."""
+    others = F.filter("anchors", lambda _, i: i != F.col("key_at"))
+    return lambda rows: rows.join(distinct.select("id", "anchors"), "id").withColumn("finer", others)
+
+
 def _prints(rows: DataFrame, size: int, n_words: int) -> DataFrame:
     """id, key (a hash of the words in order), fp and anchors of the shingle sets of rows (id, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,86 +260,23 @@ def _similar(texts: list[str], size: int, similarity: float) -> Iterator[tuple[i
         yield i, i + 1 + np.flatnonzero(near)
 
 
-def _confirmed_in(frames: Iterator[pd.DataFrame], size: int, similarity: float) -> Iterator[pd.DataFrame]:
-    """Frames of (group, id, label, text) sorted by group, as they come, to links that join labels."""
-    rest: pd.DataFrame | None = None
-
-    def links(frame: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, group in frame.groupby("group", sort=False):
-            if len(group) == 1:
-                continue
-            ids, label = group["id"].to_numpy(), group["label"].to_numpy().copy()
-            for i, near in _similar(group["text"].tolist(), size, similarity):
-                for j in near:
-                    if label[i] != label[j]:
-                        out.append((ids[i], ids[j]))
-                        label[label == label[j]] = label[i]
-        return pd.DataFrame(np.array(out, np.int64).reshape(-1, 2), columns=["a", "b"])
-
-    for frame in frames:
-        frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-        last = frame["group"].iloc[-1]
-        whole = (frame["group"] != last).to_numpy()
-        rest = frame[~whole]
-        yield links(frame[whole])
-    if rest is not None:
-        yield links(rest)
+def similar_rows(rows: pd.DataFrame, size: int, similarity: float) -> np.ndarray:
+    """The matrix of rows whose texts have at least this Jaccard similarity."""
+    near = np.zeros((len(rows), len(rows)), bool)
+    for i, later in _similar(rows["text"].tolist(), size, similarity):
+        near[i, later] = near[later, i] = True
+    return near
 
 
 def confirmed_links(texts: DataFrame, candidates: DataFrame, size: int, similarity: float,
                     tile: int = CONFIRMED_TEXTS, tile_bytes: int = CONFIRMED_BYTES) -> DataFrame:
     """Links (a, b) between ids of ``candidates`` (id, component), enough to join all that chains of
-    pairs of a component with at least this Jaccard similarity join; each link is such a pair.
-    ``texts`` (id, text) may hold other ids.
-
-    A component of more than one tile is compared inside its tiles first, then one text of each part
-    with those of the others. Where more than one part is left, every pair of tiles is compared, so
-    only components that do not hang together cost more than a pass over their texts."""
+    pairs of a component with at least this Jaccard similarity join. ``texts`` (id, text) may hold other
+    ids. Components of more than one tile are compared as :func:`spanning_links` does."""
     found = join_side(candidates, "candidates")
-    members = cut_lineage(texts.join(found, "id").select("id", "component", "text"), "members")
-    sizes = members.groupBy("component").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
-    tiles = F.greatest(F.ceil(F.col("n") / tile), F.ceil(F.col("bytes") / tile_bytes)).cast("int")
-    crowded = cut_lineage(sizes.select("component", "n", tiles.alias("tiles")).where("tiles > 1"), "crowded")
-
-    def compared(rows: DataFrame) -> DataFrame:
-        made = rows.repartition("group").sortWithinPartitions("group").select("group", "id", "label", "text")
-        return cut_lineage(made.mapInPandas(lambda frames: _confirmed_in(frames, size, similarity), "a long, b long"), "confirmed")
-
-    def parts(links: DataFrame) -> DataFrame:
-        """Members of crowded components that are still in more than one part, and their part's label."""
-        made = cut_lineage(members.select("id", "component").join(F.broadcast(crowded), "component").join(
-            components(links).withColumnRenamed("component", "label"), "id", "left")
-            .select("id", "component", "n", "tiles", F.coalesce("label", "id").alias("label")), "parts")
-        split = made.groupBy("component").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
-        return cut_lineage(made.join(split.select("component"), "component", "left_semi"), "split")
-
-    def own(n, by):
-        return F.pmod(F.xxhash64("id", F.lit(by)), n).cast("int")
-
-    crowd = members.join(F.broadcast(crowded), "component", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
-    links = compared(crowd.select(F.xxhash64("component", own(F.col("tiles"), 0)).alias("group"), "id", F.col("id").alias("label"), "text"))
-    if not crowded.limit(1).count():
-        return links
-    split, before = parts(links), None
-    while n := split.select("label").distinct().count():
-        if before is not None and n > before // 2:
-            break
-        before = n
-        heads = split.where("id = label")
-        of = heads.groupBy("component").agg(F.count("*").alias("heads"))
-        dealt = heads.join(F.broadcast(of), "component").withColumn("own", own(F.ceil(
-            F.col("tiles") * F.col("heads") / F.col("n")), 1))
-        links = links.unionByName(compared(members.select("id", "text").join(dealt, "id").select(
-            F.xxhash64("component", "own").alias("group"), "id", "label", "text")))
-        split = parts(links)
-    if not n:
-        return links
-    # Both texts of a pair lie in the group of their tiles, whichever those are.
-    at = own(F.col("tiles"), 2)
-    paired = split.withColumn("own", at).select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")).select(
-        "id", "label", F.xxhash64("component", F.least("own", "other"), F.greatest("own", "other")).alias("group"))
-    return links.unionByName(compared(members.select("id", "text").join(paired, "id").select("group", "id", "label", "text")))
+    members = cut_lineage(texts.join(found, "id").select(
+        F.col("component").alias("key"), "id", F.octet_length("text").cast("long").alias("weight"), "text"), "members")
+    return spanning_links(members, lambda rows: similar_rows(rows, size, similarity), tile, tile_bytes, block=1)
 
 
 def first_of_group(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 5, radius: int = 60,
@@ -396,7 +296,7 @@ def first_of_group(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     made = cut_lineage(_prints(texts, size, n_words), "fingerprints")
     distinct = cut_lineage(made.groupBy("key").agg(
         F.min("id").alias("id"), F.min("fp").alias("fp"), F.min("anchors").alias("anchors")), "distinct")
-    candidates = components(links(distinct, radius, F.col("anchors")))
+    candidates = components(links(distinct, radius, F.col("anchors"), finer_anchors(distinct)))
     found = components(confirmed_links(texts, candidates, size, similarity))
     by_key = distinct.join(found, "id", "left").select("key", F.coalesce("component", "id").alias("component"))
     ranks = numbered.select(F.col("__row").alias("id"), F.struct(

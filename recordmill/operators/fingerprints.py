@@ -154,7 +154,7 @@ TILE = 512
 
 
 def _close(rows: pd.DataFrame, distance: int) -> np.ndarray:
-    prints = rows["id"].to_numpy()
+    prints = rows["id"].to_numpy().view(np.uint64)  # the bits of a negative number are those of its absolute value
     return np.bitwise_count(prints[:, None] ^ prints[None, :]) <= distance
 
 

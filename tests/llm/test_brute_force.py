@@ -126,8 +126,30 @@ def test_links_in_a_crowded_key(spark):
         F.min("id").alias("id"), F.min("anchors").alias("anchors"))
     for keys in (simhash.block_keys(F.col("fp")), F.array(F.lit(7).cast("long"))):
         found = {r["id"]: r["component"] for r in simhash.components(simhash.links(distinct, 3, keys, tile=16)).collect()}
-        assert {i: found.get(i, i) for i in (r["id"] for r in distinct.collect())} == {
-            i: c for i, c in plain_components(prints).items() if i in {r["id"] for r in distinct.select("id").collect()}}
+        ids = {r["id"] for r in distinct.collect()}
+        assert {i: found.get(i, i) for i in ids} == {i: c for i, c in plain_components(prints).items() if i in ids}
+
+
+def test_links_of_a_crowded_key_grow_with_its_members(spark):
+    """Fingerprints that differ in few bits share one key; links must not grow with its square."""
+    for n in (2000, 8000):
+        low = F.xxhash64("id").bitwiseAND(F.lit((1 << 14) - 1))
+        made = spark.range(n).select(F.unhex(F.lpad(F.hex(low), 16, "0")).alias("fp")).distinct().withColumn("id", F.conv(F.hex("fp"), 16, 10).cast("long"))
+        members = made.count()
+        links = simhash.links(made, 3, F.array(F.lit(7).cast("long")), tile=128)
+        assert links.count() < 2 * members
+        assert simhash.components(links).groupBy("component").count().count() == 1
+
+
+def test_null_ids_link_and_keep_large_ids_whole(spark):
+    """An id beyond 2^53 stays as it is next to a null one, and a row without an id links like any other."""
+    words = [f"w{i * 7919 % 1009}" for i in range(3000)]
+    near = list(words)
+    near[1500] = "x"
+    rows = [(2**60 + 1, " ".join(words)), (2**60 + 3, " ".join(near)), (None, " ".join(words)), (None, "alone here"), (7, "alone here"), (None, "none but null")]
+    got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in got) == sorted(
+        [(2**60 + 1, 2**60 + 1), (2**60 + 3, 2**60 + 1), (0, 2**60 + 1), (0, 7), (7, 7), (0, 0)])
 
 
 def test_first_of_group_keeps_one_of_near_copies(spark):

@@ -92,7 +92,7 @@ def test_crowded_key_of_many_parts(spark):
         w = rng.getrandbits(22)
         if all(bin(w ^ c).count("1") > 3 for c in code):
             code.append(w)
-    values = code + [c ^ 7 for c in code[:40]] + [c ^ (1 << 40) for c in code[40:60]]
+    values = code + [c ^ 7 for c in code[:40]] + [c ^ (1 << 40) for c in code[40:60]] + [c - (1 << 63) for c in code[60:80]]
     got = {r["fingerprint"]: r["cluster"] for r in fingerprints.near_duplicates(
         spark.createDataFrame([(v,) for v in values], "simhash long"), tile=32).collect()}
     parent = {v: v for v in values}
@@ -103,6 +103,6 @@ def test_crowded_key_of_many_parts(spark):
         return v
     for i, a in enumerate(values):
         for b in values[:i]:
-            if bin(a ^ b).count("1") <= 3 and find(a) != find(b):
+            if bin((a ^ b) & (1 << 64) - 1).count("1") <= 3 and find(a) != find(b):
                 parent[max(find(a), find(b))] = min(find(a), find(b))
     assert got == {v: find(v) for v in set(values)}
