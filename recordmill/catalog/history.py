@@ -14,6 +14,8 @@ from recordmill.operators import dedup as D
 from recordmill.operators import ranking as R
 from recordmill.operators import reconcile as Z
 from recordmill.operators import upsert as U
+from recordmill.operators.bucketed import BucketTable
+from recordmill.session import shared_dir
 
 # --- Duplicates and changes ----------------------------------------------------------------------
 
@@ -114,23 +116,38 @@ def job_table(t: Tables) -> DataFrame:
     )
 
 
-@query("upsert_records", on("job_rows", """
+def job_arrivals(t: Tables) -> DataFrame:
+    """The job rows again, changed, a third of them under new URLs."""
+    return job_table(t).withColumns({
+        "source_url": F.when(F.col("seq") % 3 == 0, F.concat("source_url", F.lit("#new"))).otherwise(F.col("source_url")),
+        "source_name": F.lit("again"), "company": F.concat("company", F.lit(" v2")), "is_remote": ~F.col("is_remote"),
+        "role_family": F.lit("Other"), "collected_at": F.lit("t1"),
+    })
+
+
+_SQL_UPSERTED = on("job_rows", """
     , both_sides AS (SELECT source_url, seq AS ord, source_name, company, is_remote, job_title AS role_family, 't0' AS collected_at, 0 AS late FROM f
       UNION ALL SELECT CASE WHEN seq % 3 = 0 THEN source_url || '#new' ELSE source_url END, seq, 'again', company || ' v2', NOT is_remote, 'Other', 't1', 1 FROM f)
     SELECT source_url, arg_max(company, late * 1000000000000 + ord) AS company, arg_min(source_name, late * 1000000000000 + ord) AS source_name,
       arg_min(is_remote, late * 1000000000000 + ord) AS is_remote, arg_min(role_family, late * 1000000000000 + ord) AS role_family,
-      arg_max(collected_at, late * 1000000000000 + ord) AS collected_at FROM both_sides GROUP BY source_url"""))
+      arg_max(collected_at, late * 1000000000000 + ord) AS collected_at FROM both_sides GROUP BY source_url""")
+
+
+@query("upsert_records", _SQL_UPSERTED)
 def _(t: Tables):
     stored = U.merge_by_key(job_table(t), "source_url", "seq", UPSERT_UPDATED["jobs"])
-    arrivals = job_table(t).withColumns({
-        "source_url": F.when(F.col("seq") % 3 == 0, F.concat("source_url", F.lit("#new"))).otherwise(F.col("source_url")),
-        "source_name": F.lit("again"), "company": F.concat("company", F.lit(" v2")), "is_remote": ~F.col("is_remote"),
-        "role_family": F.lit("Other"), "collected_at": F.lit("t1"),
-    })
-    merged = U.upsert_records("jobs", stored, arrivals)
+    merged = U.upsert_records("jobs", stored, job_arrivals(t))
     return merged.select("source_url", "company", "source_name", "is_remote", "role_family", "collected_at")
 
 
+@query("upsert_bucketed", _SQL_UPSERTED)
+def _(t: Tables):
+    table = BucketTable(t.spark, shared_dir(t.spark, "job-buckets"), "source_url", 16)
+    for rows in (job_table(t), job_arrivals(t)):
+        table.merge(rows, "seq", UPSERT_UPDATED["jobs"])
+    return table.read().select("source_url", "company", "source_name", "is_remote", "role_family", "collected_at")
+
+
 def customer_master(t: Tables) -> DataFrame:
     key = F.col("c_custkey")
     return t.customer.select(

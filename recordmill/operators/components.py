@@ -108,7 +108,8 @@ def _by_group(frames: Iterator[pd.DataFrame], near: Near, block: int) -> Iterato
 def _compared(rows: DataFrame, near: Near, block: int) -> DataFrame:
     """Close pairs (a, b) with their labels (x, y) that join the labels of rows (group, id, label, and what
     ``near`` reads)."""
-    made = rows.repartition("group").sortWithinPartitions("group")
+    # In the order of ids, so that equal tiles of several keys give equal links.
+    made = rows.repartition("group").sortWithinPartitions("group", "id")
     return cut_lineage(
         made.mapInPandas(lambda frames: _by_group(frames, near, block), "a long, b long, x long, y long").distinct(), "links")
 
