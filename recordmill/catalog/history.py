@@ -11,6 +11,7 @@ from recordmill.fixed_values import FIXTURE_KEYWORDS, FORBIDDEN_EXPORT_TERMS, UP
 from recordmill.functions.classify import is_fixture
 from recordmill.functions.names import normalize_domain
 from recordmill.operators import dedup as D
+from recordmill.operators import membership
 from recordmill.operators import ranking as R
 from recordmill.operators import reconcile as Z
 from recordmill.operators import upsert as U
@@ -73,6 +74,22 @@ def _(t: Tables):
 _STORED_URL = "CASE WHEN page_id % 3 = 0 THEN url ELSE url || '#other' END"
 
 
+@query("skip_known_filtered", "SELECT page_id, url FROM pages WHERE page_id % 3 <> 0")
+def _(t: Tables):
+    stored, path = t.pages.selectExpr(f"{_STORED_URL} AS url"), shared_dir(t.spark, "url-filter")
+    membership.build(stored, ["url"], path)
+    return membership.skip_known(t.pages.select("page_id", "url"), stored, ["url"], path)
+
+
+@query("unchanged_filtered", on("pages_versions", """SELECT seq, url FROM f WHERE version = 2
+    AND EXISTS (SELECT 1 FROM f g WHERE g.version = 1 AND g.url = f.url AND g.raw_content = f.raw_content)"""))
+def _(t: Tables):
+    again, known = fetched_again(t)
+    path = shared_dir(t.spark, "content-filter")
+    membership.build(known, ["url", "content_hash"], path)
+    return membership.only_known(again, known, ["url", "content_hash"], path).select("seq", "url")
+
+
 @query("skip_known_urls", "SELECT page_id, url FROM pages WHERE page_id % 3 <> 0")
 def _(t: Tables):
     return D.skip_known(t.pages.select("page_id", "url"), t.pages.selectExpr(f"{_STORED_URL} AS url")).select("page_id", "url")
