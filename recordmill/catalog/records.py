@@ -16,6 +16,7 @@ from recordmill.operators import sinks as K
 from recordmill.operators import validate as V
 from recordmill.operators.audits import audit_jobs
 from recordmill.operators.chunks import merge_partials
+from recordmill.operators.vector_index import build_index, search
 from recordmill.operators.vectors import similar_vectors
 from recordmill.schemas import RECORD_RULES, Rule
 from recordmill.session import shared_dir
@@ -441,6 +442,13 @@ def _(t: Tables):
     return similar_vectors(t.embeddings, "vec_id", "embedding", list(wanted[0]), 20)
 
 
+@query("similar_vectors_indexed")
+def _(t: Tables):
+    # Every twentieth row asks all rows for its ten most similar ones.
+    index = build_index(t.embeddings, "vec_id", "embedding", 10)
+    return search(index, index.table.filter("vec_id % 20 = 0"), 10)
+
+
 # --- Exports -----------------------------------------------------------------------------------------------------
 
 
