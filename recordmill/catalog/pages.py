@@ -29,7 +29,8 @@ from recordmill.operators.ranking import (
 from recordmill.operators.sinks import landed
 from recordmill.sources import feeds, jobs, news, pages, papers, products, startups
 from recordmill.sources.registry import default_registry
-from recordmill.sources.tables import table_read
+from recordmill.session import shared_dir
+from recordmill.sources.tables import raw_scan, table_read
 
 _ISO = "'%Y-%m-%dT%H:%M:%SZ'"
 
@@ -50,7 +51,10 @@ def page_payloads(t: Tables) -> DataFrame:
 
 @query("raw_scan", "SELECT page_id AS seq, url, length(html) AS chars, 200 AS http_status FROM pages")
 def _(t: Tables):
-    return page_payloads(t).select(
+    # The payloads are landed as parquet and read back by the operator.
+    path = shared_dir(t.spark, "landing")
+    page_payloads(t).write.parquet(path)
+    return raw_scan(t.spark, path).select(
         "seq", "url", F.length("raw_content").cast("bigint").alias("chars"), "http_status"
     )
 

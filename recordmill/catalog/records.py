@@ -14,12 +14,13 @@ from recordmill.operators import lookups as L
 from recordmill.operators import papers as P
 from recordmill.operators import sinks as K
 from recordmill.operators import validate as V
-from recordmill.operators.audits import audit_jobs
+from recordmill.operators.audits import audit_jobs, union_all
 from recordmill.operators.chunks import merge_partials
 from recordmill.operators.vector_index import build_index, search
 from recordmill.operators.vectors import similar_vectors
 from recordmill.schemas import RECORD_RULES, Rule
 from recordmill.session import shared_dir
+from recordmill.sources.feeds import unreadable
 
 # --- Validation ---------------------------------------------------------------------------------
 
@@ -153,7 +154,8 @@ for _kind, _name in (
     SELECT seq, errors, errors = '' AS valid FROM (SELECT seq, CASE record_type WHEN 'JOB' THEN {sql_errors('JOB')}
       WHEN 'PRODUCT' THEN {sql_errors('PRODUCT')} ELSE 'no schema registered for ''' || record_type || '''' END AS errors FROM f)"""))
 def _(t: Tables):
-    checked = V.validate_by_type(t.frame("payload_mixed"))
+    mixed = t.frame("payload_mixed")
+    checked = V.validate_by_type(mixed, types=V.present_types(mixed))
     return checked.select("seq", F.array_join("errors", "; ").alias("errors"), "valid")
 
 
@@ -190,6 +192,23 @@ def _(t: Tables):
     return rows.select("dlq_id", "source_url", "error_message", "failed_component")
 
 
+FRAMES["listings"] = """
+    SELECT page_id AS seq, url, CASE page_id % 3 WHEN 0 THEN 'rss' WHEN 1 THEN 'papers' ELSE 'story' END AS kind,
+      CASE page_id % 9 WHEN 0 THEN '<rss><channel><item><link>' || url || '</link></item></channel></rss>' WHEN 3 THEN '<rss><channel></channel></rss>'
+        WHEN 6 THEN html WHEN 1 THEN '[]' WHEN 4 THEN '{"error":1}' WHEN 7 THEN '[{' WHEN 2 THEN '{"id":1}' WHEN 5 THEN '[1]' ELSE '' END AS raw_content
+    FROM pages"""
+
+
+@query("unreadable_listings", on("listings", """SELECT seq, url AS source_url, 'EXTRACTION_OR_VALIDATION_FAILED' AS error_category,
+    'unreadable ' || kind || ' listing' AS error_message, substr(raw_content, 1, 200) AS preview FROM f WHERE page_id % 9 IN (6, 4, 7, 5, 8)""".replace("page_id", "seq")))
+def _(t: Tables):
+    rows = t.frame("listings")
+    bad = union_all([unreadable(rows.filter(F.col("kind") == k), k) for k in ("rss", "papers", "story")])
+    letters = V.dead_letters(
+        bad, F.lit("EXTRACTION_OR_VALIDATION_FAILED"), F.lit("ExtractionLayer"), F.col("reason"))
+    return letters.select("seq", "source_url", "error_category", "error_message", "preview")
+
+
 _STEPS = """SELECT event_id, user_id % 5 = 0 AS duplicate, event_id % 7 <> 0 AS fetched, event_type IN ('click', 'view') AS needs_gate,
     CASE event_id % 3 WHEN 0 THEN 'FRESH' WHEN 1 THEN 'STALE' ELSE 'UNKNOWN' END AS gate, event_id % 11 <> 1 AS extracted, event_id % 13 <> 2 AS valid FROM events"""
 FRAMES["steps"] = _STEPS

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from recordmill.session import cut_lineage
 
+from recordmill.operators.dedup import pick_by
+
 
 def positions(df: DataFrame, strata: list[str], seq: str, parts: int | None = None) -> DataFrame:
     """Adds ``position`` (1-based, by ``seq``, which is unique) and ``stratum_rows``.
@@ -63,7 +65,7 @@ def multi_facet_discovery(listings: DataFrame, rows: int) -> DataFrame:
 
 def first_source_wins(listings: DataFrame) -> DataFrame:
     """A URL belongs to the source with the lowest priority number that lists it."""
-    return listings.groupBy("url").agg(F.min_by("source_name", "priority").alias("source_name"))
+    return pick_by(listings.select("url", "source_name", "priority"), ["url"], "priority", newest=False).drop("priority")
 
 
 def sample_head(df: DataFrame, order: list[Column], rows: int) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from recordmill.functions.text import url_fingerprint
 from recordmill.operators.audits import union_all
+from recordmill.operators.dedup import pick_by
 from recordmill.schemas import RECORD_RULES, Rule
 from recordmill.session import cut_lineage
 
@@ -229,17 +230,9 @@ def first_valid_candidate(
     candidates: DataFrame, record_type: str
 ) -> tuple[DataFrame, DataFrame]:
     """Per record the lowest tier whose candidate parses and validates, and the records for which
-    no tier does. One aggregate decides both."""
+    no tier does. Payloads stay out of the aggregate: one valid row per record and task is shuffled."""
     checked = validate(candidates, record_type)
-    picked = checked.groupBy("record_id").agg(
-        F.min_by(
-            F.when(F.col("valid"), F.struct("tier", "payload")),
-            F.when(F.col("valid"), F.col("tier")),
-        ).alias("best"),
-        F.count(F.lit(1)).alias("tiers_tried"),
-    )
-    chosen = picked.filter(F.col("best").isNotNull()).select(
-        "record_id", "best.tier", "best.payload"
-    )
-    exhausted = picked.filter(F.col("best").isNull()).select("record_id", "tiers_tried")
-    return chosen, exhausted
+    chosen = pick_by(
+        checked.filter("valid").select("record_id", "tier", "payload"), ["record_id"], "tier", newest=False)
+    tried = checked.groupBy("record_id").agg(F.max("valid").alias("found"), F.count(F.lit(1)).alias("tiers_tried"))
+    return chosen, tried.filter(~F.col("found")).select("record_id", "tiers_tried")

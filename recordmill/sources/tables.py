@@ -26,5 +26,5 @@ def read_feed_items(spark: SparkSession, path: str) -> DataFrame:
 def table_read(spark: SparkSession, folder: str, name: str, extra: tuple[str, ...] = ()) -> DataFrame:
     """A record table by name. Names outside the list are refused."""
     if name not in READABLE_TABLES and name not in extra:
-        raise ValueError(f"Invalid table name: {name}")
+        raise ValueError(f"no readable table is called {name!r}")
     return spark.read.parquet(f"{folder}/{name}.parquet")

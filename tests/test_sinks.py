@@ -43,7 +43,7 @@ def test_feed_files(spark, tmp_path):
 
 
 def test_unknown_table(spark):
-    with pytest.raises(ValueError, match="Invalid table name"):
+    with pytest.raises(ValueError, match="no readable table"):
         table_read(spark, "/nowhere", "sqlite_master")
 
 
