@@ -202,6 +202,57 @@ def test_allow_list(spark):
     assert {r["v"]: r["r"] for r in rows} == values
 
 
+KEY = "aB3dE5gH7jK9mN1pQ4sTuVw"
+PROBES = {
+    "qWeRtYuIoPaSdFgHjKlZxCvBnMQaZ": True, "83920174650918273645": True, f"sample/{KEY}": True, f"{KEY}AAAAAA{KEY[::-1]}": True,
+    "sample_key_sample_key_sample_key_1": False, "12345678901234567890": False, "1" * 30: False, "InternationalizationOfThings": False,
+    "internationalizations": False, "AAAAAAAAAAAAAAAAAAAAAAAAAAAA": False, "a/path/of/many/parts/in/files3": False,
+}
+
+
+def test_secret_classes(spark):
+    rows = [(i, f"see {v} here") for i, v in enumerate(PROBES)]
+    got = by_id(secret_scan.digest(secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id long, text string"))))
+    found = {v: f"entropy:4:{4 + len(v)}" in got[i]["spans"].split(",") for i, v in enumerate(PROBES)}
+    assert found == PROBES
+
+
+def plain_random(v):
+    """The rule for a candidate, window by window."""
+    windows = [v[i:i + 20] for i in range(len(v) - 19)]
+    bits = [-sum(c / 20 * np.log2(c / 20) for c in Counter(w).values()) for w in windows]
+    at = next(i for i, b in enumerate(bits) if b > max(bits) - 1e-9)
+    least = 2.7 if v.isdigit() else 3.0 if re.fullmatch("[0-9a-f_-]+|[0-9A-F_-]+", v) else 3.7 if v.isalpha() else 3.6
+    pieces = [(m.start(), m.end()) for m in re.finditer("[A-Za-z0-9]+", v)]
+    part = next((v[a:b] for a, b in pieces if a < at + 10 < b or a <= at + 10 < b or a < at + 10 <= b), "")
+    return (bits[at] >= least and not re.search("example|sample|dummy|placeholder|changeme|redacted|xxxx", part, re.I)
+            and not re.search(r"(.)\1{5}", windows[at]) and not re.search("abcdefgh|01234567|12345678", windows[at], re.I)
+            and not re.fullmatch("[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}", v)
+            and not re.fullmatch("[a-z]*(?:[/_-][a-z]*){3,}[0-9]*", v))
+
+
+def test_entropy_spans_of_whole_texts(spark, texts):
+    """Candidates by a plain scan of runs, judged window by window, over all documents and random runs."""
+    dice = np.random.default_rng(8)
+    letters = list("abcdefXYZ0123456789+/_-")
+    made = dict(texts)
+    for i in range(60):
+        made[-100 - i] = " ".join("".join(dice.choice(letters, dice.integers(15, 60))) for _ in range(5)) + f" é{KEY} {i * 7919:025d}"
+    got = by_id(secret_scan.digest(secret_scan.find_secrets(spark.createDataFrame(list(made.items()), "doc_id long, text string"))))
+    total = 0
+    for k, t in made.items():
+        want = set()
+        for m in re.finditer("[A-Za-z0-9+/_-]{20,}", t):
+            v = m[0]
+            mixed = re.search("[0-9]", v) and re.search("[A-Za-z]", v)
+            cases = v.isalpha() and sum(c.isupper() for c in v) >= 3 and sum(c.islower() for c in v) >= 3
+            if (mixed or v.isdigit() or cases) and plain_random(v):
+                want.add(f"entropy:{m.start()}:{m.end()}")
+        total += len(want)
+        assert {x for x in got[k]["spans"].split(",") if x.startswith("entropy")} == want, k
+    assert total > 60
+
+
 def luhn(d):
     return sum(int(x) if i % 2 == 0 else sum(divmod(2 * int(x), 10)) for i, x in enumerate(reversed(d))) % 10 == 0
 
