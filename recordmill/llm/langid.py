@@ -2,7 +2,9 @@
 
 Training counts n-grams per language in every task and adds the counts up in one aggregation. The
 log-probability matrix has ``buckets`` rows and one column per language, so its size is bounded and
-it is broadcast. Scoring is numpy over whole batches: hash, gather rows, add up per document.
+it is broadcast. Scoring takes texts in blocks: their n-grams are one sparse matrix of documents by
+buckets, held as a list of buckets with the place where each document begins, and one product with the
+log-probability matrix (gather the rows, add up between the places) scores the block.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ BUCKETS = 1 << 16
 ORDERS = (2, 3)
 #: Characters scored at a time, which bounds memory for texts of any length.
 CHUNK_CHARS = 1 << 20
+#: Characters of the texts that are scored together.
+BLOCK_CHARS = 1 << 18
 #: Languages that the broadcast matrix may hold.
 MAX_LANGUAGES = 1024
 UNKNOWN = "und"
@@ -110,29 +114,54 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", buckets: int =
     return Model(languages, logs.astype(np.float32), priors)
 
 
+def block_scores(texts: list[str], logs: np.ndarray, priors: np.ndarray) -> np.ndarray:
+    """Log probabilities of (texts, languages) by one sparse product."""
+    grams, rows = [], []
+    for i, t in enumerate(texts):
+        for piece in _pieces(t):
+            grams.append(_grams(piece, len(logs)))
+            rows.append(i)
+    sizes = np.array([len(g) for g in grams])
+    starts, held = np.cumsum(sizes) - sizes, np.flatnonzero(sizes)
+    out = np.tile(priors, (len(texts), 1))
+    if len(held):
+        sums = np.add.reduceat(logs[np.concatenate(grams)], starts[held], axis=0, dtype=np.float64)
+        np.add.at(out, np.array(rows)[held], sums)
+    return out
+
+
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: id, lang_pred, score (posterior of the predicted language). Null texts
     and texts without a letter give ``und`` with score 0, as do all texts when nothing was learned;
-    ties go to the language first in order. Repeated rows stay repeated, other columns are ignored."""
+    ties go to the language first in order. Ids may be null; repeated rows stay repeated; an empty table
+    gives an empty one; other columns are ignored."""
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.logs, model.priors))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages, logs, priors = shared.value
         for batch in batches:
-            names, scores = [], []
-            for t in batch.column(1):
-                t = t.as_py()
-                if not languages or t is None or not _has_letter(t):
-                    names.append(UNKNOWN)
-                    scores.append(0.0)
+            names, scores = [UNKNOWN] * len(batch), np.zeros(len(batch))
+            block: list[tuple[int, str]] = []
+            held = 0
+
+            def decide() -> None:
+                if block:
+                    total = block_scores([t for _, t in block], logs, priors)
+                    best = total.argmax(axis=1)
+                    top = total[np.arange(len(best)), best]
+                    for (i, _), k, p in zip(block, best, 1.0 / np.exp(total - top[:, None]).sum(axis=1), strict=True):
+                        names[i], scores[i] = languages[k], p
+                    block.clear()
+
+            for i, t in enumerate(batch.column(1).to_pylist() if languages else []):
+                if t is None or not _has_letter(t):
                     continue
-                total = priors.copy()
-                for piece in _pieces(t):
-                    total += np.bincount(_grams(piece, len(logs)), minlength=len(logs)) @ logs if len(piece) > 20_000 \
-                        else logs[_grams(piece, len(logs))].sum(axis=0, dtype=np.float64)
-                best = int(np.argmax(total))
-                names.append(languages[best])
-                scores.append(float(1.0 / np.exp(total - total[best]).sum()))
+                block.append((i, t))
+                held += len(t)
+                if held >= BLOCK_CHARS:
+                    decide()
+                    held = 0
+            decide()
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], [id_col, "lang_pred", "score"])
 
@@ -141,5 +170,5 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "
 
 
 def fold(id_col: Column, of: int) -> Column:
-    """crc32 of the id's text, modulo ``of``."""
-    return F.crc32(id_col.cast("string").cast("binary")) % of
+    """crc32 of the id's text, modulo ``of``; -1, which is no fold, for a null id."""
+    return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % of, F.lit(-1))

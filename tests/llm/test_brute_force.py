@@ -456,3 +456,40 @@ def test_confirmed_links_in_a_crowded_component(spark):
         assert all(len(sets[r["a"]] & sets[r["b"]]) >= 0.8 * len(sets[r["a"]] | sets[r["b"]]) for r in links.collect())
         label = {r["id"]: r["component"] for r in simhash.components(links).collect()}
         assert sorted({label.get(k, k) for k in made}) == first_ids(made)
+
+
+def plain_grams(text):
+    """Buckets of all 2- and 3-grams, character by character."""
+    codes = [32, *(c if 97 <= c < 123 or c >= 0xC0 else 32 for c in map(ord, text.lower())), 32]
+    for n in (2, 3):
+        for i in range(len(codes) - n + 1):
+            h = sum(c * f for c, f in zip(codes[i:i + n], (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D), strict=False)) & 0xFFFFFFFF
+            yield h >> 16
+
+
+def test_languages_by_plain_counts(spark):
+    """Naive Bayes with dictionaries, document by document, against the batch product."""
+    rows = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang").collect()
+    counts, sizes = {}, Counter()
+    for r in rows:
+        if r["text"] is not None and r["lang"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2:
+            counts.setdefault(r["lang"], Counter()).update(plain_grams(r["text"]))
+            sizes[r["lang"]] += 1
+    totals = {x: sum(c.values()) + 65536 for x, c in counts.items()}
+    got = by_id(QUERIES["op10_language_id"](spark, FOLDER))
+    for r in rows:
+        mine = got[r["doc_id"]]
+        assert mine["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
+        if r["text"] is None or not any(map(str.isalpha, r["text"])):
+            assert (mine["lang_pred"], mine["score"]) == ("und", 0.0)
+            continue
+        grams = Counter(plain_grams(r["text"]))
+        logs = {x: np.log(sizes[x] / sum(sizes.values())) + sum(n * np.log((c[g] + 1) / totals[x]) for g, n in grams.items()) for x, c in counts.items()}
+        best = max(sorted(logs), key=logs.get)
+        assert mine["lang_pred"] == best
+        assert abs(mine["score"] - 1 / sum(np.exp(v - logs[best]) for v in logs.values())) < 1e-3
+
+
+def test_a_null_id_is_in_no_fold(spark):
+    got = spark.createDataFrame([(None,), (5,)], "id long").select(langid.fold(F.col("id"), 4).alias("f")).collect()
+    assert got[0]["f"] == -1 and 0 <= got[1]["f"] < 4
