@@ -63,21 +63,19 @@ def paper_page_extract(df: DataFrame, ref: Column, collected_at: Column) -> Data
         parse_timestamp(cite("date"), ref), parse_timestamp(strip(element("div", "dateline")), ref)
     )
     content = F.struct(
-        H.decode_entities(
-            F.coalesce(
-                first_given(strip(cite("title")), strip(element("h1", "title"))),
-                F.lit("Untitled arXiv Paper"),
-            )
-        ).alias("title"),
+        F.col("_title").alias("title"),
         authors.alias("authors"),
         F.col("url").alias("paper_url"),
         github_url(F.get(F.regexp_extract_all(page, F.lit(r"https?://github\.com/[a-zA-Z0-9_\-.]+/[a-zA-Z0-9_\-.]+"), F.lit(0)), 0)).alias("github_url"),
         F.lit(None).cast("bigint").alias("github_stars"),
         iso8601(dated).alias("published_date"),
-        H.decode_entities(
-            first_given(strip(cite("abstract")), strip(element("blockquote", "abstract")))
-        ).alias("abstract"),
+        F.col("_abstract").alias("abstract"),
         F.lit("cs.AI").alias("primaryCategory"),
     )
-    tagged = df.withColumn("_tags", H.meta_tags(page))
+    # Texts are columns before they are decoded: a Python function takes no nested lambdas as arguments.
+    tagged = H.decode_columns(df.withColumn("_tags", H.meta_tags(page)).withColumns({
+        "_title": F.coalesce(
+            first_given(strip(cite("title")), strip(element("h1", "title"))), F.lit("Untitled arXiv Paper")),
+        "_abstract": first_given(strip(cite("abstract")), strip(element("blockquote", "abstract"))),
+    }), "_title", "_abstract")
     return envelope(tagged, "RESEARCH_PAPER", F.lit("ArXiv"), F.col("url"), content, collected_at)
