@@ -34,6 +34,8 @@ BLOCK = 256
 LANES = 128
 SCORED_BYTES = 6 << 20
 RECORD_BYTES = 1 << 16
+#: Bytes of text whose slots are counted at a time, which with the counts of all slots bounds memory.
+COUNTED_BYTES = 3 << 20
 #: Most frequent tokens whose counts are broadcast; all others meet their counts in a join.
 FREQUENT = 1 << 16
 GATES, BUCKETS, RATE, REFINE = 4, 24, 0.002, 0.02
@@ -48,22 +50,24 @@ def signed(h: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def contexts(stream: np.ndarray, orders=ORDERS, bits: int = SLOT_BITS) -> list[np.ndarray]:
-    """For each order, rising, the slot of symbol 0 under the context of every byte; the symbol or
+def contexts(stream: np.ndarray, orders=ORDERS, bits: int = SLOT_BITS) -> Iterator[np.ndarray]:
+    """For each order, rising and one at a time, the slot of symbol 0 under the context of every byte; the symbol or
     node is added to it. ``stream`` has zeros before each text, as many as the longest order. The hash
     of a longer context goes on from that of a shorter one."""
     pad = max(orders)
     s = stream.astype(np.uint32)
     s += np.uint32(1)
     h = np.zeros(len(s) - pad, np.uint32)
-    out, keep = [], np.uint32((1 << (bits - 8)) - 1)
+    keep = np.uint32((1 << (bits - 8)) - 1)
     for k in range(1, pad + 1):
         h += s[pad - k:len(s) - k]
         h *= np.uint32(0x9E3779B1)
         h ^= h >> np.uint32(15)
         if k in orders:
-            out.append((h & keep) << np.uint32(8))
-    return out
+            slots = h & keep
+            slots <<= np.uint32(8)
+            yield slots
+            del slots
 
 
 def _stream(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -118,7 +122,7 @@ def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = np.array([signed(xxhash.xxh64_intdigest(w, 42)) for w in seen] + [signed(_END_HASH)], np.int64)
         yield _rows(0, hashes, np.array([*seen.values(), len(texts)]))
         del seen
-        for part in _parts(texts, 8 << 20):
+        for part in _parts(texts, COUNTED_BYTES):
             data, own = _stream(part)
             yield _counted(1, _followers(data)[own])
 
@@ -127,11 +131,14 @@ def _slot_rows(batches: Iterator[pa.RecordBatch], ranks: np.ndarray) -> Iterator
     """Counts of (hashed context, rank) slots, one kind per order."""
     for batch in batches:
         texts = [t.lower() for t in batch.column(0).cast(pa.binary()).to_pylist()]
-        for part in _parts(texts, 8 << 20):
+        for part in _parts(texts, COUNTED_BYTES):
             data, own = _stream(part)
             rank = ranks[_followers(data)[own]]
             for i, base in enumerate(contexts(data)):
-                yield _counted(i, base[own] + rank)
+                slots = base[own]
+                del base
+                slots += rank
+                yield _counted(i, slots)
 
 
 class Tree:
