@@ -147,7 +147,8 @@ def spanning_links(
         n = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *total)
         return n.select(*by, "n", _tiles(F.col("n"), tile, F.col("weight") if total else None, tile_weight).alias("tiles"))
 
-    sizes = cut_lineage(sized(members, "key").filter("n > 1"), "group-sizes")
+    # Keys of one member, nearly all, are gone here; while the others are few, members stay where they are.
+    sizes = join_side(sized(members, "key").filter("n > 1"), "group-sizes")
     dealt = members.join(sizes, "key").select(
         F.xxhash64("key", _tile(F.col("tiles"))).alias("group"), "id", F.col("id").alias("label"), *payload)
     links = _compared(dealt, near, block)
