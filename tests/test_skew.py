@@ -106,3 +106,11 @@ def test_crowded_key_of_many_parts(spark):
             if bin((a ^ b) & (1 << 64) - 1).count("1") <= 3 and find(a) != find(b):
                 parent[max(find(a), find(b))] = min(find(a), find(b))
     assert got == {v: find(v) for v in set(values)}
+
+
+def test_window_gathers_nothing_in_the_driver(spark):
+    """Spark's own broadcasts are up to 10 MB compressed, which is many times that in the driver."""
+    timed = rows(spark).select("seq", F.xxhash64("k").alias("simhash"), F.timestamp_seconds(F.col("seq") * 60).alias("ts"))
+    flagged = fingerprints.near_dup_window(timed, "seq", "ts")
+    flagged.collect()
+    assert "Broadcast" not in flagged._jdf.queryExecution().executedPlan().toString()
