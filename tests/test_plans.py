@@ -155,3 +155,23 @@ def test_lowest_place_wins_inside_a_batch(spark, tmp_path):
     S.stream_dedup_ttl(spark.readStream.schema(rows.schema).parquet(source), out, cp).awaitTermination()
     got = spark.read.option("basePath", out).parquet(out)
     assert sorted(r["seq"] for r in got.collect()) == [0, 3, 6]
+
+
+def test_ttl_in_a_session_with_another_state_store(spark, tmp_path):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        test_lowest_place_wins_inside_a_batch(spark, tmp_path)
+        assert "HDFSBacked" in spark.conf.get(name)
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_tables_of_several_files_as_streams(spark, tmp_path):
+    from recordmill.catalog import QUERIES
+
+    pages = spark.range(12).selectExpr("id AS page_id", "'https://h.org/' || id AS url", "'<p>' || id AS html")
+    pages.repartition(3).write.parquet(f"{tmp_path}/pages.parquet")
+    assert QUERIES["stream_land"](spark, str(tmp_path)).count() == 12
+    assert QUERIES["stream_dedup_ttl"](spark, str(tmp_path)).count() == 24
