@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from recordmill.catalog.base import FRAMES, REF_TEXT, Tables, on, query, ref
 from recordmill.catalog.pages import (
+    SQL_LISTED,
     SQL_PAGE_TITLE,
     at,
     feed_metadata,
@@ -87,9 +88,9 @@ _FEED = "CASE page_id % 5 WHEN 0 THEN 'TechCrunchAI' WHEN 1 THEN 'HuggingFaceDai
 
 
 @query("news_sources_all", f"""SELECT seq, source_name, title,
-      CASE WHEN seq % 5 <> 4 AND listed AND seq % 4 = 0 THEN 'From OpenAI' ELSE coalesce(nullif(substr(m, 1, 300), ''), 'none') END AS summary
-    FROM (SELECT seq, source_name, m, seq % 3 <> 2 AS listed, CASE WHEN seq % 3 <> 2 AND seq % 2 = 0 THEN 'Feed ' || CAST(seq AS STRING) ELSE h END AS title
-      FROM (SELECT page_id AS seq, {_FEED} AS source_name, {SQL_PAGE_TITLE} AS h, {sql_main_text('html')} AS m FROM pages))""")
+      CASE WHEN seq % 5 <> 4 AND f % 4 = 0 THEN 'From OpenAI' ELSE coalesce(nullif(substr(m, 1, 300), ''), 'none') END AS summary
+    FROM (SELECT seq, source_name, m, f, CASE WHEN f % 2 = 0 THEN 'Feed ' || CAST(f AS STRING) ELSE h END AS title
+      FROM (SELECT page_id AS seq, f, {_FEED} AS source_name, {SQL_PAGE_TITLE} AS h, {sql_main_text('html')} AS m FROM {SQL_LISTED}))""")
 def _(t: Tables):
     pages = page_payloads(t)
     named = pages.withColumn("source_name", F.expr(_FEED.replace("page_id", "seq")))

@@ -533,18 +533,23 @@ def feed_metadata(t: Tables) -> DataFrame:
     return first.unionByName(second)
 
 
-@query("metadata_attach", """SELECT page_id, CASE WHEN page_id % 3 <> 2 AND page_id % 2 = 0 THEN 'Feed ' || CAST(page_id AS STRING) END AS feed_title,
-    CASE WHEN page_id % 3 <> 2 THEN '2024-01-30' END AS feed_date FROM pages""")
+#: The pages with ``f``, the page whose feed item counts for their address: the last that is listed under it.
+SQL_LISTED = """(SELECT pages.*, f FROM pages LEFT JOIN
+    (SELECT CASE WHEN page_id % 3 = 2 THEN url || '#moved' ELSE url END AS url, max(page_id) AS f FROM pages GROUP BY 1) USING (url))"""
+
+
+@query("metadata_attach", f"""SELECT page_id, CASE WHEN f % 2 = 0 THEN 'Feed ' || CAST(f AS STRING) END AS feed_title,
+    CASE WHEN f IS NOT NULL THEN '2024-01-30' END AS feed_date FROM {SQL_LISTED}""")
 def _(t: Tables):
     joined = metadata_attach(t.pages, feed_metadata(t))
     return joined.select("page_id", F.col("feed.title").alias("feed_title"), F.col("feed.pub_date").alias("feed_date"))
 
 
-@query("rss_news", f"""SELECT seq, title, summary, m AS full_text, CASE WHEN seq % 3 <> 2 THEN '2024-01-30T00:00:00Z' ELSE '' END AS published_date,
+@query("rss_news", f"""SELECT seq, title, summary, m AS full_text, CASE WHEN f IS NOT NULL THEN '2024-01-30T00:00:00Z' ELSE '' END AS published_date,
       {sql_mentions("title || ' ' || summary || ' ' || m")} AS entities
-    FROM (SELECT seq, m, CASE WHEN seq % 3 <> 2 AND seq % 2 = 0 THEN 'Feed ' || CAST(seq AS STRING) ELSE coalesce(nullif(h, ''), 'TechCrunch AI News') END AS title,
-            CASE WHEN seq % 3 <> 2 AND seq % 4 = 0 THEN 'From OpenAI' ELSE substr(m, 1, 300) END AS summary
-      FROM (SELECT page_id AS seq, {SQL_PAGE_TITLE} AS h, {sql_main_text('html')} AS m FROM pages))""")
+    FROM (SELECT seq, f, m, CASE WHEN f % 2 = 0 THEN 'Feed ' || CAST(f AS STRING) ELSE coalesce(nullif(h, ''), 'TechCrunch AI News') END AS title,
+            CASE WHEN f % 4 = 0 THEN 'From OpenAI' ELSE substr(m, 1, 300) END AS summary
+      FROM (SELECT page_id AS seq, f, {SQL_PAGE_TITLE} AS h, {sql_main_text('html')} AS m FROM {SQL_LISTED}))""")
 def _(t: Tables):
     found = news.rss_news(page_payloads(t), feed_metadata(t), "TechCrunchAI", ref(), at())
     c = "content."
