@@ -413,9 +413,9 @@ def _(t: Tables):
 
 @query("paper_lookups", on("paper_rows", f"""
     , p AS (SELECT id, {sql_arxiv_id('source_url')} AS arxiv_id, category, published_date, github_stars, CASE WHEN github_stars IS NOT NULL THEN 'COMPLETED' WHEN trim(coalesce(github_url, '')) <> '' THEN 'PENDING' ELSE 'NO_DATA' END AS st FROM f)
-    SELECT 'recent' AS lookup, id FROM (SELECT id FROM p WHERE published_date >= '2026-01-01' AND published_date < '3' ORDER BY published_date DESC, arxiv_id NULLS FIRST LIMIT 20)
+    SELECT 'recent' AS lookup, id FROM (SELECT id FROM p WHERE published_date >= '2026-01-01' AND published_date < '3' ORDER BY published_date DESC, arxiv_id NULLS FIRST, id LIMIT 20)
     UNION ALL SELECT 'category', id FROM p WHERE category = 'cs.CL'
-    UNION ALL SELECT 'starred', id FROM (SELECT id FROM p WHERE github_stars IS NOT NULL ORDER BY github_stars DESC, arxiv_id NULLS FIRST LIMIT 20)
+    UNION ALL SELECT 'starred', id FROM (SELECT id FROM p WHERE github_stars IS NOT NULL ORDER BY github_stars DESC, arxiv_id NULLS FIRST, id LIMIT 20)
     UNION ALL SELECT 'by_id', id FROM p WHERE arxiv_id = '2301.10007'
     UNION ALL SELECT 'pending', id FROM p WHERE st = 'PENDING'"""))
 def _(t: Tables):

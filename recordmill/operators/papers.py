@@ -57,10 +57,11 @@ def backfill_papers(df: DataFrame) -> DataFrame:
 
 
 def recent_papers(df: DataFrame, since: Column, rows: int) -> DataFrame:
-    """The newest papers from a date on. What does not begin with a date is not dated."""
+    """The newest papers from a date on; of equal ones those with the lowest arxiv_id, then id. What does
+    not begin with a date is not dated."""
     dated = F.col("published_date").rlike(r"^\d{4}-\d{2}-\d{2}")
     found = df.filter(dated & (F.col("published_date") >= since))
-    return found.orderBy(F.desc("published_date"), "arxiv_id").limit(rows)
+    return found.orderBy(F.desc("published_date"), "arxiv_id", "id").limit(rows)
 
 
 def papers_in_category(df: DataFrame, category: str) -> DataFrame:
@@ -68,8 +69,9 @@ def papers_in_category(df: DataFrame, category: str) -> DataFrame:
 
 
 def top_starred(df: DataFrame, rows: int) -> DataFrame:
+    """The papers with the most stars; of equal ones those with the lowest arxiv_id, then id."""
     found = df.filter(F.col("github_stars").isNotNull())
-    return found.orderBy(F.desc("github_stars"), "arxiv_id").limit(rows)
+    return found.orderBy(F.desc("github_stars"), "arxiv_id", "id").limit(rows)
 
 
 def paper_by_id(df: DataFrame, wanted: str) -> DataFrame:

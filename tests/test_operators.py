@@ -318,3 +318,12 @@ def test_upsert_entity_refuses_taken_names(spark):
         ("e1", "STARTUP", "one ltd"), ("e2", "STARTUP", "two"), ("e4", "COMPANY", "two"), ("e6", "STARTUP", "new")}
     assert {(r["canonical_entity_id"], r["held_by"]) for r in refused.collect()} == {
         ("e3", "e2"), ("e5", "e6"), ("e7", "e1"), (None, None), ("e8", None)}
+
+
+def test_equal_papers_are_taken_by_id(spark):
+    from recordmill.operators.papers import recent_papers, top_starred
+
+    rows = [(i * 7 % 40, "2026-01-02", None, 5) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, published_date string, arxiv_id string, github_stars long").repartition(5)
+    assert sorted(r["id"] for r in recent_papers(df, F.lit("2026-01-01"), 6).collect()) == list(range(6))
+    assert sorted(r["id"] for r in top_starred(df, 6).collect()) == list(range(6))
