@@ -25,7 +25,7 @@ _SQL_FIRST = f"""h AS (SELECT *, {sql_fingerprint('url')} AS url_hash FROM f),
 
 
 @query("dedup_by_url", on("pages_replayed", f""", h AS (SELECT *, {sql_fingerprint('url')} AS url_hash FROM f),
-    d AS (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY url_hash ORDER BY seq NULLS FIRST) = 1) SELECT seq, url, url_hash FROM d"""))
+    d AS (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY url_hash ORDER BY seq NULLS FIRST, url) = 1) SELECT seq, url, url_hash FROM d"""))
 def _(t: Tables):
     return D.dedup_by_url(t.frame("pages_replayed")).select("seq", "url", "url_hash")
 

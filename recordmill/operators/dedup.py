@@ -27,23 +27,24 @@ def row_hash(df: DataFrame) -> Column:
     ])
 
 
-def pick_by(df: DataFrame, keys: list[str], order: str, newest: bool) -> DataFrame:
+def pick_by(df: DataFrame, keys: list[str], order: str, newest: bool, ties: tuple[str, ...] = ()) -> DataFrame:
     """Exactly one whole row per key: the one with the lowest or the highest ``order``. A null order is
-    lower than all others; of rows with equal order the same one is taken in every run. A null key is
-    a key of its own."""
+    lower than all others; of rows with equal order the one with the lowest ``ties``, and where these are
+    equal too the same one in every run. A null key is a key of its own."""
     columns = df.columns
     place = F.col(order).desc_nulls_last() if newest else F.col(order).asc_nulls_first()
-    window = Window.partitionBy(*keys).orderBy(place, F.col("_tie"))
+    window = Window.partitionBy(*keys).orderBy(place, *ties, F.col("_tie"))
     ranked = df.withColumn("_tie", row_hash(df)).withColumn("_rank", F.row_number().over(window))
     return ranked.filter(F.col("_rank") == 1).select(*columns)
 
 
 def dedup_by_url(df: DataFrame, store: DataFrame | None = None) -> DataFrame:
-    """The first row per URL fingerprint; fingerprints already in ``store`` are dropped."""
+    """The first row per URL fingerprint, by ``seq`` (a null before all) and then by URL; fingerprints
+    already in ``store`` are dropped."""
     hashed = df.withColumn("url_hash", url_fingerprint(F.col("url")))
     if store is not None:
         hashed = hashed.join(store.select("url_hash"), "url_hash", "left_anti")
-    return pick_by(hashed, ["url_hash"], "seq", newest=False)
+    return pick_by(hashed, ["url_hash"], "seq", newest=False, ties=("url",))
 
 
 def dedup_report(df: DataFrame) -> DataFrame:

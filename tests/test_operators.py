@@ -327,3 +327,10 @@ def test_equal_papers_are_taken_by_id(spark):
     df = spark.createDataFrame(rows, "id long, published_date string, arxiv_id string, github_stars long").repartition(5)
     assert sorted(r["id"] for r in recent_papers(df, F.lit("2026-01-01"), 6).collect()) == list(range(6))
     assert sorted(r["id"] for r in top_starred(df, 6).collect()) == list(range(6))
+
+
+def test_unplaced_claims_of_one_url_are_taken_by_url(spark):
+    for k in range(12):
+        rows = [(None, f"HTTPS://H.ORG/{k}" + "/" * n) for n in (3, 2, 1)]
+        found = dedup.dedup_by_url(spark.createDataFrame(rows, "seq bigint, url string")).collect()
+        assert [r["url"] for r in found] == [f"HTTPS://H.ORG/{k}/"]
