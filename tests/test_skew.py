@@ -114,3 +114,11 @@ def test_window_gathers_nothing_in_the_driver(spark):
     flagged = fingerprints.near_dup_window(timed, "seq", "ts")
     flagged.collect()
     assert "Broadcast" not in flagged._jdf.queryExecution().executedPlan().toString()
+
+
+def test_labels_beyond_the_limit_are_shuffled(spark, monkeypatch):
+    from recordmill.operators import components as C
+
+    monkeypatch.setattr(C, "LABEL_BYTES", 0)
+    found = C.components(spark.range(300).selectExpr("id AS a", "id + 1 AS b"))
+    assert found.groupBy("component").count().collect()[0]["count"] == 301
