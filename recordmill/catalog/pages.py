@@ -137,7 +137,8 @@ def _(t: Tables):
 
 
 def paper_page_payloads(t: Tables) -> DataFrame:
-    """Half with ``citation_*`` tags, half with page elements only."""
+    """Half with ``citation_*`` tags, half with page elements only. The rows of ``part`` are so short that
+    millions of them lie in one block of a file, which one task would read: they are dealt out first."""
     p = F.col("p_partkey")
     key = p.cast("string")
     cited = F.concat(
@@ -154,7 +155,8 @@ def paper_page_payloads(t: Tables) -> DataFrame:
         F.lit('<blockquote class="abstract mathjax"><span class="descriptor">Abstract:</span> On '),
         F.col("p_type"), F.lit(".</blockquote></body></html>"),
     )
-    return t.part.select(
+    dealt = t.part.select("p_partkey", "p_name", "p_brand", "p_type").repartition(3 * t.spark.sparkContext.defaultParallelism)
+    return dealt.select(
         p.alias("seq"), F.concat(F.lit("https://arxiv.org/abs/p"), key).alias("url"),
         F.lit("ArXiv").alias("source_name"),
         F.when(p % 2 == 0, cited).otherwise(plain).alias("raw_content"),

@@ -44,8 +44,7 @@ def paper_page_extract(df: DataFrame, ref: Column, collected_at: Column) -> Data
 
     def element(tag: str, css: str) -> Column:
         opening = rf"<{tag}\b[^>]*class\s*=\s*[\"'][^\"'>]*{css}[^>]*>"
-        bare = F.regexp_replace(page, r"(?is)<span\b[^>]*descriptor[^>]*>.*?</span\s*>", "")
-        return H.element_text(bare, opening, tag)
+        return H.element_text(F.col("_bare"), opening, tag)
 
     author_box = F.get(
         F.regexp_extract_all(
@@ -59,9 +58,7 @@ def paper_page_extract(df: DataFrame, ref: Column, collected_at: Column) -> Data
     )
     authors = F.when(F.size(cited) > 0, cited).otherwise(linked)
     authors = F.when(F.size(authors) > 0, authors).otherwise(F.array(F.lit("Unknown Author")))
-    dated = F.coalesce(
-        parse_timestamp(cite("date"), ref), parse_timestamp(strip(element("div", "dateline")), ref)
-    )
+    dated = F.coalesce(parse_timestamp(F.col("_cited"), ref), parse_timestamp(F.col("_dateline"), ref))
     content = F.struct(
         F.col("_title").alias("title"),
         authors.alias("authors"),
@@ -72,8 +69,11 @@ def paper_page_extract(df: DataFrame, ref: Column, collected_at: Column) -> Data
         F.col("_abstract").alias("abstract"),
         F.lit("cs.AI").alias("primaryCategory"),
     )
-    # Texts are columns before they are decoded: a Python function takes no nested lambdas as arguments.
-    tagged = H.decode_columns(df.withColumn("_tags", H.meta_tags(page)).withColumns({
+    # Texts are columns before they are decoded: a Python function takes no nested lambdas as arguments. So are
+    # those that are looked at several times, as each look would take them from the page anew.
+    bare = F.regexp_replace(page, r"(?is)<span\b[^>]*descriptor[^>]*>.*?</span\s*>", "")
+    tagged = H.decode_columns(df.withColumns({"_tags": H.meta_tags(page), "_bare": bare}).withColumns({
+        "_cited": cite("date"), "_dateline": strip(element("div", "dateline")),
         "_title": F.coalesce(
             first_given(strip(cite("title")), strip(element("h1", "title"))), F.lit("Untitled arXiv Paper")),
         "_abstract": first_given(strip(cite("abstract")), strip(element("blockquote", "abstract"))),
