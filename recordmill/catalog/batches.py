@@ -21,7 +21,7 @@ from recordmill.operators.resolve import seed_master
 from recordmill.operators.sinks import export_csv
 from recordmill.operators.validate import dead_letters
 from recordmill.plans.batch import run_batch
-from recordmill.session import shared_dir
+from recordmill.session import shared_dir, shuffled
 from recordmill.sources.registry import default_registry
 
 # Every document arrives twice. The first arrival is refused by the site, undated or unproved, or good;
@@ -62,7 +62,7 @@ def _(t: Tables):
     for table, df in result.tables.items():
         part = df.select("seq", F.lit(table).alias("record_table"))
         placed = part if placed is None else placed.unionByName(part)
-    return result.statuses.select("seq", "status").join(placed, "seq", "left")
+    return result.statuses.select("seq", "status").join(shuffled(placed), "seq", "left")
 
 
 _NAMES = [

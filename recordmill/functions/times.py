@@ -30,27 +30,40 @@ def _earlier(ref: Column, count: Column, unit: Column) -> Column:
     return F.timestamp_micros(micros)
 
 
+def _counted(text: Column, pattern: str, ref: Column) -> Column:
+    """``ref`` minus what a counted phrase says; a text without "ago" has none, and no pattern is tried on it."""
+    def read(unit: Column) -> Column:
+        return _earlier(ref, blank_to_null(F.regexp_extract(text, pattern, 1)), unit)
+
+    return F.when(F.contains(text, F.lit("ago")), _bind(F.regexp_extract(text, pattern, 2), read))
+
+
 def relative_strict(c: Column, ref: Column) -> Column:
     """Whole-string relative phrases."""
-    text = F.lower(strip(c))
     pattern = r"^(\d+)\s*(minute|min|hour|hr|day|d)s?\s*ago$"
-    count = blank_to_null(F.regexp_extract(text, pattern, 1))
-    return (
-        F.when(text.isin("just now", "now", "today"), ref)
-        .when(text == "yesterday", F.timestamp_micros(F.unix_micros(ref) - DAY))
-        .otherwise(_earlier(ref, count, F.regexp_extract(text, pattern, 2)))
-    )
+
+    def read(text: Column) -> Column:
+        return (
+            F.when(text.isin("just now", "now", "today"), ref)
+            .when(text == "yesterday", F.timestamp_micros(F.unix_micros(ref) - DAY))
+            .otherwise(_counted(text, pattern, ref))
+        )
+
+    return _bind(F.lower(strip(c)), read)
 
 
 def relative_loose(c: Column, ref: Column) -> Column:
     """Relative phrases anywhere in the string, seconds and weeks included."""
-    text = F.lower(strip(c))
+    return _bind(F.lower(strip(c)), lambda text: _loose(text, ref))
+
+
+def _loose(text: Column, ref: Column) -> Column:
+    """The same for a text that is lower-case and trimmed."""
     pattern = r"(\d+)\s+(second|sec|minute|min|hour|hr|day|week)s?\s+ago"
-    count = blank_to_null(F.regexp_extract(text, pattern, 1))
     return (
         F.when(F.contains(text, F.lit("yesterday")), F.timestamp_micros(F.unix_micros(ref) - DAY))
         .when(F.contains(text, F.lit("today")) | F.contains(text, F.lit("just now")), ref)
-        .otherwise(_earlier(ref, count, F.regexp_extract(text, pattern, 2)))
+        .otherwise(_counted(text, pattern, ref))
     )
 
 
@@ -233,10 +246,13 @@ def _written(text: Column) -> Column:
 def parse_timestamp(c: Column, ref: Column) -> Column:
     """Relative phrase, else ISO, else a written date, else null. Times without a zone are UTC. Incomplete
     dates are never completed from the current day."""
-    text = strip(c)
-    iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), text)
-    iso = F.regexp_replace(iso, r"([+-]\d{2})(\d{2})$", "$1:$2")
-    return F.coalesce(relative_loose(text, ref), iso.try_cast("timestamp"), _written(text))
+    def read(text: Column) -> Column:
+        iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), text)
+        iso = F.regexp_replace(iso, r"([+-]\d{2})(\d{2})$", "$1:$2")
+        relative = _bind(F.lower(text), lambda low: _loose(low, ref))
+        return F.coalesce(relative, iso.try_cast("timestamp"), _written(text))
+
+    return _bind(strip(c), read)
 
 
 def iso8601(ts: Column) -> Column:
@@ -257,16 +273,20 @@ def iso_date(c: Column) -> Column:
 
 
 def freshness(c: Column, ref: Column, window_hours: float = 24.0, reason: str = "UNKNOWN") -> Column:
-    """Gate result for a publication date given as text."""
-    def gate(strict: Column) -> Column:
-        given = F.coalesce(c, F.lit("")) != ""
-        why = F.when(strict.isNotNull(), F.lit("RELATIVE_DATE")).otherwise(
-            F.lit("METADATA" if reason == "UNKNOWN" else reason)
-        )
-        return _bind(F.coalesce(strict, parse_timestamp(c, ref)), lambda published: _gate(
-            published, F.when(given, c), given, why, ref, window_hours))
+    """Gate result for a publication date given as text. The text is taken once, however dear it is to get:
+    inside a lambda Spark works out an expression anew wherever it stands."""
+    def of_text(text: Column) -> Column:
+        def gate(strict: Column) -> Column:
+            given = F.coalesce(text, F.lit("")) != ""
+            why = F.when(strict.isNotNull(), F.lit("RELATIVE_DATE")).otherwise(
+                F.lit("METADATA" if reason == "UNKNOWN" else reason)
+            )
+            return _bind(F.coalesce(strict, parse_timestamp(text, ref)), lambda published: _gate(
+                published, F.when(given, text), given, why, ref, window_hours))
+
+        return _bind(relative_strict(text, ref), gate)
 
-    return _bind(relative_strict(c, ref), gate)
+    return _bind(c, of_text)
 
 
 def freshness_of_timestamp(ts: Column, ref: Column, window_hours: float = 24.0) -> Column:
@@ -285,21 +305,24 @@ def round_half_even(c: Column) -> Column:
 def _gate(
     published: Column, raw: Column, given: Column, why: Column, ref: Column, window: float
 ) -> Column:
-    age = round_half_even((F.unix_micros(ref) - F.unix_micros(published)) / F.lit(3600.0 * SECOND))
     known = given & published.isNotNull()
-    status = (
-        F.when(~known, F.lit("UNKNOWN"))
-        .when((age >= -1.0) & (age <= window), F.lit("FRESH"))
-        .when(age < 0.0, F.lit("UNKNOWN"))
-        .otherwise(F.lit("STALE"))
-    )
-    return F.struct(
-        status.alias("status"),
-        F.when(known, why).otherwise(F.lit("UNKNOWN")).alias("reason"),
-        F.when(known, iso8601(published)).alias("published_at"),
-        F.when(known, age).alias("age_hours"),
-        raw.alias("raw_date_string"),
-    )
+
+    def result(age: Column) -> Column:
+        status = (
+            F.when(~known, F.lit("UNKNOWN"))
+            .when((age >= -1.0) & (age <= window), F.lit("FRESH"))
+            .when(age < 0.0, F.lit("UNKNOWN"))
+            .otherwise(F.lit("STALE"))
+        )
+        return F.struct(
+            status.alias("status"),
+            F.when(known, why).otherwise(F.lit("UNKNOWN")).alias("reason"),
+            F.when(known, iso8601(published)).alias("published_at"),
+            F.when(known, age).alias("age_hours"),
+            raw.alias("raw_date_string"),
+        )
+
+    return _bind(round_half_even((F.unix_micros(ref) - F.unix_micros(published)) / F.lit(3600.0 * SECOND)), result)
 
 
 def is_fresh(gate: Column) -> Column:

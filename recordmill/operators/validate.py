@@ -95,25 +95,26 @@ def validate(df: DataFrame, record_type: str, payload: str = "payload") -> DataF
         return out.withColumns(columns)
 
     root = F.col("_root")
-    out = step({f"_v{i}": F.try_variant_get(root, path, "variant") for path, i in index.items()})
+    # Only single values are copied out of the record; of objects and lists no more than what a rule looks at.
+    leaves = {index[path] for path, r in nodes if not r.fields and r.items is None}
+    out = step({f"_v{i}": F.try_variant_get(root, path, "variant") for path, i in index.items() if i in leaves})
     picked: dict[str, Column] = {}
     for path, r in nodes:
         i = index[path]
-        value = F.col(f"_v{i}")
         if r.allowed is not None or r.min_length is not None:
-            picked[f"_s{i}"] = F.try_variant_get(value, "$", "string")
+            picked[f"_s{i}"] = F.try_variant_get(root, path, "string")
         if {"integer", "number"} & set(r.types):
-            picked[f"_n{i}"] = F.try_variant_get(value, "$", "double")
+            picked[f"_n{i}"] = F.try_variant_get(root, path, "double")
         if r.items is not None:
-            picked[f"_a{i}"] = F.try_variant_get(value, "$", "array<variant>")
+            picked[f"_a{i}"] = F.try_variant_get(root, path, "array<variant>")
         if r.fields:
-            picked[f"_o{i}"] = F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
-        if not r.fields and r.items is None:
-            picked[f"_t{i}"] = F.schema_of_variant(value)
+            picked[f"_o{i}"] = F.map_keys(F.try_variant_get(root, path, "map<string,variant>"))
+        if i in leaves:
+            picked[f"_t{i}"] = F.schema_of_variant(F.col(f"_v{i}"))
     out = step(picked)
 
-    def kind_of(i: int) -> Column:
-        value = F.col(f"_v{i}")
+    def kind_of(path: str, i: int) -> Column:
+        value = F.col(f"_v{i}") if i in leaves else F.try_variant_get(root, path, "variant")
         number = F.col(f"_n{i}") if f"_n{i}" in picked else F.try_variant_get(value, "$", "double")
         # Naming the type of an object or a list means walking through all of it, so these are told
         # by what was picked, and named only where that failed.
@@ -125,7 +126,7 @@ def validate(df: DataFrame, record_type: str, payload: str = "payload") -> DataF
             return F.when(F.col(f"_a{i}").isNotNull(), F.lit("array")).otherwise(other)
         return _kind(F.col(f"_t{i}"), number)
 
-    out = step({f"_k{i}": kind_of(i) for i in index.values()})
+    out = step({f"_k{i}": kind_of(path, i) for path, i in index.items()})
     messages = []
     for path, r in nodes:
         i = index[path]

@@ -29,7 +29,7 @@ from recordmill.operators.validate import (
     validate_by_type,
 )
 from recordmill.schemas import ORG
-from recordmill.session import cut_lineage, join_side
+from recordmill.session import cut_lineage, join_side, shuffled
 from recordmill.sources.registry import Registry
 
 GATED_TYPES = ["NEWS", "JOB"]
@@ -104,11 +104,14 @@ def run_batch(
     known = join_side(outcome.filter("known").select("seq"), "known")
     work = payloads.filter(crawl["outcome"] == "ok").join(known, "seq", "left_anti")
     parsed = cut_lineage(registry.union(work, ref, collected_at), "parsed", "record_type")
-    gate = freshness(_published(F.col("payload"), F.col("record_type")), ref)
-    gated = parsed.withColumn("gate_status", gate["status"])
+    # Only dated types are judged by their date. The date is a column of its own, so that the record is read once for it.
+    dated = F.col("record_type").isin(GATED_TYPES)
+    gated = parsed.withColumn("_published", F.when(dated, _published(F.col("payload"), F.col("record_type")))).withColumn(
+        "gate_status", F.when(dated, freshness(F.col("_published"), ref)["status"])).drop("_published")
     checked = cut_lineage(validate_by_type(gated, types=present_types(parsed)), "checked", "record_type")
     by_seq = checked.select("seq", "record_type", "gate_status", "valid", "errors")
-    joined = outcome.join(by_seq, "seq", "left")
+    # One row per payload: as files such columns shrink to almost nothing, and Spark would have the driver gather them.
+    joined = outcome.join(shuffled(by_seq), "seq", "left")
     needs_gate = F.coalesce(F.col("record_type").isin(GATED_TYPES), F.lit(False))
     status = pipeline_status(
         F.col("known"), F.col("fetched"), needs_gate, F.coalesce("gate_status", F.lit("UNKNOWN")),
@@ -118,11 +121,11 @@ def run_batch(
     judged = cut_lineage(joined.withColumn("own_status", own), "judged")
     claims = judged.filter(F.col("own_status") == STORED).groupBy("url_hash").agg(F.min("seq").alias("claimed_by"))
     late = F.coalesce(F.col("seq") > F.col("claimed_by"), F.lit(False))
-    statuses = judged.join(claims, "url_hash", "left").withColumn(
+    statuses = judged.join(shuffled(claims), "url_hash", "left").withColumn(
         "status", F.when(late, F.lit("DUPLICATE_ALREADY_PROCESSED")).otherwise(F.col("own_status"))
     )
     chosen = statuses.filter(F.col("status") == STORED).select("seq")
-    good = cut_lineage(checked.join(chosen, "seq", "left_semi"), "good", "record_type")
+    good = cut_lineage(checked.join(shuffled(chosen), "seq", "left_semi"), "good", "record_type")
     named = good.select(
         "seq", "url", "record_type", "payload",
         _name(F.col("payload"), F.col("record_type")).alias("raw_name"),
@@ -149,7 +152,7 @@ def run_batch(
     bodies = checked.filter("NOT valid").select("seq", "payload")
     fetch = F.col("status") == "FETCH_FAILED"
     dead = dead_letters(
-        failed.withColumn("raw_content", F.col("preview")).join(bodies, "seq", "left"),
+        failed.withColumn("raw_content", F.col("preview")).join(shuffled(bodies), "seq", "left"),
         F.when(fetch, F.lit("FETCH_FAILED")).otherwise(F.lit("EXTRACTION_OR_VALIDATION_FAILED")),
         F.when(fetch, F.lit("AsyncCrawlerLayer")).otherwise(F.lit("ExtractionLayer")),
         F.when(fetch, F.col("crawl_outcome")).otherwise(
