@@ -19,6 +19,7 @@ from recordmill.catalog.texts import (
     sql_role,
     sql_strip,
 )
+from recordmill.fixed_values import JSON_LD_DATE_KEYS, META_DATE_KEYS, NOISE_TAGS
 from recordmill.functions.html import flatten_json_objects, json_ld_dates
 from recordmill.operators.lookups import metadata_attach
 from recordmill.operators.ranking import (
@@ -447,6 +448,118 @@ def _(t: Tables):
 
 # --- Pages -------------------------------------------------------------------------------------------------------
 
+# The rules of ``sources.pages`` for an engine without look-around: names in either case, a tag's name ended
+# by what is no word character, and tags whose quotes are closed.
+_WORD = r"\p{L}\p{Nd}\p{Mn}_"
+_END = rf"(?:[^{_WORD}>][^>]*)?>"
+_BEFORE = rf"(?:^|[^{_WORD}])"
+_AFTER = rf"(?:$|[^{_WORD}])"
+_GAP = r"[\t-\r ]*"
+_QUOTED = "(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
+_META = rf"""<[mM][eE][tT][aA](?:(?:[^{_WORD}>"']|"[^"]*"|'[^']*'){_QUOTED}|>)"""
+_WELL_FORMED = rf"^(?:[^<]|<+[^a-zA-Z/!?<]|<+[a-zA-Z/!?]{_QUOTED})*"
+
+
+def _name(text: str) -> str:
+    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in text)
+
+
+def _named(*tags: str) -> str:
+    return "(?:" + "|".join(_name(t) for t in tags) + ")" + _END
+
+
+def _quote(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _sql_first_element(html: str, tag: str) -> str:
+    found = f"regexp_extract({html}, {_quote(rf'(?s)<{_named(tag)}(.*?)</{_name(tag)}{_GAP}>')}, 1)"
+    return sql_strip(_sql_without_tags(found, "''"))
+
+
+def _sql_without_tags(c: str, sign: str) -> str:
+    """Tags end as they should up to the first whose quotes are not closed; from there on at the next sign."""
+    closed = _quote(f"<[a-zA-Z/!?]{_QUOTED}")
+    return (
+        f"list_transform([{c}], lambda t: list_transform([regexp_extract(t, {_quote(_WELL_FORMED)}, 0)], lambda g: "
+        f"regexp_replace(g, {closed}, {sign}, 'g') || regexp_replace(substr(t, length(g) + 1), '<[a-zA-Z/!?][^>]*>', {sign}, 'g'))[1])[1]"
+    )
+
+
+def _sql_attribute(tag: str, name: str) -> str:
+    given = _BEFORE + _name(name) + _GAP + "=" + _GAP
+    return " || ".join(
+        f"regexp_extract({tag}, {_quote(given + value)}, 1)" for value in (r"""(?:"([^"]*)"|'[^']*'|[^\t-\r >]+)""", "'([^']*)'"))
+
+
+def _sql_contents(attribute: str, value: str) -> str:
+    given = _BEFORE + _name(attribute) + _GAP + "=" + _GAP + "[\"']?" + _name(value.replace(".", r"\.")) + r"""["'\t-\r />]"""
+    return (
+        f"list_transform(list_filter(tags, lambda x: regexp_matches(x, {_quote(given)})), "
+        f"lambda x: nullif({_sql_attribute('x', 'content')}, ''))"
+    )
+
+
+def _sql_json_ld_dates(html: str) -> str:
+    """How many dates the JSON-LD objects of a page give: a script is one object or a list of them."""
+    pattern = rf"""(?s)<{_name('script')}[^{_WORD}>][^>]*{_name('type')}{_GAP}={_GAP}["']{_name('application/ld')}\+{_name('json')}["'][^>]*>(.*?)</{_name('script')}{_GAP}>"""
+    objects = (
+        f"flatten(list_transform(list_filter(regexp_extract_all({html}, {_quote(pattern)}, 1), lambda x: json_valid(x)), lambda x: "
+        "CASE WHEN json_type(x) = 'ARRAY' THEN json_extract(x, '$[*]') ELSE [CAST(x AS JSON)] END))"
+    )
+    given = " + ".join(f"CASE WHEN json_type(x, '$.{key}') = 'VARCHAR' THEN 1 ELSE 0 END" for key in JSON_LD_DATE_KEYS)
+    return f"coalesce(list_sum(list_transform(list_filter({objects}, lambda x: json_type(x) = 'OBJECT'), lambda x: {given})), 0)"
+
+
+_NOISE = "(?s)<!--.*?-->|" + "|".join(f"<{_named(tag)}.*?</{_name(tag)}{_GAP}>" for tag in NOISE_TAGS)
+_CONTAINERS = [
+    ("article", _named("article")), ("main", _named("main")),
+    ("div", rf"""{_name('div')}[^{_WORD}>][^>]*{_name('class')}{_GAP}={_GAP}["'][^"'>]*(?:{'|'.join(map(_name, ('content', 'post', 'article', 'body', 'entry')))})[^>]*>"""),
+    ("body", _named("body")),
+]
+_BLOCKS = ("p", "h1", "h2", "h3", "h4", "li", "section")
+_EDGES = (*_BLOCKS, "article", "main", "body", "ul", "ol", "div", "table", "tr", "td")
+_BREAKS = r"[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
+
+
+def sql_page_facts(table: str) -> str:
+    """The rows of ``table`` with title, canonical_url, meta_description, dates (how many) and main_text of
+    their page: the text of the first container, block by block, or all of its lines when it has no block."""
+    heads = [f"o{k}" for k in range(len(_CONTAINERS))]
+    found = " ".join(f"WHEN {o} <> '' THEN '{tag}'" for o, (tag, _) in zip(heads, _CONTAINERS, strict=True))
+    behind = " ".join(f"WHEN {o} <> '' THEN substr(clean, length({o}) + 1)" for o in heads)
+    opened = ", ".join(f"regexp_extract(clean, {_quote(f'(?s)^.*?<{opening}')}, 0) AS {o}" for o, (_, opening) in zip(heads, _CONTAINERS, strict=True))
+
+    def at_edges(cut: str) -> str:
+        """``cut`` at the tags of the container's name."""
+        return "CASE tag " + " ".join(f"WHEN '{tag}' THEN {cut}(tail, {_quote(f'</?{_named(tag)}')})" for tag, _ in _CONTAINERS) + " END"
+
+    block, edge = f"<({_named(*_BLOCKS)})", f"</?{_named(*_EDGES)}"
+    # A block's own tag is written with another sign, so that it is no edge.
+    marked = f"regexp_replace(regexp_replace(container, {_quote(block)}, chr(1) || 'O' || chr(1114109) || '\\1', 'g'), {_quote(edge)}, chr(1) || 'C', 'g')"
+    text = sql_strip(_sql_without_tags("replace(substr(x, 2), chr(1114109), '<')", "''"))
+    lines = f"regexp_split_to_array({_sql_without_tags('container', 'chr(10)')}, '{_BREAKS}')"
+    dates = " + ".join(f"CASE WHEN {_sql_contents(a, v)}[1] IS NOT NULL THEN 1 ELSE 0 END" for a, v in META_DATE_KEYS)
+    named, shared = _sql_contents("name", "description"), _sql_contents("property", "og:description")
+    related = _quote(_BEFORE + _name("rel") + _GAP + "=" + _GAP + "[\"']?" + _name("canonical") + _AFTER)
+    canonical = f"list_filter(regexp_extract_all(page, {_quote('<' + _named('link'))}), lambda x: regexp_matches(x, {related}))"
+    return f"""(SELECT * EXCLUDE (page, tags, clean, {', '.join(heads)}, tag, tail, edges, pieces, closing, container, blocks),
+      {sql_decode(f"coalesce(nullif({sql_strip(_sql_contents('property', 'og:title') + '[1]')}, ''), nullif({_sql_first_element('page', 'title')}, ''), {_sql_first_element('page', 'h1')}, '')")} AS title,
+      coalesce(nullif({_sql_attribute(canonical + '[1]', 'href')}, ''), url) AS canonical_url,
+      {sql_decode(sql_strip(f"coalesce(CASE WHEN len({named}) > 0 THEN {named}[1] ELSE {shared}[1] END, '')"))} AS meta_description,
+      CAST({dates} + {_sql_json_ld_dates('page')} AS BIGINT) AS dates,
+      {sql_decode(f"CASE WHEN len(blocks) > 0 THEN array_to_string(blocks, chr(10) || chr(10)) ELSE array_to_string(list_filter(list_transform({lines}, lambda x: {sql_strip('x')}), lambda x: x <> ''), chr(10)) END")} AS main_text
+    FROM (SELECT *, list_filter(list_transform(list_filter(string_split({marked}, chr(1)), lambda x: x[1] = 'O'), lambda x: {text}), lambda x: length(x) > 10) AS blocks
+    FROM (SELECT *, CASE WHEN tag IS NULL THEN clean WHEN closing IS NULL THEN tail
+        ELSE array_to_string(list_transform(list_zip(pieces[1:closing], edges[1:closing - 1]), lambda z: z[1] || coalesce(z[2], '')), '') END AS container
+    FROM (SELECT *, list_filter(range(1, len(edges) + 1), lambda i: list_sum(list_transform(edges[1:i], lambda x: CASE WHEN starts_with(x, '</') THEN -1 ELSE 1 END)) < 0)[1] AS closing
+    FROM (SELECT *, {at_edges('regexp_extract_all')} AS edges, {at_edges('regexp_split_to_array')} AS pieces
+    FROM (SELECT *, CASE {found} END AS tag, CASE {behind} END AS tail
+    FROM (SELECT *, {opened}
+    FROM (SELECT *, coalesce(html, '') AS page, regexp_extract_all(coalesce(html, ''), {_quote(_META)}) AS tags,
+        regexp_replace(coalesce(html, ''), {_quote(_NOISE)}, '', 'g') AS clean FROM {table}))))))))"""
+
+
 SQL_PAGE_TITLE = sql_decode(sql_strip(r"regexp_replace(regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1), '<[^>]+>', '', 'g')"))
 
 
@@ -462,8 +575,7 @@ def sql_main_text(html: str) -> str:
     return sql_decode(f"array_to_string({blocks}, chr(10) || chr(10))")
 
 
-@query("html_page_extract", f"""SELECT page_id AS seq, {SQL_PAGE_TITLE} AS title, url AS canonical_url,
-    '' AS meta_description, CAST(0 AS BIGINT) AS dates, {sql_main_text('html')} AS main_text FROM pages""")
+@query("html_page_extract", f"SELECT page_id AS seq, title, canonical_url, meta_description, dates, main_text FROM {sql_page_facts('pages')}")
 def _(t: Tables):
     found = pages.html_page_extract(page_payloads(t))
     dates = F.size("meta_dates") + F.size("json_ld_dates")
