@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 from recordmill.catalog.base import FRAMES, REF_TEXT, Tables, on, query, ref
 from recordmill.catalog.pages import (
     SQL_LISTED,
-    SQL_PAGE_TITLE,
     at,
     feed_metadata,
     page_payloads,
-    sql_main_text,
+    sql_page_facts,
 )
-from recordmill.fixed_values import EXPORT_TABS
+from recordmill.fixed_values import EXPORT_TABS, NEWS_FEEDS, STORY_TITLE
 from recordmill.functions import html as H
 from recordmill.functions import times as T
 from recordmill.functions.jsonvalues import json_text
@@ -87,10 +86,15 @@ def _(t: Tables):
 _FEED = "CASE page_id % 5 WHEN 0 THEN 'TechCrunchAI' WHEN 1 THEN 'HuggingFaceDailyPapers' WHEN 2 THEN 'MITTechReviewAI' WHEN 3 THEN 'OpenAIBlog' ELSE 'HackerNewsAI' END"
 
 
+_DEFAULTS = "CASE source_name " + " ".join(f"WHEN '{n}' THEN '{{{k}}}'" for k, n in enumerate(NEWS_FEEDS)) + " ELSE {4} END"
+
+
 @query("news_sources_all", f"""SELECT seq, source_name, title,
-      CASE WHEN seq % 5 <> 4 AND f % 4 = 0 THEN 'From OpenAI' ELSE coalesce(nullif(substr(m, 1, 300), ''), 'none') END AS summary
-    FROM (SELECT seq, source_name, m, f, CASE WHEN f % 2 = 0 THEN 'Feed ' || CAST(f AS STRING) ELSE h END AS title
-      FROM (SELECT page_id AS seq, f, {_FEED} AS source_name, {SQL_PAGE_TITLE} AS h, {sql_main_text('html')} AS m FROM {SQL_LISTED}))""")
+      coalesce(CASE WHEN source_name <> 'HackerNewsAI' AND f % 4 = 0 THEN 'From OpenAI' END, nullif(d, ''), nullif(substr(m, 1, 300), ''),
+        {_DEFAULTS.format(*(summary for _, summary in NEWS_FEEDS.values()), 'title')}) AS summary
+    FROM (SELECT seq, source_name, m, d, f, coalesce(CASE WHEN f % 2 = 0 THEN 'Feed ' || CAST(f AS STRING) END, nullif(h, ''),
+        {_DEFAULTS.format(*(title for title, _ in NEWS_FEEDS.values()), f"'{STORY_TITLE}'")}) AS title
+      FROM (SELECT page_id AS seq, f, {_FEED} AS source_name, title AS h, meta_description AS d, main_text AS m FROM {sql_page_facts(SQL_LISTED)}))""")
 def _(t: Tables):
     pages = page_payloads(t)
     named = pages.withColumn("source_name", F.expr(_FEED.replace("page_id", "seq")))
