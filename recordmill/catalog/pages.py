@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 from recordmill.catalog.base import Tables, on, query, ref
 from recordmill.catalog.texts import (
     sql_decode,
-    sql_denoise,
-
     sql_mentions,
     sql_role,
     sql_strip,
@@ -560,21 +558,6 @@ def sql_page_facts(table: str) -> str:
         regexp_replace(coalesce(html, ''), {_quote(_NOISE)}, '', 'g') AS clean FROM {table}))))))))"""
 
 
-SQL_PAGE_TITLE = sql_decode(sql_strip(r"regexp_replace(regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1), '<[^>]+>', '', 'g')"))
-
-
-def sql_main_text(html: str) -> str:
-    inside = rf"regexp_extract({sql_denoise(html)}, '(?is)<article\b[^>]*>(.*?)</article\s*>', 1)"
-    opened = rf"regexp_replace({inside}, '(?i)<((p|h[1-4]|li|section)\b[^>]*)>', chr(1) || 'O', 'g')"
-    closed = rf"regexp_replace({opened}, '(?i)</?(p|h[1-4]|li|section|article|main|body|ul|ol|div|table|tr|td)\b[^>]*>', chr(1) || 'C', 'g')"
-    text = sql_strip("regexp_replace(x[2:], '<[^>]+>', '', 'g')")
-    blocks = (
-        f"list_filter(list_transform(list_filter(string_split({closed}, chr(1)), lambda x: x[1] = 'O'), "
-        f"lambda x: {text}), lambda x: length(x) > 10)"
-    )
-    return sql_decode(f"array_to_string({blocks}, chr(10) || chr(10))")
-
-
 @query("html_page_extract", f"SELECT page_id AS seq, title, canonical_url, meta_description, dates, main_text FROM {sql_page_facts('pages')}")
 def _(t: Tables):
     found = pages.html_page_extract(page_payloads(t))
@@ -659,11 +642,12 @@ def _(t: Tables):
     return joined.select("page_id", F.col("feed.title").alias("feed_title"), F.col("feed.pub_date").alias("feed_date"))
 
 
-@query("rss_news", f"""SELECT seq, title, summary, m AS full_text, CASE WHEN f IS NOT NULL THEN '2024-01-30T00:00:00Z' ELSE '' END AS published_date,
-      {sql_mentions("title || ' ' || summary || ' ' || m")} AS entities
-    FROM (SELECT seq, f, m, CASE WHEN f % 2 = 0 THEN 'Feed ' || CAST(f AS STRING) ELSE coalesce(nullif(h, ''), 'TechCrunch AI News') END AS title,
-            CASE WHEN f % 4 = 0 THEN 'From OpenAI' ELSE substr(m, 1, 300) END AS summary
-      FROM (SELECT page_id AS seq, f, {SQL_PAGE_TITLE} AS h, {sql_main_text('html')} AS m FROM {SQL_LISTED}))""")
+@query("rss_news", f"""SELECT seq, title, summary, full_text, CASE WHEN f IS NOT NULL THEN '2024-01-30T00:00:00Z' ELSE '' END AS published_date,
+      {sql_mentions("title || ' ' || summary || ' ' || full_text")} AS entities
+    FROM (SELECT *, coalesce(nullif(m, ''), summary) AS full_text
+    FROM (SELECT page_id AS seq, f, main_text AS m, coalesce(CASE WHEN f % 2 = 0 THEN 'Feed ' || CAST(f AS STRING) END, nullif(title, ''), 'TechCrunch AI News') AS title,
+        coalesce(CASE WHEN f % 4 = 0 THEN 'From OpenAI' END, nullif(meta_description, ''), nullif(substr(main_text, 1, 300), ''), 'TechCrunch AI News article') AS summary
+      FROM {sql_page_facts(SQL_LISTED)}))""")
 def _(t: Tables):
     found = news.rss_news(page_payloads(t), feed_metadata(t), "TechCrunchAI", ref(), at())
     c = "content."

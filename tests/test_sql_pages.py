@@ -36,7 +36,7 @@ def folder(spark, tmp_path_factory):
     return path
 
 
-@pytest.mark.parametrize("name", ["html_page_extract", "news_sources_all"])
+@pytest.mark.parametrize("name", ["html_page_extract", "rss_news", "news_sources_all"])
 def test_odd_pages(spark, folder, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW pages AS SELECT * FROM '{folder}/pages.parquet/*.parquet'")
